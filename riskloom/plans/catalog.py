@@ -145,3 +145,121 @@ for _name, _col, _w in [("velocity_1h", "card1_txn_count_past_1hr", 3600),
 
 query("velocity_ties_24h")(_velocity("card1_txn_count_past_24hr", 86400,
                                      lambda spark, sf: A.load_order_transactions(spark, sf)))
+
+
+# ---------------------------------------------------------------- profiling
+from riskloom.operators import prep as P  # noqa: E402
+from riskloom.operators import profile as PR  # noqa: E402
+from riskloom.operators import split as S  # noqa: E402
+from riskloom.schemas import model_input_columns  # noqa: E402
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder."""
+    from riskloom.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def split_features(spark, sf) -> DataFrame:
+    f = materialize(features(spark, sf))
+    return materialize(S.assign_split(f))
+
+
+def model_matrix(spark, sf):
+    """(split frame with imputed model inputs, input column list)."""
+    fs = split_features(spark, sf)
+    cols = model_input_columns(fs)
+    clean = P.clean_matrix(fs, cols)
+    med = P.fit_medians(clean.where(F.col("split") == "train"), cols)
+    return P.impute(clean, cols, med), cols
+
+
+@query("profile_shape")
+def q_profile_shape(spark, sf):
+    return PR.table_shape({"transactions": _tx(spark, sf), "identity": _idt(spark, sf)})
+
+
+@query("profile_label")
+def q_profile_label(spark, sf):
+    return PR.label_stats(S.assign_split(_tx(spark, sf).select(ID, "isFraud")), by="split")
+
+
+@query("missing_summary_tx")
+def q_missing_tx(spark, sf):
+    return PR.missing_summary(_tx(spark, sf), 10)
+
+
+@query("missing_summary_identity")
+def q_missing_identity(spark, sf):
+    return PR.missing_summary(_idt(spark, sf), 10)
+
+
+@query("feature_correlation")
+def q_feature_correlation(spark, sf):
+    return PR.feature_label_correlation(features(spark, sf))
+
+
+@query("fraud_rate_by_hour")
+def q_fraud_rate_by_hour(spark, sf):
+    return PR.rate_by(time_features(_tx(spark, sf)).join(_tx(spark, sf).select(ID, "isFraud"), ID),
+                      "transaction_hour")
+
+
+@query("amount_histogram")
+def q_amount_histogram(spark, sf):
+    tx = _tx(spark, sf)
+    return PR.histogram_by(tx.select("isFraud", C.amount_log(F.col("TransactionAmt")).alias("transaction_amt_log")),
+                           "transaction_amt_log", ["isFraud"], 50)
+
+
+# ---------------------------------------------------------------- splits, weights, prep
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    return S.assign_split(_tx(spark, sf).select(ID, "isFraud"))
+
+
+@query("stratified_folds")
+def q_stratified_folds(spark, sf):
+    s = S.assign_split(_tx(spark, sf).select(ID, "isFraud"))
+    return S.assign_folds(s.where(F.col("split") == "train").select(ID, "isFraud"), 3)
+
+
+def _train_labels(spark, sf):
+    s = S.assign_split(_tx(spark, sf).select(ID, "isFraud"))
+    return s.where(F.col("split") == "train")
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    return S.class_weight_table(_train_labels(spark, sf))
+
+
+@query("class_balance")
+def q_class_balance(spark, sf):
+    return S.class_balance(_train_labels(spark, sf))
+
+
+@query("contamination")
+def q_contamination(spark, sf):
+    return S.contamination(_train_labels(spark, sf))
+
+
+@query("clean_matrix")
+def q_clean_matrix(spark, sf):
+    f = features(spark, sf)
+    cols = model_input_columns(f)
+    return P.clean_matrix(f, cols).select(ID, *cols)
+
+
+@query("median_impute")
+def q_median_impute(spark, sf):
+    m, cols = model_matrix(spark, sf)
+    return m.select(ID, "split", *cols)
+
+
+@query("standard_scale")
+def q_standard_scale(spark, sf):
+    m, cols = model_matrix(spark, sf)
+    params = P.fit_scaler(m.where(F.col("split") == "train"), cols)
+    return P.scale(m, cols, params).select(ID, "split", *cols)

@@ -45,3 +45,125 @@ SQL["velocity_1h"] = with_ctes(TXC, velocity_bruteforce(3600, "card1_txn_count_p
 SQL["velocity_6h"] = with_ctes(TXC, velocity_bruteforce(21600, "card1_txn_count_past_6hr"))
 SQL["velocity_24h"] = with_ctes(TXC, velocity_bruteforce(86400, "card1_txn_count_past_24hr"))
 SQL["velocity_ties_24h"] = with_ctes([ORDER_TX], velocity_bruteforce(86400, "card1_txn_count_past_24hr", "otx"))
+
+# ---------------------------------------------------------------- profiling / split / prep
+from riskloom.schemas import FEATURE_COLUMNS, LOOKUP_COLUMNS  # noqa: E402
+
+MODEL_COLS = [c for c in FEATURE_COLUMNS if c not in LOOKUP_COLUMNS]
+TX_COLS = ["TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "card1",
+           "P_emaildomain", "R_emaildomain"]
+ID_COLS = ["TransactionID", "DeviceType", "DeviceInfo", "id_01"]
+
+SPLIT = """split AS (
+  SELECT TransactionID, isFraud,
+         CASE WHEN 5 * row_number() OVER (PARTITION BY isFraud
+                   ORDER BY (TransactionID * 1103515245 + 518490) % 2147483648, TransactionID)
+                   <= count(*) OVER (PARTITION BY isFraud)
+              THEN 'test' ELSE 'train' END AS split
+  FROM transactions)"""
+TRAIN = "train AS (SELECT * FROM split WHERE split = 'train')"
+SPLIT_CTES = [EV, TRANSACTIONS, SPLIT]
+
+SQL["profile_shape"] = with_ctes([EV, TRANSACTIONS, IDENTITY], f"""
+SELECT 'transactions' AS table_name, count(*) AS n_rows, {len(TX_COLS)} AS n_columns FROM transactions
+UNION ALL SELECT 'identity', count(*), {len(ID_COLS)} FROM identity""")
+SQL["profile_label"] = with_ctes(SPLIT_CTES, """
+SELECT 'all' AS scope, count(*) AS n_rows, CAST(sum(isFraud) AS BIGINT) AS fraud_count,
+       avg(isFraud) * 100 AS fraud_rate FROM split
+UNION ALL
+SELECT split, count(*), CAST(sum(isFraud) AS BIGINT), avg(isFraud) * 100 FROM split GROUP BY split""",
+                                 ["fraud_rate"])
+
+
+def _missing(table, cols):
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, avg(CAST({c} IS NULL AS INTEGER)) * 100 AS missing_pct FROM {table}"
+        for c in cols)
+    return f"SELECT * FROM ({parts}) ORDER BY missing_pct DESC, column_name LIMIT 10"
+
+
+SQL["missing_summary_tx"] = with_ctes(TXC, _missing("transactions", TX_COLS), ["missing_pct"])
+SQL["missing_summary_identity"] = with_ctes([EV, IDENTITY], _missing("identity", ID_COLS), ["missing_pct"])
+
+
+def _corr_part(c):
+    x = f"CAST({c} AS DOUBLE)"
+    y = "CAST(isFraud AS DOUBLE)"
+    return (f"SELECT '{c}' AS feature, covar_pop({x}, {y}) AS cv, stddev_pop({x}) AS sx, "
+            f"stddev_pop(CASE WHEN {c} IS NOT NULL THEN {y} END) AS sy FROM features")
+
+
+SQL["feature_correlation"] = with_ctes(BASE, f"""
+SELECT feature, cv / (sx * sy) AS correlation_with_isFraud, abs(cv / (sx * sy)) AS absolute_correlation
+FROM ({' UNION ALL '.join(_corr_part(c) for c in MODEL_COLS)})
+WHERE sx * sy <> 0 AND cv IS NOT NULL""", ["correlation_with_isFraud", "absolute_correlation"])
+SQL["fraud_rate_by_hour"] = with_ctes(BASE, """
+SELECT transaction_hour, avg(isFraud) * 100 AS fraud_rate, count(*) AS n_rows
+FROM features GROUP BY transaction_hour""", ["fraud_rate"])
+
+
+def histogram_sql(source: str, value: str, by: list[str], bins: int = 50) -> str:
+    g = ", ".join(by)
+    on = " AND ".join(f"b.{c} IS NOT DISTINCT FROM r.{c}" for c in by)
+    return f"""
+SELECT {', '.join('b.' + c for c in by)}, bin, any_value(lo) + bin * (any_value(hi) - any_value(lo)) / {float(bins)} AS bin_start,
+       any_value(lo) + (bin + 1) * (any_value(hi) - any_value(lo)) / {float(bins)} AS bin_end, count(*) AS count
+FROM (
+  SELECT b.*, r.lo, r.hi,
+         CAST(CASE WHEN r.hi = r.lo THEN {bins // 2}
+              ELSE least(floor((b.x - r.lo) * {float(bins)} / (r.hi - r.lo)), {bins - 1}) END AS INTEGER) AS bin
+  FROM (SELECT {g}, CAST({value} AS DOUBLE) AS x FROM {source} WHERE {value} IS NOT NULL AND NOT isnan({value})) b
+  JOIN (SELECT {g}, min(CAST({value} AS DOUBLE)) AS lo, max(CAST({value} AS DOUBLE)) AS hi FROM {source}
+        WHERE {value} IS NOT NULL GROUP BY {g}) r ON {on}
+) b
+GROUP BY {', '.join('b.' + c for c in by)}, bin"""
+
+
+SQL["amount_histogram"] = with_ctes(
+    TXC + ["amt AS (SELECT isFraud, ln(1 + TransactionAmt) AS transaction_amt_log FROM transactions)"],
+    histogram_sql("amt", "transaction_amt_log", ["isFraud"]), ["bin_start", "bin_end"])
+SQL["stratified_split"] = with_ctes(SPLIT_CTES, "SELECT * FROM split")
+SQL["stratified_folds"] = with_ctes(SPLIT_CTES, """
+SELECT TransactionID, isFraud,
+       CAST((row_number() OVER (PARTITION BY isFraud
+             ORDER BY (TransactionID * 1103515245 + 518490) % 2147483648, TransactionID) - 1) % 3 AS INTEGER) AS fold
+FROM split WHERE split = 'train'""")
+SQL["class_weights"] = with_ctes(SPLIT_CTES + [TRAIN], """
+SELECT isFraud, count(*) AS n_rows,
+       (SELECT count(*) FROM train) / ((SELECT count(DISTINCT isFraud) FROM train) * count(*)) AS class_weight
+FROM train GROUP BY isFraud""", ["class_weight"])
+SQL["class_balance"] = with_ctes(SPLIT_CTES + [TRAIN], """
+SELECT CAST(sum(CASE WHEN isFraud = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positive_count,
+       CAST(sum(CASE WHEN isFraud = 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_count,
+       sum(CASE WHEN isFraud = 0 THEN 1 ELSE 0 END) / sum(CASE WHEN isFraud = 1 THEN 1 ELSE 0 END) AS scale_pos_weight
+FROM train""", ["scale_pos_weight"])
+SQL["contamination"] = with_ctes(SPLIT_CTES + [TRAIN], """
+SELECT greatest(avg(isFraud), 0.03) AS contamination FROM train""", ["contamination"])
+
+
+def _clean(c):
+    x = f"CAST({c} AS DOUBLE)"
+    return f"CASE WHEN isnan({x}) OR isinf({x}) THEN NULL ELSE {x} END"
+
+
+SQL["clean_matrix"] = with_ctes(BASE, "SELECT TransactionID, "
+                                + ", ".join(f"{_clean(c)} AS {c}" for c in MODEL_COLS)
+                                + " FROM features", MODEL_COLS)
+
+FS = "fs AS (SELECT f.*, s.split FROM features f JOIN split s USING (TransactionID))"
+CLEAN = ("clean AS (SELECT TransactionID, split, "
+         + ", ".join(f"{_clean(c)} AS {c}" for c in MODEL_COLS) + " FROM fs)")
+MED = ("med AS (SELECT " + ", ".join(f"median({c}) FILTER (WHERE split = 'train') AS {c}" for c in MODEL_COLS)
+       + " FROM clean)")
+IMPUTED = ("imputed AS (SELECT c.TransactionID, c.split, "
+           + ", ".join(f"coalesce(c.{x}, m.{x}, 0.0) AS {x}" for x in MODEL_COLS)
+           + " FROM clean c, med m)")
+PREP_CTES = BASE + [SPLIT, FS, CLEAN, MED, IMPUTED]
+SQL["median_impute"] = with_ctes(PREP_CTES, "SELECT * FROM imputed", MODEL_COLS)
+SCL = ("scl AS (SELECT " + ", ".join(
+    f"avg({c}) FILTER (WHERE split = 'train') AS m_{c}, stddev_pop({c}) FILTER (WHERE split = 'train') AS s_{c}"
+    for c in MODEL_COLS) + " FROM imputed)")
+SCALED = ("scaled AS (SELECT i.TransactionID, i.split, " + ", ".join(
+    f"(i.{c} - s.m_{c}) / CASE WHEN s.s_{c} > 1e-12 * greatest(1.0, abs(s.m_{c})) THEN s.s_{c} ELSE 1.0 END AS {c}"
+    for c in MODEL_COLS) + " FROM imputed i, scl s)")
+SQL["standard_scale"] = with_ctes(PREP_CTES + [SCL, SCALED], "SELECT * FROM scaled", MODEL_COLS)
