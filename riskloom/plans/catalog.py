@@ -263,3 +263,211 @@ def q_standard_scale(spark, sf):
     m, cols = model_matrix(spark, sf)
     params = P.fit_scaler(m.where(F.col("split") == "train"), cols)
     return P.scale(m, cols, params).select(ID, "split", *cols)
+
+
+# ---------------------------------------------------------------- evaluation on closed-form scores
+from riskloom.operators import evaluate as EV  # noqa: E402
+from riskloom.operators import review as RV  # noqa: E402
+from riskloom.plans import mart as M  # noqa: E402
+
+
+def _test_rows(spark, sf):
+    return materialize(S.assign_split(_tx(spark, sf).select(ID, "isFraud")).where(F.col("split") == "test"))
+
+
+def closed_form_scores(test: DataFrame) -> DataFrame:
+    """Two deterministic score columns with many ties and grid hits
+    (FIXTURES §4), as (model_name, TransactionID, isFraud, fraud_probability)."""
+    i, y = F.col(ID), F.col("isFraud")
+    a = F.when(y == 1, 400 + (i * 7919) % 600).otherwise((i * 7919) % 1000).cast("double") / 1000
+    b = F.when(y == 1, 300 + (i * 104729) % 700).otherwise((i * 104729) % 900).cast("double") / 1000
+    return test.select(F.lit("model_a").alias("model_name"), ID, "isFraud", a.alias("fraud_probability")) \
+               .unionByName(test.select(F.lit("model_b").alias("model_name"), ID, "isFraud",
+                                        b.alias("fraud_probability")))
+
+
+def closed_form_anomaly_scores(test: DataFrame) -> DataFrame:
+    i, y = F.col(ID), F.col("isFraud")
+    s = {
+        "isolation_forest": ((i * 7919) % 1000).cast("double") / 1000 + y * 0.25,
+        "local_outlier_factor": ((i * 104729) % 997).cast("double") / 997 + y * 0.1,
+        "autoencoder": ((i * 31337) % 1009).cast("double") / 100,
+    }
+    out = None
+    for m, e in s.items():
+        d = test.select(F.lit(m).alias("method"), ID, "isFraud", e.alias("score"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def _scored(spark, sf):
+    return closed_form_scores(_test_rows(spark, sf))
+
+
+def _anomaly(spark, sf):
+    return closed_form_anomaly_scores(_test_rows(spark, sf))
+
+
+def _comparison(spark, sf):
+    return materialize(EV.threshold_comparison(materialize(_scored(spark, sf))))
+
+
+def _index(spark, sf):
+    sc = materialize(_scored(spark, sf))
+    best = EV.best_model(_comparison(spark, sf)).select(
+        F.col("base_model").alias("model_name"), F.col("threshold").alias("__t"))
+    x = sc.join(best, "model_name")          # equi-join on the one best model
+    return materialize(RV.explanation_index(x, F.col("__t")))
+
+
+@query("decide")
+def q_decide(spark, sf):
+    sc = _scored(spark, sf)
+    return sc.select("model_name", ID, C.decide(F.col("fraud_probability"), 0.5).alias("predicted_label"))
+
+
+@query("recommend")
+def q_recommend(spark, sf):
+    sc = _scored(spark, sf)
+    return sc.select("model_name", ID, C.recommend(F.col("fraud_probability"), 0.24).alias("recommendation"))
+
+
+@query("confusion_matrix")
+def q_confusion(spark, sf):
+    return EV.confusion(_scored(spark, sf), 0.5)
+
+
+@query("classification_metrics")
+def q_metrics(spark, sf):
+    return EV.with_metrics(EV.confusion(_scored(spark, sf), 0.5))
+
+
+@query("average_precision")
+def q_ap(spark, sf):
+    return EV.average_precision(_scored(spark, sf))
+
+
+@query("business_cost")
+def q_business_cost(spark, sf):
+    return EV.with_costs(EV.confusion(_scored(spark, sf), 0.5))
+
+
+@query("evaluate_threshold")
+def q_evaluate_threshold(spark, sf):
+    return EV.evaluate_threshold(_scored(spark, sf), 0.5)
+
+
+@query("threshold_sweep")
+def q_sweep(spark, sf):
+    return EV.threshold_sweep(_scored(spark, sf))
+
+
+@query("best_threshold")
+def q_best_threshold(spark, sf):
+    return EV.best_thresholds(EV.threshold_sweep(_scored(spark, sf)))
+
+
+@query("threshold_comparison")
+def q_comparison(spark, sf):
+    return _comparison(spark, sf)
+
+
+@query("cost_reduction")
+def q_cost_reduction(spark, sf):
+    return EV.cost_reduction(_comparison(spark, sf))
+
+
+@query("best_model")
+def q_best_model(spark, sf):
+    return EV.best_model(_comparison(spark, sf))
+
+
+@query("best_baseline")
+def q_best_baseline(spark, sf):
+    return EV.best_baseline(EV.evaluate_threshold(_scored(spark, sf), 0.5))
+
+
+@query("report_string_filters")
+def q_report_strings(spark, sf):
+    return M.strategy_rows(_comparison(spark, sf))
+
+
+@query("topk_capture")
+def q_topk(spark, sf):
+    return EV.topk_capture(_anomaly(spark, sf))
+
+
+@query("score_summary")
+def q_score_summary(spark, sf):
+    return EV.score_summary(_anomaly(spark, sf))
+
+
+@query("score_histogram")
+def q_score_histogram(spark, sf):
+    return EV.score_histogram(_anomaly(spark, sf))
+
+
+@query("method_comparison")
+def q_method_comparison(spark, sf):
+    return EV.method_comparison(EV.topk_capture(_anomaly(spark, sf)), _comparison(spark, sf))
+
+
+@query("best_anomaly_method")
+def q_best_anomaly(spark, sf):
+    return EV.best_anomaly_method(EV.topk_capture(_anomaly(spark, sf)))
+
+
+@query("explanation_index")
+def q_explanation_index(spark, sf):
+    return _index(spark, sf)
+
+
+@query("riskiest")
+def q_riskiest(spark, sf):
+    return RV.riskiest(_index(spark, sf), 10)
+
+
+@query("explain_sample")
+def q_explain_sample(spark, sf):
+    return RV.explanation_sample(_index(spark, sf), 1000)
+
+
+@query("explanation_picks")
+def q_explanation_picks(spark, sf):
+    return RV.explanation_picks(RV.explanation_sample(_index(spark, sf), 1000), 3)
+
+
+@query("explain_lookup")
+def q_explain_lookup(spark, sf):
+    idx = _index(spark, sf)
+    first = RV.riskiest(idx, 1).select(ID).first()
+    return RV.lookup(idx, f"  {first[0] if first else ''} ")
+
+
+@query("explanation_coverage")
+def q_explanation_coverage(spark, sf):
+    idx = _index(spark, sf)
+    picks = RV.explanation_picks(RV.explanation_sample(idx, 1000), 3)
+    return RV.coverage(idx, picks)
+
+
+def _metadata(spark, sf):
+    cmp = _comparison(spark, sf)
+    tx = _tx(spark, sf)
+    spw = S.class_balance(_train_labels(spark, sf))
+    return M.model_metadata(cmp, tx, spw)
+
+
+@query("model_metadata")
+def q_model_metadata(spark, sf):
+    return _metadata(spark, sf)
+
+
+@query("portfolio_kpis")
+def q_portfolio(spark, sf):
+    return M.portfolio_kpis(_tx(spark, sf), _comparison(spark, sf), _metadata(spark, sf))
+
+
+@query("kpi_formatted")
+def q_kpi_formatted(spark, sf):
+    return M.kpi_text(M.portfolio_kpis(_tx(spark, sf), _comparison(spark, sf), _metadata(spark, sf)))

@@ -167,3 +167,240 @@ SCALED = ("scaled AS (SELECT i.TransactionID, i.split, " + ", ".join(
     f"(i.{c} - s.m_{c}) / CASE WHEN s.s_{c} > 1e-12 * greatest(1.0, abs(s.m_{c})) THEN s.s_{c} ELSE 1.0 END AS {c}"
     for c in MODEL_COLS) + " FROM imputed i, scl s)")
 SQL["standard_scale"] = with_ctes(PREP_CTES + [SCL, SCALED], "SELECT * FROM scaled", MODEL_COLS)
+
+# ---------------------------------------------------------------- evaluation on closed-form scores
+TEST = "test AS (SELECT TransactionID, isFraud FROM split WHERE split = 'test')"
+SCORED = """scored AS (
+  SELECT 'model_a' AS model_name, TransactionID, isFraud,
+         CAST(CASE WHEN isFraud = 1 THEN 400 + (TransactionID * 7919) % 600
+                   ELSE (TransactionID * 7919) % 1000 END AS DOUBLE) / 1000 AS fraud_probability FROM test
+  UNION ALL
+  SELECT 'model_b', TransactionID, isFraud,
+         CAST(CASE WHEN isFraud = 1 THEN 300 + (TransactionID * 104729) % 700
+                   ELSE (TransactionID * 104729) % 900 END AS DOUBLE) / 1000 FROM test)"""
+ANOM = """anom AS (
+  SELECT 'isolation_forest' AS method, TransactionID, isFraud,
+         CAST((TransactionID * 7919) % 1000 AS DOUBLE) / 1000 + isFraud * CAST(0.25 AS DOUBLE) AS score FROM test
+  UNION ALL
+  SELECT 'local_outlier_factor', TransactionID, isFraud,
+         CAST((TransactionID * 104729) % 997 AS DOUBLE) / 997 + isFraud * CAST(0.1 AS DOUBLE) FROM test
+  UNION ALL
+  SELECT 'autoencoder', TransactionID, isFraud, CAST((TransactionID * 31337) % 1009 AS DOUBLE) / 100 FROM test)"""
+
+
+def _counts(t: str, src: str = "scored", extra: str = "") -> str:
+    return f"""
+  SELECT model_name{extra},
+         CAST(sum(CASE WHEN isFraud = 0 AND NOT fraud_probability >= {t} THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+         CAST(sum(CASE WHEN isFraud = 0 AND fraud_probability >= {t} THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+         CAST(sum(CASE WHEN isFraud = 1 AND NOT fraud_probability >= {t} THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+         CAST(sum(CASE WHEN isFraud = 1 AND fraud_probability >= {t} THEN 1 ELSE 0 END) AS BIGINT) AS tp
+  FROM {src}"""
+
+
+def _zd(num: str, den: str) -> str:
+    return f"CASE WHEN ({den}) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) ELSE 0.0 END"
+
+
+METRICS = (f"{_zd('tp + tn', 'tp + tn + fp + fn')} AS accuracy, {_zd('tp', 'tp + fp')} AS precision, "
+           f"{_zd('tp', 'tp + fn')} AS recall, {_zd('2 * tp', '2 * tp + fp + fn')} AS f1, "
+           f"{_zd('5 * tp', '5 * tp + 4 * fn + fp')} AS f2")
+COSTS = ("CAST(fn * 500 + fp * 10 AS DOUBLE) AS total_cost, "
+         f"{_zd('fn * 500 + fp * 10', 'tn + fp + fn + tp')} AS average_cost_per_transaction, "
+         "CAST(tp * 500 + tn * 0 AS DOUBLE) AS total_value_saved, "
+         "CAST(tp * 500 + tn * 0 AS DOUBLE) - CAST(fn * 500 + fp * 10 AS DOUBLE) AS net_business_impact")
+AP = """ap AS (
+  SELECT model_name, sum(CAST(tp_s AS DOUBLE) / P * (CAST(cum_tp AS DOUBLE) / cum_n)) AS auc_pr FROM (
+    SELECT model_name, tp_s, sum(tp_s) OVER w AS cum_tp, sum(n_s) OVER w AS cum_n,
+           sum(tp_s) OVER (PARTITION BY model_name) AS P
+    FROM (SELECT model_name, fraud_probability AS s, sum(isFraud) AS tp_s, count(*) AS n_s
+          FROM scored GROUP BY model_name, fraud_probability)
+    WINDOW w AS (PARTITION BY model_name ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  GROUP BY model_name)"""
+REPORT_DOUBLES = ["threshold", "accuracy", "precision", "recall", "f1", "f2", "auc_pr", "total_cost",
+                  "average_cost_per_transaction", "total_value_saved", "net_business_impact"]
+GRID = "grid AS (SELECT CAST(i AS DOUBLE) / 100 AS threshold FROM range(1, 100) r(i))"
+SWEEP = f"""sweep AS (
+  SELECT c.model_name, c.threshold, {METRICS}, ap.auc_pr, tn, fp, fn, tp, {COSTS}
+  FROM ({_counts('g.threshold', 'scored CROSS JOIN grid g', ', g.threshold')} GROUP BY model_name, g.threshold) c
+  JOIN ap ON c.model_name = ap.model_name)"""
+DEFAULT = f"""dflt AS (
+  SELECT c.model_name || '_default_0_5' AS model_name, CAST(0.5 AS DOUBLE) AS threshold, {METRICS}, ap.auc_pr,
+         tn, fp, fn, tp, {COSTS}
+  FROM ({_counts('0.5')} GROUP BY model_name) c JOIN ap ON c.model_name = ap.model_name)"""
+BEST_T = """best_t AS (
+  SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY total_cost, threshold) AS rk
+                             FROM sweep) WHERE rk = 1)"""
+COMPARISON = """comparison AS (
+  SELECT * FROM dflt
+  UNION ALL BY NAME
+  SELECT * REPLACE (model_name || '_cost_optimized' AS model_name) FROM best_t)"""
+BEST_MODEL = """best_model AS (
+  SELECT o.*, regexp_replace(o.model_name, '_cost_optimized$', '') AS base_model, d.total_cost AS default_total_cost
+  FROM (SELECT * FROM comparison WHERE model_name LIKE '%cost_optimized' ORDER BY total_cost, model_name LIMIT 1) o
+  LEFT JOIN comparison d ON regexp_replace(o.model_name, '_cost_optimized$', '') || '_default_0_5' = d.model_name)"""
+EVAL = [EV, TRANSACTIONS, SPLIT, TEST, SCORED, AP, GRID, SWEEP, DEFAULT, BEST_T, COMPARISON, BEST_MODEL]
+
+SQL["decide"] = with_ctes(EVAL[:5], """
+SELECT model_name, TransactionID, CAST(fraud_probability >= 0.5 AS INTEGER) AS predicted_label FROM scored""")
+SQL["recommend"] = with_ctes(EVAL[:5], """
+SELECT model_name, TransactionID,
+       CASE WHEN fraud_probability >= CAST(0.24 AS DOUBLE) + CAST(0.20 AS DOUBLE) THEN 'decline'
+            WHEN fraud_probability >= CAST(0.24 AS DOUBLE) THEN 'review' ELSE 'approve' END AS recommendation
+FROM scored""")
+SQL["confusion_matrix"] = with_ctes(EVAL[:5], _counts("0.5") + " GROUP BY model_name")
+SQL["classification_metrics"] = with_ctes(EVAL[:5], f"SELECT *, {METRICS} FROM ({_counts('0.5')} GROUP BY model_name)",
+                                          ["accuracy", "precision", "recall", "f1", "f2"])
+SQL["average_precision"] = with_ctes(EVAL[:6], "SELECT * FROM ap", ["auc_pr"])
+SQL["business_cost"] = with_ctes(EVAL[:5], f"SELECT *, {COSTS} FROM ({_counts('0.5')} GROUP BY model_name)",
+                                 ["total_cost", "average_cost_per_transaction", "total_value_saved",
+                                  "net_business_impact"])
+SQL["evaluate_threshold"] = with_ctes(EVAL, "SELECT * REPLACE (regexp_replace(model_name, '_default_0_5$', '') AS model_name) FROM dflt",
+                                      REPORT_DOUBLES)
+SQL["threshold_sweep"] = with_ctes(EVAL, "SELECT * FROM sweep", REPORT_DOUBLES)
+SQL["best_threshold"] = with_ctes(EVAL, "SELECT * FROM best_t", REPORT_DOUBLES)
+SQL["threshold_comparison"] = with_ctes(EVAL, "SELECT * FROM comparison", REPORT_DOUBLES)
+SQL["best_model"] = with_ctes(EVAL, "SELECT * FROM best_model", REPORT_DOUBLES)
+SQL["cost_reduction"] = with_ctes(EVAL, """
+SELECT base_model, threshold AS optimized_threshold, default_total_cost AS default_cost, total_cost AS optimized_cost,
+       default_total_cost - total_cost AS cost_reduction,
+       CASE WHEN default_total_cost > 0 THEN (default_total_cost - total_cost) * 100 / default_total_cost ELSE 0.0 END
+         AS percent_reduction
+FROM best_model""", ["optimized_threshold", "default_cost", "optimized_cost", "cost_reduction", "percent_reduction"])
+SQL["best_baseline"] = with_ctes(EVAL, """
+SELECT * FROM (SELECT 'f2' AS criterion, regexp_replace(model_name, '_default_0_5$', '') AS model_name, f2 AS value
+               FROM dflt ORDER BY f2 DESC, model_name LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT 'recall', regexp_replace(model_name, '_default_0_5$', ''), recall FROM dflt
+               ORDER BY recall DESC, regexp_replace(model_name, '_default_0_5$', '') LIMIT 1)""", ["value"])
+SQL["report_string_filters"] = with_ctes(EVAL, """
+SELECT model_name, CAST(model_name LIKE '%_cost_optimized' AS INTEGER) AS is_cost_optimized,
+       regexp_replace(model_name, '_cost_optimized$', '') AS base_model,
+       CAST(regexp_matches(model_name, '(?i)default|optimized') AS INTEGER) AS is_strategy_row, total_cost
+FROM comparison""", ["total_cost"])
+
+ANOM_CTES = [EV, TRANSACTIONS, SPLIT, TEST, ANOM]
+TOPK = """topk AS (
+  SELECT r.method, k.k, count(*) AS flagged_count, CAST(sum(r.isFraud) AS BIGINT) AS fraud_found
+  FROM (SELECT *, row_number() OVER (PARTITION BY method ORDER BY score DESC, TransactionID) AS rn FROM anom) r
+  JOIN (SELECT unnest([100, 250, 500, 1000]) AS k) k ON r.rn <= k.k
+  GROUP BY r.method, k.k),
+topk_report AS (
+  SELECT t.method, CAST(t.k AS INTEGER) AS k, t.flagged_count, t.fraud_found,
+         CASE WHEN t.flagged_count <> 0 THEN t.fraud_found / t.flagged_count ELSE 0.0 END AS precision_at_k,
+         CASE WHEN a.pos <> 0 THEN t.fraud_found / a.pos ELSE 0.0 END AS recall_at_k,
+         CASE WHEN a.rate <> 0 THEN (CASE WHEN t.flagged_count <> 0 THEN t.fraud_found / t.flagged_count ELSE 0.0 END) / a.rate
+              ELSE 0.0 END AS fraud_lift
+  FROM topk t JOIN (SELECT method, sum(isFraud) AS pos, avg(isFraud) AS rate FROM anom GROUP BY method) a
+    ON t.method = a.method)"""
+TOPK_DOUBLES = ["precision_at_k", "recall_at_k", "fraud_lift"]
+SQL["topk_capture"] = with_ctes(ANOM_CTES + [TOPK], "SELECT * FROM topk_report", TOPK_DOUBLES)
+SQL["score_summary"] = with_ctes(ANOM_CTES, """
+SELECT method, avg(CASE WHEN isFraud = 1 THEN score END) AS mean_anomaly_score_fraud,
+       avg(CASE WHEN isFraud = 0 THEN score END) AS mean_anomaly_score_non_fraud,
+       median(CASE WHEN isFraud = 1 THEN score END) AS median_anomaly_score_fraud,
+       median(CASE WHEN isFraud = 0 THEN score END) AS median_anomaly_score_non_fraud
+FROM anom GROUP BY method""", ["mean_anomaly_score_fraud", "mean_anomaly_score_non_fraud",
+                               "median_anomaly_score_fraud", "median_anomaly_score_non_fraud"])
+SQL["score_histogram"] = with_ctes(ANOM_CTES, histogram_sql("anom", "score", ["method", "isFraud"]),
+                                   ["bin_start", "bin_end"])
+USE_CASE_SQL = """CASE method
+  WHEN 'isolation_forest' THEN 'High-dimensional tabular anomaly monitoring for unusual transactions.'
+  WHEN 'local_outlier_factor' THEN 'Local density monitoring for transactions unusual relative to nearby normal behavior.'
+  WHEN 'autoencoder' THEN 'Reconstruction-error monitoring for transactions that do not resemble normal behavior.'
+  ELSE 'Anomaly monitoring.' END"""
+SQL["method_comparison"] = with_ctes(EVAL + [ANOM, TOPK], f"""
+SELECT method, 'unsupervised' AS type, 'precision_at_500' AS main_metric, precision_at_k AS main_metric_value,
+       {USE_CASE_SQL} AS business_use_case
+FROM topk_report WHERE k = 500
+UNION ALL
+SELECT 'supervised_cost_sensitive_best', 'supervised', 'optimized_total_cost', total_cost,
+       'Known-fraud classification with explicit business cost optimization.'
+FROM best_model""", ["main_metric_value"])
+SQL["best_anomaly_method"] = with_ctes(ANOM_CTES + [TOPK], """
+SELECT * FROM topk_report WHERE k = 500 ORDER BY precision_at_k DESC, recall_at_k DESC, method LIMIT 1""",
+                                       TOPK_DOUBLES)
+
+INDEX = """idx AS (
+  SELECT s.TransactionID, s.isFraud AS y_true, s.fraud_probability,
+         CAST(s.fraud_probability >= b.threshold AS INTEGER) AS predicted_label,
+         CASE WHEN s.fraud_probability >= b.threshold + CAST(0.20 AS DOUBLE) THEN 'decline'
+              WHEN s.fraud_probability >= b.threshold THEN 'review' ELSE 'approve' END AS recommendation,
+         (s.TransactionID * 1103515245 + 518490) % 2147483648 AS pos
+  FROM scored s JOIN best_model b ON s.model_name = b.base_model)"""
+SAMPLE = "smp AS (SELECT * FROM idx ORDER BY pos, TransactionID LIMIT 1000)"
+PICKS = """picks AS (
+  SELECT * FROM (
+    SELECT 1 AS pick, * FROM (
+      SELECT * FROM smp ORDER BY (y_true = 1 AND predicted_label = 1) DESC,
+               CASE WHEN y_true = 1 AND predicted_label = 1 THEN pos END NULLS LAST,
+               fraud_probability DESC, pos, TransactionID LIMIT 1) f)
+  UNION ALL
+  SELECT CAST(1 + row_number() OVER (ORDER BY fraud_probability DESC, pos, TransactionID) AS INTEGER), * FROM (
+    SELECT * FROM smp WHERE TransactionID NOT IN (
+      SELECT TransactionID FROM smp ORDER BY (y_true = 1 AND predicted_label = 1) DESC,
+             CASE WHEN y_true = 1 AND predicted_label = 1 THEN pos END NULLS LAST,
+             fraud_probability DESC, pos, TransactionID LIMIT 1)
+    ORDER BY fraud_probability DESC, pos, TransactionID LIMIT 2))"""
+IDX_COLS = "TransactionID, y_true, fraud_probability, predicted_label, recommendation"
+XCTES = EVAL + [INDEX]
+SQL["explanation_index"] = with_ctes(XCTES, f"SELECT {IDX_COLS} FROM idx", ["fraud_probability"])
+SQL["riskiest"] = with_ctes(XCTES, f"SELECT {IDX_COLS} FROM idx ORDER BY fraud_probability DESC, TransactionID LIMIT 10",
+                            ["fraud_probability"])
+SQL["explain_sample"] = with_ctes(XCTES + [SAMPLE], f"SELECT {IDX_COLS} FROM smp", ["fraud_probability"])
+SQL["explanation_picks"] = with_ctes(XCTES + [SAMPLE, PICKS], f"SELECT pick, {IDX_COLS} FROM picks",
+                                     ["fraud_probability"])
+SQL["explain_lookup"] = with_ctes(XCTES, f"""
+SELECT {IDX_COLS} FROM idx
+WHERE CAST(TransactionID AS VARCHAR) = trim('  ' || (SELECT CAST(TransactionID AS VARCHAR) FROM idx
+                                                      ORDER BY fraud_probability DESC, TransactionID LIMIT 1) || ' ')""",
+                                  ["fraud_probability"])
+SQL["explanation_coverage"] = with_ctes(XCTES + [SAMPLE, PICKS], """
+SELECT TransactionID, CAST(TransactionID IN (SELECT TransactionID FROM picks) AS INTEGER) AS has_explanation FROM idx""")
+
+TRAIN_BAL = """bal AS (
+  SELECT sum(CASE WHEN isFraud = 0 THEN 1 ELSE 0 END) / sum(CASE WHEN isFraud = 1 THEN 1 ELSE 0 END) AS scale_pos_weight
+  FROM split WHERE split = 'train')"""
+META = """meta AS (
+  SELECT b.model_name, b.threshold AS optimized_threshold, b.total_cost, b.average_cost_per_transaction,
+         b.total_value_saved, b.net_business_impact, b.auc_pr, b.f2,
+         (SELECT avg(isFraud) * 100 FROM transactions) AS fraud_rate, (SELECT scale_pos_weight FROM bal) AS scale_pos_weight
+  FROM best_model b)"""
+KPIS = """kpis AS (
+  SELECT (SELECT count(*) FROM transactions) AS total_transactions,
+         (SELECT avg(isFraud) * 100 FROM transactions) AS fraud_rate,
+         (SELECT optimized_threshold FROM meta) AS best_threshold,
+         b.recall AS best_recall, b.default_total_cost AS default_cost, b.total_cost AS optimized_cost,
+         b.default_total_cost - b.total_cost AS cost_reduction,
+         CASE WHEN b.default_total_cost <> 0 THEN (b.default_total_cost - b.total_cost) * 100 / b.default_total_cost END
+           AS percent_reduction,
+         b.precision AS best_precision
+  FROM best_model b)"""
+MCTES = EVAL + [TRAIN_BAL, META, KPIS]
+SQL["model_metadata"] = with_ctes(MCTES, "SELECT * FROM meta",
+                                  ["optimized_threshold", "total_cost", "average_cost_per_transaction",
+                                   "total_value_saved", "net_business_impact", "auc_pr", "f2", "fraud_rate",
+                                   "scale_pos_weight"])
+SQL["portfolio_kpis"] = with_ctes(MCTES, "SELECT * FROM kpis",
+                                  ["fraud_rate", "best_threshold", "best_recall", "default_cost", "optimized_cost",
+                                   "cost_reduction", "percent_reduction", "best_precision"])
+_NA = "'Not available — run Module X.'"
+
+
+def _fmt(col: str, kind: str) -> str:
+    if kind == "currency":
+        body = f"'$' || format('{{:,.0f}}', {col})"
+    elif kind == "percent":
+        body = f"printf('%.2f%%', {col})"
+    elif kind == "decimal":
+        body = f"printf('%.4f', {col})"
+    else:
+        body = f"CAST({col} AS VARCHAR)"
+    return f"CASE WHEN {col} IS NULL OR isnan(CAST({col} AS DOUBLE)) THEN {_NA} ELSE {body} END"
+
+
+_KFMT = [("total_transactions", "text"), ("fraud_rate", "percent"), ("best_threshold", "decimal"),
+         ("best_recall", "decimal"), ("default_cost", "currency"), ("optimized_cost", "currency"),
+         ("cost_reduction", "currency"), ("percent_reduction", "percent"), ("best_precision", "decimal")]
+SQL["kpi_formatted"] = with_ctes(MCTES, " UNION ALL ".join(
+    f"SELECT '{k}' AS kpi, {_fmt(k, f)} AS value_text FROM kpis" for k, f in _KFMT))
