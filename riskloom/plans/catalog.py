@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from riskloom.functions import columns as C
 from riskloom.operators.joins import attach_group_stats, join_identity
@@ -21,9 +21,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def r6(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), 6).alias(f.name)
-                       if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+    def rnd(f):
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            return F.round(F.col(f.name), 6).alias(f.name)
+        if isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, (DoubleType, FloatType)):
+            return F.transform(F.col(f.name), lambda x: F.round(x, 6)).alias(f.name)
+        return F.col(f.name)
+    return df.select(*[rnd(f) for f in df.schema.fields])
 
 
 def query(name: str):
@@ -471,3 +475,42 @@ def q_portfolio(spark, sf):
 @query("kpi_formatted")
 def q_kpi_formatted(spark, sf):
     return M.kpi_text(M.portfolio_kpis(_tx(spark, sf), _comparison(spark, sf), _metadata(spark, sf)))
+
+
+# ---------------------------------------------------------------- kNN, resampling, LOF on embeddings
+from riskloom.operators import anomaly as AN  # noqa: E402
+from riskloom.operators import knn as KN  # noqa: E402
+from riskloom.operators import resample as RS  # noqa: E402
+
+
+def _vectors(spark, sf):
+    return A.load_vectors(spark, sf)
+
+
+def _vec_split(spark, sf):
+    return materialize(S.assign_split(_vectors(spark, sf), id_col="vec_id", label="label"))
+
+
+@query("knn_join")
+def q_knn(spark, sf):
+    v = _vectors(spark, sf)
+    return KN.knn_join(v, v, 5)
+
+
+@query("smote")
+def q_smote(spark, sf):
+    v = _vectors(spark, sf)
+    return RS.smote(v, F.col("label") == 0, k=5, label_value=0)
+
+
+@query("tomek_links")
+def q_tomek(spark, sf):
+    return RS.tomek_links(_vectors(spark, sf), F.col("label") == 0)
+
+
+@query("lof")
+def q_lof(spark, sf):
+    v = _vec_split(spark, sf)
+    train = v.where((F.col("split") == "train") & (F.col("label") != 0))
+    test = v.where(F.col("split") == "test")
+    return AN.lof_scores(train, test, k=35).join(test.select("vec_id", "label"), "vec_id")

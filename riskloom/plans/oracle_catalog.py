@@ -404,3 +404,55 @@ _KFMT = [("total_transactions", "text"), ("fraud_rate", "percent"), ("best_thres
          ("cost_reduction", "currency"), ("percent_reduction", "percent"), ("best_precision", "decimal")]
 SQL["kpi_formatted"] = with_ctes(MCTES, " UNION ALL ".join(
     f"SELECT '{k}' AS kpi, {_fmt(k, f)} AS value_text FROM kpis" for k, f in _KFMT))
+
+# ---------------------------------------------------------------- kNN family on embeddings
+E = "e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings)"
+NN_ALL = """nn AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, list_distance(a.x, b.x) AS distance,
+         CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.x, b.x), 9), b.vec_id) AS INTEGER) AS rank
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id)"""
+SQL["knn_join"] = with_ctes([E, NN_ALL], "SELECT * FROM nn WHERE rank <= 5", ["distance"])
+SQL["smote"] = with_ctes([E, """mn AS (
+  SELECT *, row_number() OVER (ORDER BY (vec_id * 1103515245 + 518490) % 2147483648, vec_id) - 1 AS idx
+  FROM e WHERE label = 0)""", """mnn AS (
+  SELECT a.vec_id AS qid, b.vec_id AS nid,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.x, b.x), 9), b.vec_id) AS rnk
+  FROM mn a JOIN mn b ON a.vec_id <> b.vec_id)""", """cnt AS (
+  SELECT (SELECT count(*) FROM e WHERE label <> 0) AS n_maj, (SELECT count(*) FROM mn) AS n_min)""", """slots AS (
+  SELECT slot, (slot * 1103515245 + 12345) % 2147483648 AS h1,
+         CAST((slot * 69069 + 1) % 16777216 AS DOUBLE) / 16777216 AS u
+  FROM (SELECT unnest(range(0, (SELECT n_maj - n_min FROM cnt))) AS slot))"""], """
+SELECT s.slot, m.vec_id AS base_id, n.nid AS neighbor_id, s.u,
+       list_transform(list_zip(m.x, nb.x), lambda p: round(p[1] + s.u * (p[2] - p[1]), 6)) AS features,
+       0 AS label
+FROM slots s
+JOIN mn m ON m.idx = s.h1 % (SELECT n_min FROM cnt)
+JOIN mnn n ON n.qid = m.vec_id AND n.rnk = (s.h1 // 65536) % 5 + 1
+JOIN mn nb ON nb.vec_id = n.nid""", ["u"])
+SQL["tomek_links"] = with_ctes([E, """nn1 AS (
+  SELECT * FROM (
+    SELECT a.vec_id AS qid, b.vec_id AS nid, a.label AS ql, b.label AS nl,
+           row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.x, b.x), 9), b.vec_id) AS rnk
+    FROM e a JOIN e b ON a.vec_id <> b.vec_id) WHERE rnk = 1)"""], """
+SELECT m.qid AS minority_id, m.nid AS majority_id
+FROM nn1 m JOIN nn1 j ON j.qid = m.nid AND j.nid = m.qid
+WHERE m.ql = 0 AND m.nl <> 0""")
+ESPLIT = """es AS (
+  SELECT *, CASE WHEN 5 * row_number() OVER (PARTITION BY label
+                   ORDER BY (vec_id * 1103515245 + 518490) % 2147483648, vec_id)
+                   <= count(*) OVER (PARTITION BY label) THEN 'test' ELSE 'train' END AS split
+  FROM e)"""
+SQL["lof"] = with_ctes([E, ESPLIT, "tr AS (SELECT * FROM es WHERE split = 'train' AND label <> 0)",
+                        "te AS (SELECT * FROM es WHERE split = 'test')", """nt AS (
+  SELECT * FROM (SELECT a.vec_id AS p, b.vec_id AS o, list_distance(a.x, b.x) AS d,
+                        row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.x, b.x), 9), b.vec_id) AS rnk
+                 FROM tr a JOIN tr b ON a.vec_id <> b.vec_id) WHERE rnk <= 35)""",
+                        "kd AS (SELECT p, max(d) AS kdist FROM nt GROUP BY p)", """lrd AS (
+  SELECT nt.p, 1.0 / (avg(greatest(kd.kdist, nt.d)) + 1e-10) AS lrd FROM nt JOIN kd ON kd.p = nt.o GROUP BY nt.p)""",
+                        """nq AS (
+  SELECT * FROM (SELECT a.vec_id AS q, b.vec_id AS o, list_distance(a.x, b.x) AS d,
+                        row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.x, b.x), 9), b.vec_id) AS rnk
+                 FROM te a JOIN tr b ON a.vec_id <> b.vec_id) WHERE rnk <= 35)"""], """
+SELECT nq.q AS vec_id, avg(l.lrd) / (1.0 / (avg(greatest(kd.kdist, nq.d)) + 1e-10)) AS lof, any_value(te.label) AS label
+FROM nq JOIN kd ON kd.p = nq.o JOIN lrd l ON l.p = nq.o JOIN te ON te.vec_id = nq.q
+GROUP BY nq.q""", ["lof"])
