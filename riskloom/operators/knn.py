@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from riskloom.operators.split import split_hash
+from riskloom.session import materialize
 
 OUT_SCHEMA = StructType([StructField("query_id", LongType()), StructField("neighbor_id", LongType()),
                          StructField("distance", DoubleType())])
@@ -135,14 +136,14 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id",
     P = np.array([r[0] for r in piv], dtype=float)
     bc_p = spark.sparkContext.broadcast(P)
     nearest = _nearest_pivot_udf(bc_p)
-    B2 = B.withColumn("__c", nearest("bv")).select(F.col("__c.cell").alias("cell"), F.col("__c.dp").alias("dp"),
-                                                   "bid", "bv")
-    Q2 = Q.withColumn("__c", nearest("qv")).select(F.col("__c.cell").alias("cell"), "qid", "qv")
+    B2 = materialize(B.withColumn("__c", nearest("bv")).select(
+        F.col("__c.cell").alias("cell"), F.col("__c.dp").alias("dp"), "bid", "bv"))
+    Q2 = materialize(Q.withColumn("__c", nearest("qv")).select(F.col("__c.cell").alias("cell"), "qid", "qv"))
     brows = B2.select("cell", "bid", "bv")
-    r1 = _blocks(spark, Q2, brows, k, exclude_self, block)
+    r1 = materialize(_blocks(spark, Q2, brows, k, exclude_self, block))
     w = Window.partitionBy("query_id").orderBy(F.round("distance", TIE_DECIMALS), "neighbor_id")
     if m == 1:                      # one cell: round 1 already saw every base row
-        return r1.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        return materialize(r1.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
     bound = r1.groupBy(F.col("query_id").alias("qid")).agg(
         F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
     Q3 = Q2.join(bound, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
@@ -153,4 +154,4 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id",
     cands = _candidate_cells_udf(bc_p, bc_r)
     Q4 = Q3.select(F.explode(cands("qv", "cell", "bound")).alias("cell"), "qid", "qv")
     r2 = _blocks(spark, Q4, brows, k, exclude_self, block)
-    return r1.unionByName(r2).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return materialize(r1.unionByName(r2).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))

@@ -158,11 +158,7 @@ from riskloom.operators import split as S  # noqa: E402
 from riskloom.schemas import model_input_columns  # noqa: E402
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the shared checkpoint folder."""
-    from riskloom.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from riskloom.session import materialize  # noqa: E402
 
 
 def split_features(spark, sf) -> DataFrame:
@@ -514,3 +510,91 @@ def q_lof(spark, sf):
     train = v.where((F.col("split") == "train") & (F.col("label") != 0))
     test = v.where(F.col("split") == "test")
     return AN.lof_scores(train, test, k=35).join(test.select("vec_id", "label"), "vec_id")
+
+
+# ---------------------------------------------------------------- models (rows-only keys)
+from riskloom.plans import cost as CS  # noqa: E402
+from riskloom.plans import imbalance as IM  # noqa: E402
+
+_MEMO: dict = {}
+
+
+def memo(spark, sf, name, fn):
+    """Per-session reuse of a materialized stage output or fitted model
+    (the file contract between the reference's stages)."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
+def clear_memo():
+    _MEMO.clear()
+
+
+def _matrix(spark, sf):
+    return memo(spark, sf, "matrix", lambda: (lambda mc: (materialize(mc[0]), mc[1]))(model_matrix(spark, sf)))
+
+
+def _gbt_models(spark, sf):
+    m, cols = _matrix(spark, sf)
+    return memo(spark, sf, "gbt", lambda: CS.train_models(m, cols, trees=MD_TREES))
+
+
+MD_TREES = int(__import__('os').environ.get('RISKLOOM_TREES', '300'))
+
+
+def _gbt_report(spark, sf):
+    m, cols = _matrix(spark, sf)
+    return memo(spark, sf, "gbt_report", lambda: {
+        k: (materialize(v) if isinstance(v, DataFrame) else v)
+        for k, v in CS.cost_sensitive_report(m, cols, _gbt_models(spark, sf)).items()})
+
+
+def _lr(strategy):
+    def fn(spark, sf):
+        m, cols = _matrix(spark, sf)
+        return IM.strategy_scores(m, cols, strategy)
+    return fn
+
+
+for _k, _s in [("lr_naive", IM.NAIVE), ("lr_class_weight", IM.WEIGHTED), ("lr_smote", IM.SMOTE_LR),
+               ("lr_tomek", IM.TOMEK_LR)]:
+    query(_k)(_lr(_s))
+
+
+@query("imbalance_comparison")
+def q_imbalance(spark, sf):
+    m, cols = _matrix(spark, sf)
+    return IM.imbalance_comparison(m, cols)
+
+
+@query("cv_f2")
+def q_cv(spark, sf):
+    m, cols = _matrix(spark, sf)
+    return IM.cross_validate(m, cols, 3)
+
+
+@query("gbt_deep")
+def q_gbt_deep(spark, sf):
+    return _gbt_report(spark, sf)["scores"].where(F.col("model_name") == CS.DEEP)
+
+
+@query("gbt_depth5")
+def q_gbt_depth5(spark, sf):
+    return _gbt_report(spark, sf)["scores"].where(F.col("model_name") == CS.SHALLOW)
+
+
+@query("model_threshold_search")
+def q_model_sweep(spark, sf):
+    return _gbt_report(spark, sf)["threshold_search"]
+
+
+@query("cost_sensitive_report")
+def q_cost_report(spark, sf):
+    return _gbt_report(spark, sf)["comparison"]
+
+
+@query("best_model_metadata")
+def q_best_meta(spark, sf):
+    return _gbt_report(spark, sf)["metadata"]

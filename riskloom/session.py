@@ -48,3 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
+    (survives executor loss; never a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
