@@ -12,3 +12,14 @@ streaming  micro-batch scoring of the row-local features
 """
 
 __version__ = "0.1.0"
+
+# Ship the package's UDF code inside the pickled tasks (pickle by value), so
+# executors need no copy of this package on their path.
+try:  # pragma: no cover - depends on the PySpark build
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass

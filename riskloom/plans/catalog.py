@@ -598,3 +598,59 @@ def q_cost_report(spark, sf):
 @query("best_model_metadata")
 def q_best_meta(spark, sf):
     return _gbt_report(spark, sf)["metadata"]
+
+
+# ---------------------------------------------------------------- anomaly models (rows-only keys)
+from riskloom.plans import anomaly as AJ  # noqa: E402
+from riskloom.operators.reconstruct import pca_reconstruction as _pca  # noqa: E402
+
+
+def _anomaly_inputs(spark, sf):
+    m, cols = _matrix(spark, sf)
+    return memo(spark, sf, "anomaly_inputs", lambda: AJ.prepare(m, cols))
+
+
+def _real_anomaly_scores(spark, sf):
+    def build():
+        normal, test, cont = _anomaly_inputs(spark, sf)
+        a = materialize(AJ.score_isolation_forest(normal, test, cont))
+        b = materialize(AJ.score_lof(normal, test))
+        c = materialize(AJ.score_autoencoder(normal, test)[0])
+        return {"if": a, "lof": b, "ae": c, "all": a.unionByName(b).unionByName(c)}
+    return memo(spark, sf, "anomaly_scores", build)
+
+
+@query("isolation_forest")
+def q_iforest(spark, sf):
+    return _real_anomaly_scores(spark, sf)["if"]
+
+
+@query("lof_transactions")
+def q_lof_tx(spark, sf):
+    return _real_anomaly_scores(spark, sf)["lof"]
+
+
+@query("autoencoder")
+def q_autoencoder(spark, sf):
+    return _real_anomaly_scores(spark, sf)["ae"]
+
+
+@query("pca_reconstruction")
+def q_pca(spark, sf):
+    normal, test, _ = _anomaly_inputs(spark, sf)
+    return _pca(normal, test, 16, keep=(ID, "isFraud"))
+
+
+@query("anomaly_scores")
+def q_anomaly_scores(spark, sf):
+    return _real_anomaly_scores(spark, sf)["all"]
+
+
+@query("anomaly_report")
+def q_anomaly_report(spark, sf):
+    return AJ.anomaly_report(_real_anomaly_scores(spark, sf)["all"], _gbt_report(spark, sf)["comparison"])["comparison"]
+
+
+@query("anomaly_topk")
+def q_anomaly_topk(spark, sf):
+    return AJ.anomaly_report(_real_anomaly_scores(spark, sf)["all"])["topk"]
