@@ -654,3 +654,58 @@ def q_anomaly_report(spark, sf):
 @query("anomaly_topk")
 def q_anomaly_topk(spark, sf):
     return AJ.anomaly_report(_real_anomaly_scores(spark, sf)["all"])["topk"]
+
+
+# ---------------------------------------------------------------- explanation (rows-only keys)
+from riskloom.plans import explanation as XJ  # noqa: E402
+
+
+def _best_fitted(spark, sf):
+    rep = _gbt_report(spark, sf)
+    best = rep["metadata"].select("model_name", "optimized_threshold").first()
+    base = best["model_name"].replace(EV.OPTIMIZED_SUFFIX, "")
+    return _gbt_models(spark, sf)[base], float(best["optimized_threshold"])
+
+
+def _explained(spark, sf):
+    m, cols = _matrix(spark, sf)
+
+    def build():
+        model, t = _best_fitted(spark, sf)
+        return XJ.explanation_job(m, cols, model, t, sample=1000)
+    return memo(spark, sf, "explained", build)
+
+
+@query("tree_shap")
+def q_tree_shap(spark, sf):
+    return _explained(spark, sf)["shap"]
+
+
+@query("global_importance")
+def q_global_importance(spark, sf):
+    return _explained(spark, sf)["importance"]
+
+
+@query("local_explanation")
+def q_local_explanation(spark, sf):
+    return _explained(spark, sf)["local"]
+
+
+@query("dependence_data")
+def q_dependence(spark, sf):
+    return _explained(spark, sf)["dependence"]
+
+
+@query("summary_data")
+def q_summary(spark, sf):
+    return _explained(spark, sf)["summary"]
+
+
+@query("explain_text")
+def q_explain_text(spark, sf):
+    return _explained(spark, sf)["text"]
+
+
+@query("explanation_report")
+def q_explanation_report(spark, sf):
+    return _explained(spark, sf)["index"]
