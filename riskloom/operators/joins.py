@@ -31,7 +31,8 @@ def join_identity(tx: DataFrame, identity: DataFrame, key: str = ID,
     return merged, tx_cols, [n for _, n in renamed]
 
 
-def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
+def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column],
+                       source: DataFrame | None = None) -> DataFrame:
     """Compute ``aggs`` per group of ``keys`` and attach them to every row.
 
     Missing keys form one group (``<=>``).  The statistics are a partial
@@ -39,9 +40,12 @@ def attach_group_stats(df: DataFrame, keys: list[str], aggs: list[Column]) -> Da
     when the statistics table is small at run time and split skewed key
     partitions otherwise.  (A window over the key would put a hot key's
     rows into one task.)
+
+    ``source``: compute the statistics from this (narrow, upstream) frame
+    instead of ``df`` so that a long ``df`` plan is not derived twice.
     """
     tmp = [f"__gk{i}" for i in range(len(keys))]
-    stats = df.groupBy(*keys).agg(*aggs)
+    stats = (source if source is not None else df).groupBy(*keys).agg(*aggs)
     stats = stats.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)],
                          *[c for c in stats.columns if c not in keys])
     cond = [df[k].eqNullSafe(stats[t]) for k, t in zip(keys, tmp)]

@@ -12,6 +12,7 @@ from riskloom.operators import models as MD
 from riskloom.operators.split import class_balance
 from riskloom.plans.mart import model_metadata
 from riskloom.schemas import ID, LABEL
+from riskloom.session import materialize
 
 # Model names of the two boosted-tree configurations.
 DEEP, SHALLOW = "gbt_deep", "gbt_depth5"
@@ -38,7 +39,9 @@ def test_scores(matrix: DataFrame, cols: list[str], models: dict) -> DataFrame:
 
 
 def cost_sensitive_report(matrix: DataFrame, cols: list[str], models: dict, scored: DataFrame | None = None) -> dict:
-    scored = scored if scored is not None else test_scores(matrix, cols, models)
+    # the scores feed four aggregates: cut lineage once instead of
+    # re-scoring the test rows for each of them
+    scored = materialize(scored if scored is not None else test_scores(matrix, cols, models))
     ap = EV.average_precision(scored)
     sweep = EV.threshold_sweep(scored, ap=ap)
     comparison = EV.threshold_comparison(scored, sweep)

@@ -63,18 +63,21 @@ def build_features(tx: DataFrame, identity: DataFrame,
         *([C.null_count([F.col(c) for c in id_cols]).alias("identity_missing_count")]
           if id_cols else []),
     )
-    # Whole-table card statistics (include later rows, as the source does).
+    # Whole-table statistics (include later rows, as the source does), all
+    # aggregated from the narrow row-local ``base`` so the long main plan is
+    # never derived twice; the stats branches share the base's exchanges.
+    base = row
     row = attach_group_stats(row, [CARD], [
         F.avg(AMOUNT).alias("card1_avg_amt"),
         F.count(ID).cast("int").alias("card1_txn_count_total"),
-    ])
+    ], source=base)
     row = row.withColumn("card1_amt_deviation", a - F.col("card1_avg_amt")) \
              .withColumn("card1_amt_ratio_to_avg", C.safe_ratio(a, F.col("card1_avg_amt")))
     row = add_velocity_counts(row, VELOCITY_WINDOWS, bucket_seconds=bucket_seconds)
     row = attach_group_stats(row, ["__email_combo"],
-                             [F.count(F.lit(1)).alias("card_email_combo_seen_count")])
+                             [F.count(F.lit(1)).alias("card_email_combo_seen_count")], source=base)
     row = attach_group_stats(row, ["__device_combo"],
-                             [F.count(F.lit(1)).alias("card_device_combo_seen_count")])
+                             [F.count(F.lit(1)).alias("card_device_combo_seen_count")], source=base)
     out = [c for c in FEATURE_COLUMNS if c in row.columns]
     return row.select(*out)
 

@@ -1,0 +1,10 @@
+"""Streaming.
+
+The source system is batch only: it has no stream, watermark, window over
+event time arriving late, or stateful operator (real-time scoring is listed
+there as future work).  Nothing is streamed here either; every operator of
+this package is a batch DataFrame job.  A micro-batch consumer can apply the
+row-local functions of :mod:`riskloom.functions` inside ``foreachBatch``,
+but the whole-table features (card averages, combination counts, velocity
+over history) need the batch jobs.
+"""
