@@ -24,9 +24,12 @@ def train_models(matrix: DataFrame, cols: list[str], trees: int = MD.GBT_TREES)
     if not bal["positive_count"]:
         raise ZeroDivisionError("no positive training rows: scale_pos_weight is undefined")
     spw = float(bal["scale_pos_weight"])
-    return {"scale_pos_weight": spw,
-            DEEP: MD.fit_gbt(train, spw, MD.GBT_DEEP_DEPTH, trees),
-            SHALLOW: MD.fit_gbt(train, spw, MD.GBT_SHALLOW_DEPTH, trees)}
+    # the two fits are independent jobs: submit them concurrently
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        deep = pool.submit(MD.fit_gbt, train, spw, MD.GBT_DEEP_DEPTH, trees)
+        shallow = pool.submit(MD.fit_gbt, train, spw, MD.GBT_SHALLOW_DEPTH, trees)
+        return {"scale_pos_weight": spw, DEEP: deep.result(), SHALLOW: shallow.result()}
 
 
 def test_scores(matrix: DataFrame, cols: list[str], models: dict) -> DataFrame:
