@@ -20,6 +20,23 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (100 TB inputs): many shuffle
+# partitions that AQE coalesces to ~256 MB, skew splitting of hot join keys,
+# 256 MB scan splits, a shared checkpoint folder (given by the cluster).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
 def get_spark(master: str = "local[8]", app: str = "riskloom",
               shuffle_partitions: int = 8, conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)

@@ -66,3 +66,27 @@ def test_topk_uses_group_limit(spark):
     from riskloom.plans import catalog as C
     plan = C.QUERIES["topk_capture"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_velocity_windows_share_one_exchange(spark):
+    from riskloom.operators.velocity import add_velocity_counts
+    from riskloom.sources.adapters import load_transactions
+    tx = load_transactions(spark, SF).select("TransactionID", "card1", "TransactionDT")
+    plan = add_velocity_counts(tx)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_velocity_monotone_in_window(spark):
+    from pyspark.sql import functions as F
+    f = E.entry(spark)
+    bad = f.where((F.col("card1_txn_count_past_1hr") > F.col("card1_txn_count_past_6hr"))
+                  | (F.col("card1_txn_count_past_6hr") > F.col("card1_txn_count_past_24hr"))
+                  | (F.col("card1_txn_count_past_24hr") > F.col("card1_txn_count_total"))).count()
+    assert bad == 0
+
+
+def test_no_unpartitioned_window_in_feature_plan(spark):
+    import re
+    plan = E.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    for m in re.finditer(r"Window \[.*?\], \[(.*?)\], \[", plan):
+        assert m.group(1).strip() != ""
