@@ -4,6 +4,7 @@ oracle comparison is not at the mercy of summation order."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -541,7 +542,7 @@ def _gbt_models(spark, sf):
     return memo(spark, sf, "gbt", lambda: CS.train_models(m, cols, trees=MD_TREES))
 
 
-MD_TREES = int(__import__('os').environ.get('RISKLOOM_TREES', '300'))
+MD_TREES = int(os.environ.get("RISKLOOM_TREES", "300"))
 
 
 def _gbt_report(spark, sf):
