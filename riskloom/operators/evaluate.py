@@ -85,7 +85,7 @@ def with_costs(counts: DataFrame) -> DataFrame:
 
 
 def average_precision(scored: DataFrame, by=(MODEL,), label: str = LABEL, prob: str = PROB,
-                      buckets: int = 4096) -> DataFrame:
+                      buckets: int = 65536) -> DataFrame:
     """Step-wise average precision, sum over distinct scores (descending) of
     (new positives / P) * precision; tied scores form one step.
 

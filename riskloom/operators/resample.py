@@ -19,12 +19,12 @@ SLOT_MULT, SLOT_INC, GAP_MULT, GAP_BITS = 1103515245, 12345, 69069, 24
 
 def index_rows(df: DataFrame, id_col: str, name: str = "__idx") -> DataFrame:
     """Dense 0..n-1 index in (split hash, id) order, without a global window:
-    4096 hash buckets, prefix counts over the bucket table, row_number
-    inside each bucket."""
+    65536 hash buckets, prefix counts over the (bounded) bucket table,
+    row_number inside each bucket."""
     h = split_hash(F.col(id_col))
     x = df.withColumn("__h", h).withColumn("__bk", F.shiftright("__h", BUCKET_SHIFT))
     counts = x.groupBy("__bk").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)   # <= 4096 rows
+    w = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)   # <= 65536 rows
     pre = counts.select("__bk", F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__before"))
     x = x.join(F.broadcast(pre), "__bk")
     rn = F.row_number().over(Window.partitionBy("__bk").orderBy("__h", id_col))

@@ -7,7 +7,7 @@ integer hash ``h`` of the id (ties by id) and the first
 ``floor(n_label * test_fraction)`` rows are the test split.
 
 Exact membership without a window over a whole label: ``h`` is cut into
-4096 buckets; counts per (label, bucket) (a tiny table) give, by prefix
+65536 buckets; counts per (label, bucket) (a bounded table) give, by prefix
 sums, which buckets are entirely test, entirely train, or the single
 boundary bucket per label.  Only the boundary bucket's rows are ranked.
 """
@@ -25,7 +25,7 @@ from riskloom.schemas import ID, LABEL
 HASH_MULT = 1103515245
 HASH_INC = 12345
 MODULUS = 2 ** 31
-BUCKET_SHIFT = 19          # 2^31 / 2^19 = 4096 buckets
+BUCKET_SHIFT = 15          # 2^31 / 2^15 = 65536 buckets
 SEED = 42
 
 _H, _BK = "__h", "__bucket"
@@ -49,7 +49,7 @@ def assign_split(df: DataFrame, test_fraction: float = 0.2, seed: int = SEED,
     x = df.withColumn(_H, split_hash(F.col(id_col), seed)) \
           .withColumn(_BK, F.shiftright(F.col(_H), BUCKET_SHIFT))
     counts = x.groupBy(label, _BK).agg(F.count(F.lit(1)).alias("__cnt"))
-    # at most (#labels x 4096) rows, then one row per label
+    # at most (#labels x 65536) rows, then one row per label
     totals = counts.groupBy(label).agg(F.sum("__cnt").alias("__n"))
     table = _prefix_table(counts, label).join(totals, label).select(
         label, _BK, "__cnt", "__before",
