@@ -12,11 +12,23 @@ form is ``row_number - count(t) over (range unbounded .. (w+1) preceding)``
 on integer seconds.
 
 Scale: a window partitioned by the key alone puts a hot key (say the
-missing card) into one task.  Rows are therefore partitioned by
-``(key, time bucket)`` with buckets of ``bucket_seconds >= max(w)``; each row
-near the end of its bucket is also copied, as a *ghost*, into the next
-bucket so that every look-back window lies inside one partition.  Ghosts
-carry only the key, time and id; they are dropped after the windows.
+missing card) into one task.  Two exact strategies avoid that:
+
+``ghost`` (default): rows are partitioned by ``(key, time bucket)`` with
+buckets of ``bucket_seconds >= max(w)``; each row near the end of its bucket
+is also copied, as a narrow *ghost*, into the next bucket so that every
+look-back window lies inside one partition.  One exchange for all windows.
+
+``probe``: for keys that are dense even within one bucket.  With fine
+buckets of any width, count_i = C_le(i) - C_lt(t_i - w), where C are
+cumulative counts per key.  Each row emits one narrow *probe* per window at
+time ``t_i - w``; a running count of real rows per (key, fine bucket) gives
+both terms inside their buckets, and a prefix over the (bounded) per-key
+bucket table adds the rows of earlier buckets.  Partitions are bounded by
+the rows of one key in one fine bucket; the counts return by id.
+
+``auto`` checks the largest (key, coarse bucket) group with a partial
+aggregate and switches to ``probe`` above ``hot_rows``.
 """
 
 from __future__ import annotations
@@ -31,9 +43,17 @@ _B, _G = "__vbucket", "__ghost"
 
 def add_velocity_counts(df: DataFrame, windows: dict[str, int] | None = None,
                         key: str = CARD, time: str = TIME, order_id: str = ID,
-                        bucket_seconds: int | None = None) -> DataFrame:
+                        bucket_seconds: int | None = None, strategy: str = "ghost",
+                        hot_rows: int = 5_000_000, fine_seconds: int = 600) -> DataFrame:
     windows = dict(windows or VELOCITY_WINDOWS)
     wmax = max(windows.values())
+    if strategy == "auto":
+        width = int(bucket_seconds or wmax)
+        biggest = df.groupBy(key, F.floor(F.col(time) / F.lit(float(width)))).count() \
+                    .agg(F.max("count")).first()[0] or 0
+        strategy = "probe" if biggest > hot_rows else "ghost"
+    if strategy == "probe":
+        return _probe_counts(df, windows, key, time, order_id, fine_seconds)
     width = int(bucket_seconds or wmax)
     if width < wmax:
         raise ValueError("bucket_seconds must be at least the longest window")
@@ -57,3 +77,40 @@ def add_velocity_counts(df: DataFrame, windows: dict[str, int] | None = None,
         older = part.orderBy(F.col(time).asc_nulls_last()).rangeBetween(Window.unboundedPreceding, -(w + 1))
         x = x.withColumn(name, (F.col("__rn") - F.count(t).over(older)).cast("int"))
     return x.where(F.col(_G) == 0).select(*df.columns, *windows.keys())
+
+
+def _probe_counts(df: DataFrame, windows: dict[str, int], key: str, time: str, order_id: str,
+                  fine: int) -> DataFrame:
+    """Exact counts with partitions bounded by one key's rows in one fine
+    bucket (ids must be unique)."""
+    t = F.col(time)
+    kv, kn = F.coalesce(F.col(key), F.lit(0)).alias("__kv"), F.col(key).isNull().alias("__kn")
+    part = ["__kv", "__kn", "__b"]
+    timed = df.where(t.isNotNull())
+    recs = timed.select(kv, kn, F.col(order_id).alias("__id"), t.alias("__t"),
+                        F.floor(t / F.lit(float(fine))).alias("__b"), F.lit(1).alias("__real"),
+                        F.lit(None).cast("string").alias("__w"))
+    for name, w in windows.items():
+        recs = recs.unionByName(timed.select(
+            kv, kn, F.col(order_id).alias("__id"), (t - w).alias("__t"),
+            F.floor((t - w) / F.lit(float(fine))).alias("__b"), F.lit(0).alias("__real"),
+            F.lit(name).alias("__w")))
+    # real rows up to this record in (time, probe-before-real, id) order
+    run = Window.partitionBy(*part).orderBy("__t", "__real", "__id") \
+                .rowsBetween(Window.unboundedPreceding, 0)
+    recs = recs.withColumn("__run", F.sum("__real").over(run))
+    # rows of earlier buckets of the same key: a prefix over the bucket table
+    bt = recs.groupBy(*part).agg(F.sum("__real").alias("__cnt"))
+    pre = Window.partitionBy("__kv", "__kn").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    bt = bt.select(*part, F.coalesce(F.sum("__cnt").over(pre), F.lit(0)).alias("__before"))
+    recs = recs.join(bt, part).withColumn("__c", F.col("__before") + F.col("__run"))
+    got = recs.groupBy("__id").agg(
+        F.max(F.when(F.col("__real") == 1, F.col("__c"))).alias("__le"),
+        *[F.max(F.when(F.col("__w") == n, F.col("__c"))).alias(f"__lt_{i}") for i, n in enumerate(windows)])
+    counts = got.select(F.col("__id").alias(order_id), *[
+        (F.col("__le") - F.col(f"__lt_{i}")).cast("int").alias(n) for i, n in enumerate(windows)])
+    # missing times: position among the key's missing-time rows (by id)
+    untimed = df.where(t.isNull()).select(order_id, *[
+        F.row_number().over(Window.partitionBy(key).orderBy(order_id)).cast("int").alias(n)
+        for n in windows])
+    return df.join(counts.unionByName(untimed), order_id, "left").select(*df.columns, *windows.keys())

@@ -34,9 +34,21 @@ def amount_features(tx: DataFrame) -> DataFrame:
                     C.safe_ratio(a, avg).alias("card1_amt_ratio_to_avg"))
 
 
+def velocity_strategy(tx: DataFrame, hot_rows: int = 5_000_000, bucket_seconds: int | None = None) -> str:
+    """'probe' when some (card, day) group exceeds ``hot_rows`` rows, else
+    'ghost' — a partial aggregate over two narrow columns of the raw table."""
+    width = float(bucket_seconds or max(VELOCITY_WINDOWS.values()))
+    biggest = tx.groupBy(CARD, F.floor(F.col(TIME) / F.lit(width))).count().agg(F.max("count")).first()[0]
+    return "probe" if (biggest or 0) > hot_rows else "ghost"
+
+
 def build_features(tx: DataFrame, identity: DataFrame,
-                   bucket_seconds: int | None = None) -> DataFrame:
-    """The 23-column feature matrix (one row per transaction)."""
+                   bucket_seconds: int | None = None, velocity: str = "auto",
+                   hot_rows: int = 5_000_000) -> DataFrame:
+    """The 23-column feature matrix (one row per transaction).
+
+    ``velocity``: 'ghost', 'probe' or 'auto' (size check on the raw table,
+    see :mod:`riskloom.operators.velocity`)."""
     require_columns(tx, [LABEL], "transactions")
     require_columns(tx, TX_REQUIRED, "transactions")
     require_columns(identity, [ID], "identity")
@@ -73,7 +85,9 @@ def build_features(tx: DataFrame, identity: DataFrame,
     ], source=base)
     row = row.withColumn("card1_amt_deviation", a - F.col("card1_avg_amt")) \
              .withColumn("card1_amt_ratio_to_avg", C.safe_ratio(a, F.col("card1_avg_amt")))
-    row = add_velocity_counts(row, VELOCITY_WINDOWS, bucket_seconds=bucket_seconds)
+    if velocity == "auto":
+        velocity = velocity_strategy(tx, hot_rows, bucket_seconds)
+    row = add_velocity_counts(row, VELOCITY_WINDOWS, bucket_seconds=bucket_seconds, strategy=velocity)
     row = attach_group_stats(row, ["__email_combo"],
                              [F.count(F.lit(1)).alias("card_email_combo_seen_count")], source=base)
     row = attach_group_stats(row, ["__device_combo"],

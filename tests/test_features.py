@@ -97,3 +97,22 @@ def test_missing_label_raises(spark):
     tx = spark.createDataFrame([(1, 1.0)], "TransactionID long, TransactionAmt double")
     with pytest.raises(ValueError):
         build_features(tx, spark.createDataFrame([(1,)], "TransactionID long"))
+
+
+def test_probe_strategy_matches_ghost(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice([None, 1, 2, 3]), rnd.choice([None] + list(range(-20000, 90000, 377))))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "TransactionID long, card1 long, TransactionDT long")
+    w = {"a": 3600, "b": 21600, "c": 86400}
+    g = add_velocity_counts(df, w).orderBy("TransactionID").collect()
+    p = add_velocity_counts(df, w, strategy="probe", fine_seconds=500).orderBy("TransactionID").collect()
+    assert [tuple(r) for r in g] == [tuple(r) for r in p]
+    ties = [(1, 7, 0), (2, 7, 3600), (3, 7, 3600), (4, 7, 7200), (5, 7, 7201), (6, 7, None), (7, 7, None)]
+    assert _vel(spark, ties) == [1, 2, 3, 3, 2, 1, 2]
+    d2 = spark.createDataFrame(ties, "TransactionID long, card1 long, TransactionDT long")
+    out = add_velocity_counts(d2, {"c": 3600}, strategy="probe", fine_seconds=1000)
+    assert [r["c"] for r in out.orderBy("TransactionID").collect()] == [1, 2, 3, 3, 2, 1, 2]
+    auto = add_velocity_counts(d2, {"c": 3600}, strategy="auto", hot_rows=2)
+    assert [r["c"] for r in auto.orderBy("TransactionID").collect()] == [1, 2, 3, 3, 2, 1, 2]

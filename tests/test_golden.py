@@ -48,3 +48,26 @@ def test_order_ties_sum(spark):
     tx = A.load_order_transactions(spark, "/root/testdata/sf0.01").select("TransactionID", "card1", "TransactionDT")
     v = add_velocity_counts(tx, {"c": 86400})
     assert v.agg(F.sum("c")).first()[0] == 15085
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_velocity_sums_probe_strategy(spark, sf):
+    tx = A.load_transactions(spark, f"/root/testdata/sf{sf}").select("TransactionID", "card1", "TransactionDT")
+    v = add_velocity_counts(tx, strategy="probe", fine_seconds=900)
+    r = v.agg(*[F.sum(c) for c in VELOCITY_WINDOWS]).first()
+    assert tuple(int(x) for x in r) == VELOCITY[sf]
+
+
+def test_order_ties_sum_probe(spark):
+    tx = A.load_order_transactions(spark, "/root/testdata/sf0.01").select("TransactionID", "card1", "TransactionDT")
+    v = add_velocity_counts(tx, {"c": 86400}, strategy="probe", fine_seconds=3600)
+    assert v.agg(F.sum("c")).first()[0] == 15085
+
+
+def test_feature_matrix_probe_equals_ghost(spark):
+    from riskloom.plans.features import build_features
+    d = "/root/testdata/sf0.001"
+    tx, ident = A.load_transactions(spark, d), A.load_identity(spark, d)
+    a = build_features(tx, ident, velocity="ghost").orderBy("TransactionID").collect()
+    b = build_features(tx, ident, velocity="probe").orderBy("TransactionID").collect()
+    assert a == b
