@@ -38,6 +38,22 @@ def query(name: str):
     return deco
 
 
+_MEMO: dict = {}
+
+
+def memo(spark, sf, name, fn):
+    """Per-session reuse of a materialized stage output or fitted model
+    (the file contract between the reference's stages)."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
+def clear_memo():
+    _MEMO.clear()
+
+
 def _tx(spark, sf):
     return A.load_transactions(spark, sf)
 
@@ -273,7 +289,8 @@ from riskloom.plans import mart as M  # noqa: E402
 
 
 def _test_rows(spark, sf):
-    return materialize(S.assign_split(_tx(spark, sf).select(ID, "isFraud")).where(F.col("split") == "test"))
+    return memo(spark, sf, "test_rows", lambda: materialize(
+        S.assign_split(_tx(spark, sf).select(ID, "isFraud")).where(F.col("split") == "test")))
 
 
 def closed_form_scores(test: DataFrame) -> DataFrame:
@@ -302,7 +319,7 @@ def closed_form_anomaly_scores(test: DataFrame) -> DataFrame:
 
 
 def _scored(spark, sf):
-    return closed_form_scores(_test_rows(spark, sf))
+    return memo(spark, sf, "scored", lambda: materialize(closed_form_scores(_test_rows(spark, sf))))
 
 
 def _anomaly(spark, sf):
@@ -310,15 +327,17 @@ def _anomaly(spark, sf):
 
 
 def _comparison(spark, sf):
-    return materialize(EV.threshold_comparison(materialize(_scored(spark, sf))))
+    return memo(spark, sf, "comparison", lambda: materialize(EV.threshold_comparison(_scored(spark, sf))))
 
 
 def _index(spark, sf):
-    sc = materialize(_scored(spark, sf))
-    best = EV.best_model(_comparison(spark, sf)).select(
-        F.col("base_model").alias("model_name"), F.col("threshold").alias("__t"))
-    x = sc.join(best, "model_name")          # equi-join on the one best model
-    return materialize(RV.explanation_index(x, F.col("__t")))
+    def build():
+        sc = _scored(spark, sf)
+        best = EV.best_model(_comparison(spark, sf)).select(
+            F.col("base_model").alias("model_name"), F.col("threshold").alias("__t"))
+        x = sc.join(best, "model_name")          # equi-join on the one best model
+        return materialize(RV.explanation_index(x, F.col("__t")))
+    return memo(spark, sf, "index", build)
 
 
 @query("decide")
@@ -517,22 +536,6 @@ def q_lof(spark, sf):
 from riskloom.plans import cost as CS  # noqa: E402
 from riskloom.plans import imbalance as IM  # noqa: E402
 
-_MEMO: dict = {}
-
-
-def memo(spark, sf, name, fn):
-    """Per-session reuse of a materialized stage output or fitted model
-    (the file contract between the reference's stages)."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _MEMO:
-        _MEMO[key] = fn()
-    return _MEMO[key]
-
-
-def clear_memo():
-    _MEMO.clear()
-
-
 def _matrix(spark, sf):
     return memo(spark, sf, "matrix", lambda: (lambda mc: (materialize(mc[0]), mc[1]))(model_matrix(spark, sf)))
 
