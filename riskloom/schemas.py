@@ -14,8 +14,8 @@ CARD = "card1"
 TX_REQUIRED = (ID, LABEL, TIME, AMOUNT, CARD)
 IDENTITY_SUFFIX = "_identity"
 
-# Feature matrix, in output order (23 columns, the last only when the
-# identity table has columns besides the key).
+# Feature matrix column names, in output order (23 columns, the
+# last only when the identity table has columns besides the key).
 FEATURE_COLUMNS = (
     "TransactionID", "isFraud", "TransactionDT", "TransactionAmt",
     "transaction_hour", "transaction_day", "transaction_week",
