@@ -63,6 +63,17 @@ def exact_medians(df: DataFrame, cols: list[str], groups: list[str] | tuple = ()
                                          "size": r["n"]} for r in counts}
     done: dict = {}
     v = F.col("__v")
+    if bands and max(b["n"] for b in bands.values()) <= band_limit:
+        # every group is small (checked above): one exact aggregate, whose
+        # per-group buffer is bounded by band_limit values
+        wide = df.groupBy(*groups).agg(*[F.median(F.when(~F.isnan(F.col(c).cast("double")),
+                                                         F.col(c).cast("double"))).alias(c) for c in cols])
+        med = unpivot_values(wide, groups, cols, "feature", "median").where(F.col("median").isNotNull())
+        nmap = spark.createDataFrame([(*k, b["n"]) for k, b in bands.items()],
+                                     StructType([StructField(g, t) for g, t in zip(groups, gtypes)]
+                                                + [StructField("feature", StringType()), StructField("n", LongType())]))
+        cond = [med[k].eqNullSafe(nmap[k]) for k in keys]        # one row per key
+        return med.join(F.broadcast(nmap), cond).select(*[med[k] for k in keys], med["median"], nmap["n"])
     for _ in range(max_rounds):
         wide = {k: b for k, b in bands.items() if k not in done and b["size"] > band_limit}
         if not wide:
