@@ -164,8 +164,10 @@ for _name, _col, _w in [("velocity_1h", "card1_txn_count_past_1hr", 3600),
                         ("velocity_24h", "card1_txn_count_past_24hr", 86400)]:
     query(_name)(_velocity(_col, _w))
 
-query("velocity_ties_24h")(_velocity("card1_txn_count_past_24hr", 86400,
-                                     lambda spark, sf: A.load_order_transactions(spark, sf)))
+for _name, _col, _w in [("velocity_ties_1h", "card1_txn_count_past_1hr", 3600),
+                        ("velocity_ties_6h", "card1_txn_count_past_6hr", 21600),
+                        ("velocity_ties_24h", "card1_txn_count_past_24hr", 86400)]:
+    query(_name)(_velocity(_col, _w, lambda spark, sf: A.load_order_transactions(spark, sf)))
 
 
 # ---------------------------------------------------------------- profiling

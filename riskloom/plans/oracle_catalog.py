@@ -44,6 +44,8 @@ FROM transactions""")
 SQL["velocity_1h"] = with_ctes(TXC, velocity_bruteforce(3600, "card1_txn_count_past_1hr"))
 SQL["velocity_6h"] = with_ctes(TXC, velocity_bruteforce(21600, "card1_txn_count_past_6hr"))
 SQL["velocity_24h"] = with_ctes(TXC, velocity_bruteforce(86400, "card1_txn_count_past_24hr"))
+SQL["velocity_ties_1h"] = with_ctes([ORDER_TX], velocity_bruteforce(3600, "card1_txn_count_past_1hr", "otx"))
+SQL["velocity_ties_6h"] = with_ctes([ORDER_TX], velocity_bruteforce(21600, "card1_txn_count_past_6hr", "otx"))
 SQL["velocity_ties_24h"] = with_ctes([ORDER_TX], velocity_bruteforce(86400, "card1_txn_count_past_24hr", "otx"))
 
 # ---------------------------------------------------------------- profiling / split / prep

@@ -54,11 +54,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting points at shared storage and is used as is.
     Only when it is unset (local tests) is a private scratch folder created.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    current = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or current
     if not d:
         d = tempfile.mkdtemp(prefix="riskloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - some deployments reject core confs at run time
+            pass
+    if not current:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
