@@ -122,7 +122,7 @@ def _blocks(spark, qrows: DataFrame, brows: DataFrame, k: int, exclude_self: boo
 
 def knn_join(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id", b_id: str = "vec_id",
              vec: str = "features", exclude_self: bool = True, cell_size: int = 2048,
-             block: int = 1024, max_pivots: int = 1024) -> DataFrame:
+             block: int = 1024, max_pivots: int = 4096) -> DataFrame:
     """(query_id, neighbor_id, distance, rank) — the ``k`` nearest base rows
     of every query row (fewer only when the base is smaller)."""
     spark = queries.sparkSession
