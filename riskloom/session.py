@@ -51,13 +51,16 @@ def get_spark(master: str = "local[8]", app: str = "riskloom",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) is a private scratch folder created.
+    On a cluster that setting points at shared storage and is used as is (an
+    unset value is an error there).  Only in local mode, when it is unset
+    (tests), is a private scratch folder created.
     """
     current = spark.sparkContext.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None) or current
     if not d:
-        d = tempfile.mkdtemp(prefix="riskloom-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        d = tempfile.mkdtemp(prefix="riskloom-ckpt-")   # local mode (tests) only
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - some deployments reject core confs at run time
