@@ -120,11 +120,99 @@ def _blocks(spark, qrows: DataFrame, brows: DataFrame, k: int, exclude_self: boo
     return q.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(_block_topk(k, exclude_self), OUT_SCHEMA)
 
 
+def _sub_assign_udf(bc_sub):
+    """Rows of hot cells -> nearest sub-pivot of their cell (global sub id)."""
+    @F.pandas_udf(StructType([StructField("cell", IntegerType()), StructField("dp", DoubleType())]))
+    def assign(v: pd.Series, cell: pd.Series) -> pd.DataFrame:
+        sub = bc_sub.value
+        c = cell.to_numpy()
+        out_c, out_d = c.astype("int32").copy(), np.zeros(len(c))
+        if not len(v):
+            return pd.DataFrame({"cell": out_c, "dp": out_d})
+        X = np.stack(v.to_numpy())
+        for hc, (start, cnt) in sub["range"].items():
+            rows = np.nonzero(c == hc)[0]
+            if not len(rows):
+                continue
+            S = sub["P"][start:start + cnt]
+            d = np.sqrt(np.maximum((X[rows] ** 2).sum(1)[:, None] + (S * S).sum(1)[None, :]
+                                   - 2 * X[rows] @ S.T, 0))
+            j = d.argmin(1)
+            out_c[rows] = sub["offset"] + start + j
+            out_d[rows] = d[np.arange(len(rows)), j]
+        return pd.DataFrame({"cell": out_c, "dp": out_d})
+    return assign
+
+
+def _candidate_cells2_udf(bc_p, bc_r, bc_sub):
+    """Final cells whose triangle-inequality lower bound is within the query's
+    current k-th distance: level-1 cells first, then the sub-cells of the
+    surviving hot cells."""
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def cands(v: pd.Series, own: pd.Series, bound: pd.Series) -> pd.Series:
+        P, r, sub = bc_p.value, bc_r.value, bc_sub.value
+        if not len(v):
+            return pd.Series([], dtype=object)
+        X = np.stack(v.to_numpy())
+        b = bound.to_numpy(dtype=float) + 1e-9
+        d1 = np.sqrt(np.maximum((X * X).sum(1)[:, None] + (P * P).sum(1)[None, :] - 2 * X @ P.T, 0))
+        ok1 = (d1 - r["level1"][None, :]) <= b[:, None]
+        hot = np.zeros(len(P), dtype=bool)
+        hot[list(sub["range"])] = True
+        result = [list(np.nonzero(ok1[i] & ~hot)[0]) for i in range(len(X))]
+        for hc, (start, cnt) in sub["range"].items():
+            rows = np.nonzero(ok1[:, hc])[0]
+            if not len(rows):
+                continue
+            S = sub["P"][start:start + cnt]
+            d2 = np.sqrt(np.maximum((X[rows] ** 2).sum(1)[:, None] + (S * S).sum(1)[None, :]
+                                    - 2 * X[rows] @ S.T, 0))
+            ok2 = (d2 - r["sub"][start:start + cnt][None, :]) <= b[rows][:, None]
+            for i, row in zip(rows, ok2):
+                result[i].extend((sub["offset"] + start + np.nonzero(row)[0]).tolist())
+        o = own.to_numpy()
+        return pd.Series([[int(c) for c in cs if c != o[i]] for i, cs in enumerate(result)])
+    return cands
+
+
+def _sub_pivots(spark, B2: DataFrame, counts: dict, m: int, cell_size: int, hot_factor: int,
+                per_cell: int, budget: int) -> dict:
+    """Sub-pivots for hot level-1 cells, at most ``budget`` in total (a
+    bounded broadcast): the rows of smallest hash in each hot cell."""
+    hot = {c: n for c, n in counts.items() if n > hot_factor * cell_size}
+    if not hot:
+        return {"range": {}, "P": np.zeros((0, 1)), "offset": m}
+    want = {c: min(per_cell, math.ceil(n / cell_size)) for c, n in hot.items()}
+    scale = min(1.0, budget / max(sum(want.values()), 1))
+    want = {c: max(2, int(s * scale)) for c, s in want.items()}
+    cut = spark.createDataFrame([(int(c), int(min(2 ** 31, 2 ** 31 * 3 * want[c] / hot[c])), int(want[c]))
+                                 for c in hot], "cell int, __cut long, __want int")
+    h = split_hash(F.col("bid"), 31)
+    pre = B2.join(F.broadcast(cut), "cell").where(h < F.col("__cut"))        # ~3 x want rows per cell
+    w = Window.partitionBy("cell").orderBy(h, "bid")
+    rows = pre.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= F.col("__want")) \
+              .select("cell", "bv").orderBy("cell", "__rn").collect()            # <= budget rows
+    rng, vecs, pos = {}, [], 0
+    for c in sorted({r["cell"] for r in rows}):
+        vs = [r["bv"] for r in rows if r["cell"] == c]
+        if len(vs) >= 2:
+            rng[c] = (pos, len(vs))
+            vecs += vs
+            pos += len(vs)
+    P2 = np.array(vecs, dtype=float) if vecs else np.zeros((0, 1))
+    return {"range": rng, "P": P2, "offset": m}
+
+
 def knn_join(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id", b_id: str = "vec_id",
              vec: str = "features", exclude_self: bool = True, cell_size: int = 2048,
-             block: int = 1024, max_pivots: int = 4096) -> DataFrame:
+             block: int = 1024, max_pivots: int = 4096, hot_factor: int = 4,
+             sub_per_cell: int = 1024, sub_budget: int = 65536) -> DataFrame:
     """(query_id, neighbor_id, distance, rank) — the ``k`` nearest base rows
-    of every query row (fewer only when the base is smaller)."""
+    of every query row (fewer only when the base is smaller).
+
+    Level-1 cells larger than ``hot_factor x cell_size`` get up to
+    ``sub_per_cell`` sub-pivots (``sub_budget`` in total, broadcast) and are
+    split into sub-cells, pruned with the same bound."""
     spark = queries.sparkSession
     Q = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
     B = base.select(F.col(b_id).cast("long").alias("bid"), F.col(vec).cast("array<double>").alias("bv"))
@@ -136,22 +224,40 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id",
     P = np.array([r[0] for r in piv], dtype=float)
     bc_p = spark.sparkContext.broadcast(P)
     nearest = _nearest_pivot_udf(bc_p)
-    B2 = materialize(B.withColumn("__c", nearest("bv")).select(
+    B1 = materialize(B.withColumn("__c", nearest("bv")).select(
         F.col("__c.cell").alias("cell"), F.col("__c.dp").alias("dp"), "bid", "bv"))
-    Q2 = materialize(Q.withColumn("__c", nearest("qv")).select(F.col("__c.cell").alias("cell"), "qid", "qv"))
+    stats = B1.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dp").alias("r")).collect()  # <= m rows
+    counts = {r["cell"]: r["n"] for r in stats}
+    level1 = np.zeros(len(P))
+    for r in stats:
+        level1[r["cell"]] = r["r"]
+    sub = _sub_pivots(spark, B1, counts, m, cell_size, hot_factor, sub_per_cell, sub_budget)
+    Q1 = Q.withColumn("__c", nearest("qv")).select(F.col("__c.cell").alias("cell"), "qid", "qv")
+    if sub["range"]:
+        bc_sub = spark.sparkContext.broadcast(sub)
+        assign = _sub_assign_udf(bc_sub)
+        B2 = materialize(B1.withColumn("__s", assign("bv", "cell")).select(
+            F.col("__s.cell").alias("cell"), F.col("__s.dp").alias("dp"), "bid", "bv"))
+        Q2 = materialize(Q1.withColumn("__s", assign("qv", "cell")).select(
+            F.col("__s.cell").alias("cell"), "qid", "qv"))
+    else:
+        bc_sub, B2, Q2 = None, B1, materialize(Q1)
     brows = B2.select("cell", "bid", "bv")
     r1 = materialize(_blocks(spark, Q2, brows, k, exclude_self, block))
     w = Window.partitionBy("query_id").orderBy(F.round("distance", TIE_DECIMALS), "neighbor_id")
-    if m == 1:                      # one cell: round 1 already saw every base row
+    if m == 1 and not sub["range"]:     # one cell: round 1 already saw every base row
         return materialize(r1.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
     bound = r1.groupBy(F.col("query_id").alias("qid")).agg(
         F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
     Q3 = Q2.join(bound, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    radius = np.zeros(len(P))
-    for r in B2.groupBy("cell").agg(F.max("dp").alias("r")).collect():
-        radius[r["cell"]] = r["r"]
-    bc_r = spark.sparkContext.broadcast(radius)
-    cands = _candidate_cells_udf(bc_p, bc_r)
+    if sub["range"]:
+        subr = np.zeros(len(sub["P"]))
+        for r in B2.where(F.col("cell") >= m).groupBy("cell").agg(F.max("dp").alias("r")).collect():
+            subr[r["cell"] - m] = r["r"]                                  # <= sub_budget rows
+        bc_r = spark.sparkContext.broadcast({"level1": level1, "sub": subr})
+        cands = _candidate_cells2_udf(bc_p, bc_r, bc_sub)
+    else:
+        cands = _candidate_cells_udf(bc_p, spark.sparkContext.broadcast(level1))
     Q4 = Q3.select(F.explode(cands("qv", "cell", "bound")).alias("cell"), "qid", "qv")
     r2 = _blocks(spark, Q4, brows, k, exclude_self, block)
     return materialize(r1.unionByName(r2).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))

@@ -35,6 +35,14 @@ def test_knn_exact_multi_cell(spark, vecs):
     assert got == exp
 
 
+def test_knn_exact_two_level_cells(spark, vecs):
+    # tiny cells and 2 level-1 pivots force hot cells split by sub-pivots
+    res = knn_join(vecs, vecs, 5, cell_size=30, block=40, max_pivots=2, hot_factor=2).toPandas()
+    exp = _bruteforce(vecs.toPandas(), 5)
+    got = {q: g.sort_values("rank").neighbor_id.tolist() for q, g in res.groupby("query_id")}
+    assert got == exp
+
+
 def test_smote_points_on_segments(spark, vecs):
     syn = smote(vecs, F.col("label") == 0, k=5, label_value=0).toPandas()
     base = {r.vec_id: np.array(r.features) for r in vecs.toPandas().itertuples()}
