@@ -226,7 +226,9 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id",
     nearest = _nearest_pivot_udf(bc_p)
     B1 = materialize(B.withColumn("__c", nearest("bv")).select(
         F.col("__c.cell").alias("cell"), F.col("__c.dp").alias("dp"), "bid", "bv"))
-    stats = B1.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dp").alias("r")).collect()  # <= m rows
+    # one cell (nb <= cell_size) can never be hot: no statistics needed
+    stats = [] if m == 1 else \
+        B1.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dp").alias("r")).collect()  # <= m rows
     counts = {r["cell"]: r["n"] for r in stats}
     level1 = np.zeros(len(P))
     for r in stats:
