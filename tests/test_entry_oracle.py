@@ -90,3 +90,11 @@ def test_no_unpartitioned_window_in_feature_plan(spark):
     plan = E.entry(spark)._jdf.queryExecution().executedPlan().toString()
     for m in re.finditer(r"Window \[.*?\], \[(.*?)\], \[", plan):
         assert m.group(1).strip() != ""
+
+
+@pytest.mark.parametrize("key", ["threshold_sweep", "average_precision", "topk_capture", "stratified_split",
+                                 "stratified_folds", "feature_correlation", "combo_counts", "portfolio_kpis"])
+def test_relational_operators_stay_jvm_side(spark, key):
+    plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan, (key, bad)
