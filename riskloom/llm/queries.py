@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from riskloom.llm.langid import op8_language_id
+from riskloom.llm.norm_topk import OP4_SQL, op4_norm_topk
 from riskloom.llm.packing import op10_packing
 from riskloom.llm.quality_rules import op7_quality_rules
 from riskloom.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op4_norm_topk": op4_norm_topk,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op10_packing": op10_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_norm_topk": OP4_SQL,
+}
