@@ -60,6 +60,10 @@ def bucketed(vectors: DataFrame, bucket: int = BUCKET) -> DataFrame:
                   .mapInArrow(number, "vec_id long, v array<int>, norm double, bucket int"), "buckets")
 
 
+def _widest(column: pa.ChunkedArray) -> int:
+    return int(np.diff(column.combine_chunks().offsets.to_numpy()).max())
+
+
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     """Rows of a list column as floats, short ones filled with zeros."""
     lists = column.combine_chunks()
@@ -98,9 +102,8 @@ def _tile(k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list] = [[], [], []]
         if left.num_rows and right.num_rows:
-            width = max(len(max(t["v"].to_pylist(), key=len)) if not t["v"].combine_chunks().offsets.to_numpy().size else
-                        int(np.diff(t["v"].combine_chunks().offsets.to_numpy()).max()) for t in (left, right))
-            queries, rows = _matrix(left["v"], width), _matrix(right["v"], width)
+            width = max(_widest(left["v"]), _widest(right["w"]))
+            queries, rows = _matrix(left["v"], width), _matrix(right["w"], width)
             ids, norms = right["vec_id"].to_numpy(), right["norm"].to_numpy()
             order = np.lexsort((ids, -norms))
             rows, ids, norms = rows[order], ids[order], norms[order]
@@ -135,8 +138,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
 
     def scored(asked: DataFrame, tiles: DataFrame) -> DataFrame:
         """asked: queries with theta, block and bucket; tiles: the (bucket, block) pairs among them."""
-        right = rows.join(tiles, "bucket").select("bucket", "block", "vec_id", "v", "norm")
-        return asked.groupBy("bucket", "block").cogroup(right.groupBy("bucket", "block")).applyInArrow(_tile(k), HITS)
+        right = (rows.join(tiles.toDF("to_bucket", "to_block"), F.col("bucket") == F.col("to_bucket"))
+                 .select("to_bucket", "to_block", "vec_id", F.col("v").alias("w"), "norm"))
+        return asked.groupBy("bucket", "block").cogroup(right.groupBy("to_bucket", "to_block")).applyInArrow(_tile(k), HITS)
 
     number = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     first = stored(scored(queries.withColumn("theta", F.lit(None).cast("double")).withColumn("bucket", F.lit(0)),
@@ -161,10 +165,10 @@ def op4_norm_topk(spark, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE)))) AS e
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE)))) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
   GROUP BY vec_id
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
