@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskloom.llm.jaccard_join import op9_jaccard_join
 from riskloom.llm.langid import op8_language_id
 from riskloom.llm.norm_topk import OP4_SQL, op4_norm_topk
 from riskloom.llm.packing import op10_packing
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_norm_topk": op4_norm_topk,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_packing": op10_packing,
 }
 
