@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from riskloom.llm.jaccard_join import op9_jaccard_join
 from riskloom.llm.langid import op8_language_id
+from riskloom.llm.mixing import op3_mixing
 from riskloom.llm.norm_topk import OP4_SQL, op4_norm_topk
 from riskloom.llm.packing import op10_packing
 from riskloom.llm.quality_rules import op7_quality_rules
@@ -11,6 +12,7 @@ from riskloom.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_mixing": op3_mixing,
     "op4_norm_topk": op4_norm_topk,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
