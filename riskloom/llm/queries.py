@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from riskloom.llm.jaccard_join import op9_jaccard_join
 from riskloom.llm.langid import op8_language_id
+from riskloom.llm.lm_scoring import op5_lm_scoring
 from riskloom.llm.mixing import op3_mixing
 from riskloom.llm.norm_topk import OP4_SQL, op4_norm_topk
 from riskloom.llm.packing import op10_packing
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_norm_topk": op4_norm_topk,
+    "op5_lm_scoring": op5_lm_scoring,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
