@@ -116,17 +116,17 @@ FAMILIES = {"shape": {"length", "word_size"}, "noise": {"symbols", "symbol_share
             "repetition": {"repeat_words", "dup_lines", "variety"}}
 
 
-def start(names: list[str]) -> tuple[list[float], list[list[tuple[float, float]]]]:
+def start(names: list[str], families: dict[str, set] = FAMILIES) -> tuple[list[float], list[list[tuple[float, float]]]]:
     """Where EM starts, and the centre of its prior: shares of the classes (good first, then the
     modes of bad), and for each class and rule the chances of a good and of a bad vote if it votes."""
     fine, faulty = (0.95, 0.05), (0.25, 0.75)
-    modes = [[faulty if x in rules else fine for x in names] for rules in FAMILIES.values()]
+    modes = [[faulty if x in rules else fine for x in names] for rules in families.values()]
     return [PRIOR_GOOD] + [(1 - PRIOR_GOOD) / len(modes)] * len(modes), [[fine] * len(names), *modes]
 
 
-def fit(patterns: list[tuple[tuple, int]], names: list[str], rounds: int = ROUNDS):
+def fit(patterns: list[tuple[tuple, int]], names: list[str], rounds: int = ROUNDS, families: dict[str, set] = FAMILIES):
     """EM over (vote pattern, count); returns shares and chances as in ``start``."""
-    share0, chance0 = start(names)
+    share0, chance0 = start(names, families)
     share, chance, classes = share0, chance0, range(len(share0))
     for _ in range(rounds if patterns else 0):
         mass = [0.0 for _ in classes]

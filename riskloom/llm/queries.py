@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from riskloom.llm.jaccard_join import op9_jaccard_join
 from riskloom.llm.langid import op8_language_id
+from riskloom.llm.license_scan import op1_license_scan
 from riskloom.llm.lm_scoring import op5_lm_scoring
 from riskloom.llm.mixing import op3_mixing
 from riskloom.llm.norm_topk import OP4_SQL, op4_norm_topk
 from riskloom.llm.packing import op10_packing
+from riskloom.llm.quality_classifier import op6_quality_classifier
 from riskloom.llm.quality_rules import op7_quality_rules
 from riskloom.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_norm_topk": op4_norm_topk,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
