@@ -28,7 +28,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"riskloom-{name}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``stored`` that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+BROADCAST_ROWS = 4_000_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, marked to be sent to every task if
+    it has at most ``BROADCAST_ROWS`` rows (about 100 MB); else it is joined as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def id_fold(col: Column | str, m: int) -> Column:

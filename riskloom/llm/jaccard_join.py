@@ -8,10 +8,10 @@ group.  Prefix shingles are listed with the groups that have them, and two
 groups meet where a list holds both and size and positions allow the needed
 overlap.  Met groups are expanded to their classes and verified on whole sets.
 
-Two rounds keep large families cheap and lose no link: first every list's
-groups meet two leaders of the list only; then, after the links found have
-been joined into components, only those pairs of a list meet whose components
-differ still.
+Two rounds keep large families cheap and lose no link: first every group meets
+only the leader (of two a list) that leads most of its lists; then, after the
+links found have been joined into components, only those groups of a list meet
+whose components differ still.
 
 The order needs frequencies: a table of counts in ``cells`` cells (16 a
 document, at most 2^26, so its broadcast is bounded by 64 MB) tells frequent
@@ -28,9 +28,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import stored, table
+from riskloom.llm.common import discard, few, stored, table
 from riskloom.llm.components import components
 from riskloom.llm.shingles import WordHashes, shingle_set
 
@@ -56,15 +57,16 @@ def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
         for _, sets in _sets(batches):
             cells, n = np.unique(np.concatenate(sets) >> np.uint64(64 - bits), return_counts=True)
             total[cells.astype(np.int64)] += n.astype(np.uint32)
-        rows = [(k, x.tobytes()) for k, x in enumerate(total.reshape(-1, BLOCK)) if x.any()]
+        press = zstandard.ZstdCompressor(level=1)
+        rows = [(k, press.compress(x.tobytes())) for k, x in enumerate(total.reshape(-1, BLOCK)) if x.any()]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["block", "counts"])
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
+        unpress = zstandard.ZstdDecompressor()
         for b in batches:
             for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = np.frombuffer(x, "<u4") if b.schema.names[1] == "counts" else np.frombuffer(x, "<u8")
-                total[k] = total.get(k, 0) + x.astype(np.uint64)
+                total[k] = total.get(k, 0) + np.frombuffer(unpress.decompress(x), "<u4").astype(np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["block", "counts"])
 
     blocks = (1 << bits) // BLOCK
@@ -115,60 +117,73 @@ def _may(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Colum
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (most >= _needed(na, nb, percent))
 
 
+def _most(na: Column, nb: Column, common: Column, percent: int) -> Column:
+    """Bound of the intersection of two sets whose prefixes share ``common`` shingles: where the
+    shorter prefix (in the global order) ends, all else that is shared lies behind it in that set."""
+    rest = lambda n: F.ceil(n * percent / F.lit(100.0) - F.lit(1e-9)) - 1  # noqa: E731  (a prefix leaves so many)
+    return common + F.greatest(rest(na), rest(nb))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) of classes, named by their least document, whose whole sets are similar enough."""
+    """The pairs (a, b) of classes, named by their least document, whose whole sets are similar enough.
+
+    Only the sets of ``b`` travel to their ``a``; give the side with fewer distinct ids as ``a``.
+    """
     pairs = stored(pairs, f"{name}-pairs")
-    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-wanted")
+    hubs = stored(pairs.select(F.col("a").alias("hub")).distinct(), f"{name}-hubs")
+    wanted = stored(hubs.union(pairs.select("b")).distinct().toDF("id"), f"{name}-wanted")
 
     def run(batches):
         for part, sets in _sets(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "s"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(few(wanted), "id", "left_semi")
     sets = stored(texts.mapInArrow(run, "id long, s array<long>"), f"{name}-sets")
-    left, right = sets.toDF("ia", "sa"), sets.toDF("ib", "sb")
-    both = pairs.join(left, F.col("a") == F.col("ia")).join(right, F.col("b") == F.col("ib"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return stored(both.withColumn("common", common)
-                  .where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b"), f"{name}-links")
+    left = sets.toDF("hub", "sa").join(few(hubs), "hub", "left_semi")
+    right = sets.toDF("ib", "sb").join(few(pairs), F.col("ib") == F.col("b")).select("a", "b", "sb")
+    both = right.join(left, F.col("a") == F.col("hub")).withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    links = stored(both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common")))
+                   .select("a", "b").distinct(), f"{name}-links")
+    discard(sets, wanted, hubs)
+    return links
+
+
+def _lists(known: DataFrame) -> DataFrame:
+    """Of each prefix shingle that two classes have: the groups that have it, with the list's two leaders."""
+    w, me = Window.partitionBy("tok"), F.struct("gid", "n", "pos")
+    heads = stored(known.groupBy("g", "n").agg(F.min("doc_id").alias("gid"), (F.min("h1") != F.max("h1")).alias("many")), "groups")
+    groups = known.select("doc_id", "g", "n", "prefix").join(
+        few(heads.select(F.col("gid").alias("doc_id"), "g", "n", "many")), ["doc_id", "g", "n"])
+    if known.groupBy("doc_id").count().where("count > 1").limit(1).count():      # rows that repeat an id
+        groups = groups.dropDuplicates(["doc_id", "g", "n"])
+    # number of shingles and place in one number: the rows of the widest shuffle here stay short
+    lists = groups.select(F.col("doc_id").alias("gid"), (F.col("n") * 2 + F.col("many").cast("long")).alias("nm"), F.posexplode("prefix").alias("pos", "tok"))
+    return stored(lists.withColumn("size", F.sum(1 + F.col("nm") % 2).over(w)).withColumn("n", F.floor(F.col("nm") / 2))
+                  .withColumn("lead", F.min(me).over(w)).withColumn("last", F.max(me).over(w))
+                  .where("size > 1").select("tok", "gid", "n", "pos", "lead", "last"), "lists")
+
+
+def _first_round(shared: DataFrame, group_of: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b): each group with that leader of its lists with which it shares most of them, and each class of a group with the group's first."""
+    col = F.col
+    led = [shared.where(col(f"{x}.gid") != col("gid")).where(_may(col("n"), col("pos"), col(f"{x}.n"), col(f"{x}.pos"), percent))
+           .select("gid", "n", col(f"{x}.gid").alias("hub"), col(f"{x}.n").alias("hn")) for x in ("lead", "last")]
+    counted = led[0].unionByName(led[1]).groupBy("gid", "n", "hub", "hn").agg(F.count("*").alias("c"))
+    held = stored(shared.groupBy("gid").agg(F.count("*").alias("held")), "lists-held")
+    counted = (counted.join(held, "gid").join(held.toDF("hub", "hub_held"), "hub")
+               .where(_most(col("n"), col("hn"), F.least("held", "hub_held"), percent) >= _needed(col("n"), col("hn"), percent)))
+    best = counted.groupBy("gid").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
+    inside = group_of.where("id <> gid").select(col("gid").alias("a"), col("id").alias("b"))
+    return best.select(col("hub").alias("a"), col("gid").alias("b")).union(inside).distinct()
 
 
-def similar(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(documents with n_shingles and component_id, verified links (a, b) between class representatives).
+def _second_round(shared: DataFrame, units: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes that lie in different components and whose groups share enough of their prefixes.
 
-    Every pair of classes is either linked in the second table, or in one
-    component by others, or not similar.
+    In each list the groups outside its main component meet all others, so a
+    large family costs its size only.
     """
-    docs = docs.select("doc_id", "text")
-    bits = min(MAX_BITS, max(16, int(16 * max(1, docs.count()) - 1).bit_length()))
-    known = stored(signatures(docs, frequency_classes(docs, bits), bits, percent), "signatures")
-    sized = known.where("n > 0 and doc_id is not null")
-
-    members = stored(sized.groupBy("h1", "h2", "g", "n").agg(F.min("doc_id").alias("id")), "classes")
-    groups = sized.groupBy("g", "n").agg(F.min("doc_id").alias("gid"), (F.min("h1") != F.max("h1")).alias("many"),
-                                         F.first("prefix").alias("prefix"))
-    lists = groups.select("gid", "n", "many", F.posexplode("prefix").alias("pos", "tok"))
-    w = Window.partitionBy("tok")
-    me = F.struct("gid", "n", "pos")
-    shared = stored(lists.withColumn("size", F.sum(F.when(F.col("many"), 2).otherwise(1)).over(w))
-                    .withColumn("lead", F.min(me).over(w)).withColumn("last", F.max(me).over(w))
-                    .where("size > 1").drop("size"), "lists")
-    group_of = members.join(members.groupBy("g", "n").agg(F.min("id").alias("gid")), ["g", "n"]).select("id", "gid", "n")
-    group_of = stored(group_of, "members")
-
-    # Round 1: leaders of each list, and of each group.
-    col = F.col
-    star = [shared.where(col(f"{x}.gid") != col("gid"))
-            .where(_may(col("n"), col("pos"), col(f"{x}.n"), col(f"{x}.pos"), percent))
-            .select(F.least("gid", f"{x}.gid").alias("a"), F.greatest("gid", f"{x}.gid").alias("b")) for x in ("lead", "last")]
-    inside = group_of.where("id <> gid").select(col("gid").alias("a"), col("id").alias("b"))
-    first = stored(star[0].union(star[1]).union(inside).distinct(), "first-round")
-    links = _verified(first, docs, percent, "first")
-
-    # Round 2: what still lies in different components meets, unit by unit (the classes of one group and component).
-    label = components(links)
-    units = group_of.join(label, col("id") == col("node"), "left").select("id", "gid", "n", F.coalesce("component", "id").alias("comp"))
-    units = stored(units, "units")
+    col, w = F.col, Window.partitionBy("tok")
     listed = (shared.select("tok", "gid", "n", "pos")
               .join(units.select(col("gid").alias("ug"), "comp").distinct(), col("gid") == col("ug")).drop("ug"))
     open_ = stored(listed.withColumn("one", F.min("comp").over(w)).withColumn("other", F.max("comp").over(w))
@@ -179,15 +194,39 @@ def similar(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     y = marked.select(*[col(c).alias(f"y_{c}") for c in ("tok", "gid", "n", "pos", "comp", "main")])
     meet = (x.join(y, (col("x_tok") == col("y_tok")) & (col("x_comp") != col("y_comp"))
                    & ((col("y_comp") == col("y_main")) | (col("x_comp") < col("y_comp")))
-                   & _may(col("x_n"), col("x_pos"), col("y_n"), col("y_pos"), percent))
-            .select("x_gid", "x_comp", "y_gid", "y_comp").distinct())
+                   & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")))
+            .groupBy("x_gid", "x_comp", "x_n", "y_gid", "y_comp", "y_n").agg(F.count("*").alias("common"), F.min(F.struct("x_pos", "y_pos")).alias("at"))
+            .where(_may(col("x_n"), col("at.x_pos"), col("y_n"), col("at.y_pos"), percent))
+            .where(_most(col("x_n"), col("y_n"), col("common"), percent) >= _needed(col("x_n"), col("y_n"), percent)))
     ux = units.select(col("id").alias("x"), col("gid").alias("uxg"), col("comp").alias("uxc"))
     uy = units.select(col("id").alias("y"), col("gid").alias("uyg"), col("comp").alias("uyc"))
-    second = (meet.join(ux, (col("x_gid") == col("uxg")) & (col("x_comp") == col("uxc")))
-              .join(uy, (col("y_gid") == col("uyg")) & (col("y_comp") == col("uyc")))
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct())
-    second = second.join(first.toDF("ta", "tb"), (col("a") == col("ta")) & (col("b") == col("tb")), "left_anti")
-    links = links.unionByName(_verified(second, docs, percent, "second"))
+    return (meet.join(ux, (col("x_gid") == col("uxg")) & (col("x_comp") == col("uxc")))
+            .join(uy, (col("y_gid") == col("uyg")) & (col("y_comp") == col("uyc")))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct())
+
+
+def similar(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """(documents with n_shingles and component_id, verified links (a, b) between class representatives).
+
+    Every pair of classes is either linked in the second table, or in one
+    component by others, or not similar.
+    """
+    docs, col = docs.select("doc_id", "text"), F.col
+    bits = min(MAX_BITS, max(16, int(16 * max(1, docs.count()) - 1).bit_length()))
+    signed = stored(signatures(docs, frequency_classes(docs, bits), bits, percent), "signatures")
+    known = stored(signed.drop("prefix"), "sizes")
+    sized = known.where("n > 0 and doc_id is not null")
+    members = stored(sized.groupBy("h1", "h2", "g", "n").agg(F.min("doc_id").alias("id")), "classes")
+    group_of = stored(members.join(members.groupBy("g", "n").agg(F.min("id").alias("gid")), ["g", "n"]).select("id", "gid", "n"), "members")
+    shared = _lists(signed.where("n > 0 and doc_id is not null"))
+    discard(signed)
+
+    # Round 1: leaders.  Round 2: what still lies in different components, unit by unit (the classes of one group and component).
+    links = _verified(_first_round(shared, group_of, percent), docs, percent, "first")
+    label = components(links)
+    units = group_of.join(label, col("id") == col("node"), "left").select("id", "gid", "n", F.coalesce("component", "id").alias("comp"))
+    links = links.unionByName(_verified(_second_round(shared, stored(units, "units"), percent), docs, percent, "second"))
+    discard(shared)
 
     # Classes of one document id are one document; then names go back to all documents.
     final = components(links).toDF("node", "comp")

@@ -28,14 +28,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import stored, table
+from riskloom.llm.common import few, stored, table
 from riskloom.llm.shingles import CACHE, WordHashes
 
 VOCABULARY = 20_000
 COMMON = 1 << 18
 M = 20.0
 SHIFT = 20                  # bits of a word number in a bigram's key
-BROADCAST_ROWS = 4_000_000  # ids that are sent to every task; more are joined
 
 
 class Vocabulary(dict):
@@ -168,8 +167,7 @@ def score(docs: DataFrame, target: Column, vocabulary: int = VOCABULARY, common:
 def with_target(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with ``target``: whether the id is among ``ids`` (column target_id), which are sent to every task if they are few."""
     ids = stored(ids.where("target_id is not null").distinct(), "target-ids")
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    return docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("target_id"), "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
+    return docs.select("doc_id", "text").join(few(ids), F.col("doc_id") == F.col("target_id"), "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
 
 
 def op5_lm_scoring(spark, sf_dir: str) -> DataFrame:
