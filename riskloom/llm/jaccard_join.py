@@ -148,13 +148,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> Dat
     return links
 
 
+def repeats(rows: DataFrame) -> bool:
+    """Whether rows repeat a document id."""
+    return rows.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count() > 0
+
+
 def _lists(known: DataFrame) -> DataFrame:
     """Of each prefix shingle that two classes have: the groups that have it, with the list's two leaders."""
     w, me = Window.partitionBy("tok"), F.struct("gid", "n", "pos")
     heads = stored(known.groupBy("g", "n").agg(F.min("doc_id").alias("gid"), (F.min("h1") != F.max("h1")).alias("many")), "groups")
     groups = known.select("doc_id", "g", "n", "prefix").join(
         few(heads.select(F.col("gid").alias("doc_id"), "g", "n", "many")), ["doc_id", "g", "n"])
-    if known.groupBy("doc_id").count().where("count > 1").limit(1).count():      # rows that repeat an id
+    if repeats(known):
         groups = groups.dropDuplicates(["doc_id", "g", "n"])
     # number of shingles and place in one number: the rows of the widest shuffle here stay short
     lists = groups.select(F.col("doc_id").alias("gid"), (F.col("n") * 2 + F.col("many").cast("long")).alias("nm"), F.posexplode("prefix").alias("pos", "tok"))
@@ -229,6 +234,9 @@ def similar(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     discard(shared)
 
     # Classes of one document id are one document; then names go back to all documents.
+    if repeats(sized):
+        of = sized.join(members.drop("g", "n"), ["h1", "h2"]).select("doc_id", "id").distinct()
+        links = links.unionByName(of.groupBy("doc_id").agg(F.min("id").alias("a")).join(of, "doc_id").where("a <> id").select("a", F.col("id").alias("b")))
     final = components(links).toDF("node", "comp")
     named = members.join(final, col("id") == col("node"), "left").select("h1", "h2", F.coalesce("comp", "id").alias("component"))
     out = known.select("doc_id", col("n").alias("n_shingles"), "h1", "h2").join(named, ["h1", "h2"], "left")
