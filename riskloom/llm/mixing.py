@@ -6,9 +6,10 @@ domain k are the sum of r * t * p_k.  The rates minimise the squared distance
 of those totals to the targets by projected gradient: from rate 1, ``r <-
 clip(r - p . step)``.  Distances of rates are weighed by tokens, so a long text
 moves no further than a short one of the same posterior, and those of totals
-by the inverse of the second moments of the documents that can still move, so
-that rare domains count as much as common ones; the step of a round then
-depends on a few sums only.  A round is
+by the inverse of their second moments, so that rare domains count as much as
+common ones; the step of a round then depends on a few sums only.  A round
+first tries the second moments of the documents that can still move, and falls
+back to the plain step if that brings too little.  A round is
 one distributed sum over a narrow stored table; the rates follow from the list
 of steps, so nothing else has to be kept.
 
@@ -127,20 +128,22 @@ def fit_rates(rows: DataFrame, targets: np.ndarray, start: float = 1.0, most: fl
         return np.concatenate((r @ weighed, (weighed[free].T @ p[free]).ravel(), (weighed.T @ p).ravel()))
 
     steps: list[np.ndarray] = []
-    last = np.inf
+    plain, last, bold = np.zeros(k), np.inf, False
     for _ in range(rounds):
         s = summed(state, k + 2 * k * k)
-        residual, far = s[:k] - targets, np.linalg.norm(s[:k] - targets)
-        if far <= CLOSE * max(1.0, np.linalg.norm(targets)):
-            break
-        if far > last:                                       # the step went too far: take half of it
-            steps[-1] = steps[-1] / 2
-            last = np.inf
+        residual, free, whole = s[:k] - targets, s[k:k + k * k].reshape(k, k), s[k + k * k:].reshape(k, k)
+        tiny = 1e-9 * max(1e-30, np.trace(whole)) * np.eye(k)
+        metric = np.linalg.inv(whole + tiny)
+        far = float(residual @ metric @ residual)
+        if bold and far > 0.9 * last:                        # take the plain step instead, which never raises the distance
+            steps[-1], bold = plain, False
             continue
-        free, whole = s[k:k + k * k].reshape(k, k), s[k + k * k:].reshape(k, k)
-        metric = free + 1e-3 * whole + 1e-9 * max(1e-30, np.trace(whole)) * np.eye(k)
-        steps.append(np.linalg.solve(metric, residual))
-        last = far
+        if np.linalg.norm(residual) <= CLOSE * max(1.0, np.linalg.norm(targets)) or far > (1 - 1e-6) * last:
+            break
+        plain, last = metric @ residual, far
+        # the metric of the documents that can still move goes further, where it works
+        bold = bool(np.trace(free) > 1e-6 * np.trace(whole))
+        steps.append(np.linalg.solve(free + tiny, residual) if bold else plain)
     return steps
 
 
