@@ -195,14 +195,23 @@ def _second_round(shared: DataFrame, units: DataFrame, percent: int) -> DataFram
                    .where("one <> other").drop("one", "other"), "open-lists")
     main = open_.groupBy("tok").agg(F.mode("comp", deterministic=True).alias("main")).withColumnRenamed("tok", "mt")
     marked = stored(open_.join(main, col("tok") == col("mt")).drop("mt"), "marked-lists")
-    x = marked.where("comp <> main").select(*[col(c).alias(f"x_{c}") for c in ("tok", "gid", "n", "pos", "comp")])
-    y = marked.select(*[col(c).alias(f"y_{c}") for c in ("tok", "gid", "n", "pos", "comp", "main")])
-    meet = (x.join(y, (col("x_tok") == col("y_tok")) & (col("x_comp") != col("y_comp"))
-                   & ((col("y_comp") == col("y_main")) | (col("x_comp") < col("y_comp")))
-                   & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")))
+    # What a list tells of all groups of one component and size bounds what it tells of each of them,
+    # so whole (component, size) families are ruled out before their groups meet.
+    coarse = stored(marked.select("tok", "n", "comp", "main").distinct(), "coarse-lists")
+    kin = lambda side, *more: [col(c).alias(f"{side}_{c}") for c in ("tok", "n", "comp", *more)]
+    apart = ((col("x_tok") == col("y_tok")) & (col("x_comp") != col("y_comp"))
+             & ((col("y_comp") == col("y_main")) | (col("x_comp") < col("y_comp")))
+             & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")))
+    enough = _most(col("x_n"), col("y_n"), col("common"), percent) >= _needed(col("x_n"), col("y_n"), percent)
+    families = ["x_comp", "x_n", "y_comp", "y_n"]
+    near = stored(coarse.where("comp <> main").select(*kin("x")).join(coarse.select(*kin("y", "main")), apart)
+                  .groupBy(*families).agg(F.count("*").alias("common")).where(enough).select(*families), "near-families")
+    x = marked.where("comp <> main").select(*kin("x", "gid", "pos")).join(
+        near.toDF("a_comp", "a_n", "b_comp", "b_n"), (col("x_comp") == col("a_comp")) & (col("x_n") == col("a_n"))).drop("a_comp", "a_n")
+    y = marked.select(*kin("y", "gid", "pos", "main"))
+    meet = (x.join(y, apart & (col("y_comp") == col("b_comp")) & (col("y_n") == col("b_n")))
             .groupBy("x_gid", "x_comp", "x_n", "y_gid", "y_comp", "y_n").agg(F.count("*").alias("common"), F.min(F.struct("x_pos", "y_pos")).alias("at"))
-            .where(_may(col("x_n"), col("at.x_pos"), col("y_n"), col("at.y_pos"), percent))
-            .where(_most(col("x_n"), col("y_n"), col("common"), percent) >= _needed(col("x_n"), col("y_n"), percent)))
+            .where(_may(col("x_n"), col("at.x_pos"), col("y_n"), col("at.y_pos"), percent)).where(enough))
     ux = units.select(col("id").alias("x"), col("gid").alias("uxg"), col("comp").alias("uxc"))
     uy = units.select(col("id").alias("y"), col("gid").alias("uyg"), col("comp").alias("uyc"))
     return (meet.join(ux, (col("x_gid") == col("uxg")) & (col("x_comp") == col("uxc")))

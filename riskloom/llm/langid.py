@@ -16,8 +16,6 @@ held out and are never learned from; other columns of the input are ignored.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -30,10 +28,14 @@ CHUNK = 1 << 22             # code points handled at once of one very long text
 UND = "und"
 
 
-@functools.cache
+LETTERS: dict[str, np.ndarray] = {}
+
+
 def _letters() -> np.ndarray:
-    """For each code point, whether it is a letter."""
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    """For each code point, whether it is a letter (made once a worker)."""
+    if not LETTERS:
+        LETTERS["all"] = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    return LETTERS["all"]
 
 
 def _marks(text: str) -> np.ndarray:

@@ -115,12 +115,12 @@ def score(docs: DataFrame, target: Column, vocabulary: int = VOCABULARY, common:
     counts = stored(texts.mapInArrow(pairs, "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "bigrams")
     often = counts.orderBy(F.col("n").desc(), "key").limit(common).toArrow().sort_by("key")
     key = often["key"].to_numpy()
-    sent = spark.sparkContext.broadcast((models, key, *models.losses(key, often["t"].to_numpy(), often["n"].to_numpy())))
+    sent = spark.sparkContext.broadcast((key, *models.losses(key, often["t"].to_numpy(), often["n"].to_numpy())))
 
     def own(batches):
         """One row a document with what can be scored here (a key of its own, below 0), and its other bigrams."""
         known = Vocabulary(hashes.value)
-        models, often, t_often, n_often = sent.value
+        often, t_often, n_often = sent.value
         for b in batches:
             for a in range(0, b.num_rows, 512):
                 part = b.slice(a, 512)
@@ -150,7 +150,6 @@ def score(docs: DataFrame, target: Column, vocabulary: int = VOCABULARY, common:
     rows = marked.select(F.col("doc_id").cast("long"), "text").mapInArrow(own, "doc_id long, key long, times long, t_loss double, n_loss double, tokens long")
 
     def lose(batches):
-        models = sent.value[0]
         for b in batches:
             k, n, t = (b.column(i).to_numpy() for i in range(3))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x) for x in models.losses(k, t, n))], ["of", "t_each", "n_each"])

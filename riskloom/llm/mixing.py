@@ -49,16 +49,15 @@ class Domains:
     def __init__(self, names: list[str], model: Linear | None):
         self.names, self.model = names, model
 
-    def column(self, spark, text_col: Column) -> Column:
+    def column(self, text_col: Column) -> Column:
         """struct(tokens, p) of a text column."""
-        shared, kind = spark.sparkContext.broadcast(self), pa.struct([("tokens", pa.int64()), ("p", pa.list_(pa.float64()))])
+        kind = pa.struct([("tokens", pa.int64()), ("p", pa.list_(pa.float64()))])
 
         def setup():
             features = TextFeatures()
 
             def run(texts):
-                own = shared.value
-                p = own.model.scores(features, texts).tolist() if own.model else [[1.0]] * len(texts)
+                p = self.model.scores(features, texts).tolist() if self.model else [[1.0]] * len(texts)
                 return pa.StructArray.from_arrays(
                     [pa.array([len((t or "").encode("utf-8", "surrogatepass").split()) for t in texts], pa.int64()), pa.array(p, pa.list_(pa.float64()))],
                     fields=list(kind))
@@ -155,11 +154,11 @@ def mix(docs: DataFrame, domains: Domains, weights: dict[str, float], budget: fl
     "available" for as many as the scarcest domain allows at its weight;
     ``most``: an upper bound of the rates, if any.
     """
-    spark, k = docs.sparkSession, len(domains.names)
+    k = len(domains.names)
     share = np.array([1.0 if k == 1 else weights.get(x, 0.0) for x in domains.names])
     share = share / share.sum() if share.sum() > 0 else np.full(k, 1 / k)
     name = temp_name(docs, "mix")
-    rows = stored(docs.withColumn(name, domains.column(spark, F.col("text"))).select(*(keep or docs.columns), name), "posteriors")
+    rows = stored(docs.withColumn(name, domains.column(F.col("text"))).select(*(keep or docs.columns), name), "posteriors")
     narrow = rows.select(f"{name}.tokens", f"{name}.p")
     have = narrow.agg(*[F.sum(F.col("tokens") * F.get("p", F.lit(j))).alias(f"d{j}") for j in range(k)]).first()
     have = np.array([x or 0.0 for x in have])

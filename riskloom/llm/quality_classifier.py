@@ -91,17 +91,17 @@ class Classifier:
             self.seen[p] = posterior(unpattern(p), self.votes_model)[0]
         return self.seen[p]
 
-    def column(self, spark, text_col):
+    def column(self, text_col):
         """struct(weak, score) of a text column."""
-        shared, kind = spark.sparkContext.broadcast(self), pa.struct([("weak", pa.float64()), ("score", pa.float64())])
+        kind = pa.struct([("weak", pa.float64()), ("score", pa.float64())])
 
         def setup():
-            own, features = shared.value, linear.TextFeatures()
+            features = linear.TextFeatures()
             voter = Voter(features)
 
             def run(texts):
-                weak = [own.weak(pattern(voter.votes(t))) for t in texts]
-                score = own.scorer.scores(features, texts)[:, 1] if own.scorer else weak
+                weak = [self.weak(pattern(voter.votes(t))) for t in texts]
+                score = self.scorer.scores(features, texts)[:, 1] if self.scorer else weak
                 return pa.StructArray.from_arrays([pa.array(weak, pa.float64()), pa.array(score, pa.float64())], fields=list(kind))
 
             return run
@@ -146,6 +146,6 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
 def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
     """Weak posterior, trained score and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
-    x = train(docs).column(spark, F.col("text"))
+    x = train(docs).column(F.col("text"))
     return (docs.select("doc_id", x.alias("x"))
             .select("doc_id", F.round("x.weak", 6).alias("weak_quality"), F.round("x.score", 6).alias("score"), (F.col("x.score") >= KEEP).alias("kept")))

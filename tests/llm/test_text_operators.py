@@ -191,11 +191,11 @@ def test_classifier_agrees_with_labels(spark):
 
 def test_classifier_awkward(spark, awkward, nothing):
     model = quality_classifier.train(awkward)
-    got = rows(awkward.select("doc_id", model.column(spark, F.col("text"))))
+    got = rows(awkward.select("doc_id", model.column(F.col("text"))))
     assert len(got) == 14 and all(0 <= p["weak"] <= 1 and 0 <= p["score"] <= 1 for _, p in got)
     by = {i: tuple(p) for i, p in got}
     assert by[4] == by[5] == by[12]
-    assert rows(nothing.select(quality_classifier.train(nothing).column(spark, F.col("text")))) == []
+    assert rows(nothing.select(quality_classifier.train(nothing).column(F.col("text")))) == []
 
 
 # licence scan
