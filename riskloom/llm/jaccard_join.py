@@ -255,3 +255,32 @@ def similar(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate component of every document, at 75 % of the union."""
     return similar(table(spark, sf_dir, "documents"))[0]
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, sh FROM (
+    SELECT doc_id, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) AS sh FROM w WHERE len(ws) >= 5
+    UNION ALL
+    SELECT doc_id, array_to_string(ws, ' ') AS sh FROM w WHERE len(ws) BETWEEN 1 AND 4)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(doc_id, comp) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT e.b, r.comp FROM r JOIN e ON e.a = r.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.comp AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(comp) AS comp FROM r GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""

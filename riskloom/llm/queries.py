@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm.jaccard_join import op9_jaccard_join
+from riskloom.llm.jaccard_join import OP9_SQL, op9_jaccard_join
 from riskloom.llm.langid import op8_language_id
 from riskloom.llm.license_scan import op1_license_scan
 from riskloom.llm.lm_scoring import op5_lm_scoring
@@ -28,4 +28,5 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op4_norm_topk": OP4_SQL,
+    "op9_jaccard_join": OP9_SQL,
 }
