@@ -24,6 +24,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from riskloom.operators.reshape import unpivot_values
 
 _GRID = [i / 1000 for i in range(1, 1000)]
+MAX_KEYS = 100_000      # (group, column) pairs whose band edges the driver holds
 
 
 def _band_frame(spark: SparkSession, groups: list[str], gtypes, bands: dict) -> DataFrame:
@@ -35,6 +36,15 @@ def _band_frame(spark: SparkSession, groups: list[str], gtypes, bands: dict) ->
     return spark.createDataFrame(rows, StructType(fields))
 
 
+def _joined(long: DataFrame, bands: DataFrame, keys: list[str]) -> DataFrame:
+    """Values with their key's band; a missing group value is a key like any other.  One row a
+    key: the medians of more than MAX_KEYS keys are not for the driver's band table."""
+    named = bands.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                         *[c for c in bands.columns if c not in keys])
+    same = [long[k].eqNullSafe(named[f"__k{i}"]) for i, k in enumerate(keys)]
+    return long.join(F.broadcast(named), same).drop(*[f"__k{i}" for i in range(len(keys))])
+
+
 def _in_band(v, lo, hi):
     return (lo.isNull() | (v > lo)) & (hi.isNull() | (v <= hi))
 
@@ -58,27 +68,18 @@ def exact_medians(df: DataFrame, cols: list[str], groups: list[str] | tuple = ()
     out_schema = StructType([StructField(g, t) for g, t in zip(groups, gtypes)]
                             + [StructField("feature", StringType()),
                                StructField("median", DoubleType()), StructField("n", LongType())])
-    counts = long.groupBy(*keys).agg(F.count("__v").alias("n")).collect()
+    counts = long.groupBy(*keys).agg(F.count("__v").alias("n")).limit(MAX_KEYS + 1).collect()
+    if len(counts) > MAX_KEYS:
+        raise ValueError(f"exact_medians: {len(counts)} (group, column) pairs; at most {MAX_KEYS}")
     bands = {tuple(r[k] for k in keys): {"n": r["n"], "lo": None, "hi": None, "below": 0,
                                          "size": r["n"]} for r in counts}
     done: dict = {}
     v = F.col("__v")
-    if bands and max(b["n"] for b in bands.values()) <= band_limit:
-        # every group is small (checked above): one exact aggregate, whose
-        # per-group buffer is bounded by band_limit values
-        wide = df.groupBy(*groups).agg(*[F.median(F.when(~F.isnan(F.col(c).cast("double")),
-                                                         F.col(c).cast("double"))).alias(c) for c in cols])
-        med = unpivot_values(wide, groups, cols, "feature", "median").where(F.col("median").isNotNull())
-        nmap = spark.createDataFrame([(*k, b["n"]) for k, b in bands.items()],
-                                     StructType([StructField(g, t) for g, t in zip(groups, gtypes)]
-                                                + [StructField("feature", StringType()), StructField("n", LongType())]))
-        cond = [med[k].eqNullSafe(nmap[k]) for k in keys]        # one row per key
-        return med.join(F.broadcast(nmap), cond).select(*[med[k] for k in keys], med["median"], nmap["n"])
     for _ in range(max_rounds):
         wide = {k: b for k, b in bands.items() if k not in done and b["size"] > band_limit}
         if not wide:
             break
-        inside = long.join(F.broadcast(_band_frame(spark, groups, gtypes, wide)), keys) \
+        inside = _joined(long, _band_frame(spark, groups, gtypes, wide), keys) \
                      .where(_in_band(v, F.col("__lo"), F.col("__hi")))
         sk = inside.groupBy(*keys).agg(F.percentile_approx("__v", _GRID, accuracy).alias("q")).collect()
         cand = {}
@@ -94,7 +95,7 @@ def exact_medians(df: DataFrame, cols: list[str], groups: list[str] | tuple = ()
                        "hi": q[m_hi] if m_hi < len(q) else b["hi"], "mid": mid}
         if not cand:
             break
-        chk = long.join(F.broadcast(_band_frame(spark, groups, gtypes, cand)), keys).groupBy(*keys).agg(
+        chk = _joined(long, _band_frame(spark, groups, gtypes, cand), keys).groupBy(*keys).agg(
             _count_le(v, F.col("__lo")).alias("c_lo"),
             F.sum(F.when(F.col("__hi").isNull() | (v <= F.col("__hi")), 1).otherwise(0)).alias("c_hi"),
             F.sum(F.when(v < F.col("__mid"), 1).otherwise(0)).alias("c_mid_lt"),
@@ -114,7 +115,7 @@ def exact_medians(df: DataFrame, cols: list[str], groups: list[str] | tuple = ()
     result = None
     rest = {k: b for k, b in bands.items() if k not in done}
     if rest:
-        inside = long.join(F.broadcast(_band_frame(spark, groups, gtypes, rest)), keys) \
+        inside = _joined(long, _band_frame(spark, groups, gtypes, rest), keys) \
                      .where(_in_band(v, F.col("__lo"), F.col("__hi")))
         w = Window.partitionBy(*keys).orderBy("__v")
         ranked = inside.withColumn("__r", F.row_number().over(w) + F.col("__below"))

@@ -4,11 +4,14 @@ Semantics (row i, key k, window w):
     count_i = #{ j : key_j <=> k,  t_i - w <= t_j <= t_i,
                  and (t_j < t_i or id_j <= id_i) }
 i.e. the lower bound is inclusive, the row itself counts, and among equal
-timestamps only rows up to this one in (time, id) order count.  A row with
-a missing time counts the missing-time rows of its key up to itself.
+timestamps only rows up to this one in (time, id) order count; rows that
+repeat (key, time, id) count each other, so they all get the same number.  A
+row with a missing time counts the missing-time rows of its key up to itself.
+Keys may be of any type that Spark can group; missing keys are one key.
 
 ``rangeBetween(-w, 0)`` is wrong on ties (it counts all peers).  The exact
-form is ``row_number - count(t) over (range unbounded .. (w+1) preceding)``
+form is ``count(*) over (range unbounded .. current) by (time, id)`` less
+``count(t) over (range unbounded .. (w+1) preceding)`` by time,
 on integer seconds.
 
 Scale: a window partitioned by the key alone puts a hot key (say the
@@ -72,7 +75,7 @@ def add_velocity_counts(df: DataFrame, windows: dict[str, int] | None = None,
     )
     part = Window.partitionBy(key, _B)
     by_row = part.orderBy(F.col(time).asc_nulls_last(), F.col(order_id).asc_nulls_last())
-    x = x.withColumn("__rn", F.row_number().over(by_row))
+    x = x.withColumn("__rn", F.count(F.lit(1)).over(by_row.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     for name, w in windows.items():
         older = part.orderBy(F.col(time).asc_nulls_last()).rangeBetween(Window.unboundedPreceding, -(w + 1))
         x = x.withColumn(name, (F.col("__rn") - F.count(t).over(older)).cast("int"))
@@ -81,36 +84,38 @@ def add_velocity_counts(df: DataFrame, windows: dict[str, int] | None = None,
 
 def _probe_counts(df: DataFrame, windows: dict[str, int], key: str, time: str, order_id: str,
                   fine: int) -> DataFrame:
-    """Exact counts with partitions bounded by one key's rows in one fine
-    bucket (ids must be unique)."""
-    t = F.col(time)
-    kv, kn = F.coalesce(F.col(key), F.lit(0)).alias("__kv"), F.col(key).isNull().alias("__kn")
-    part = ["__kv", "__kn", "__b"]
+    """Exact counts with partitions bounded by one key's rows in one fine bucket."""
+    t, k = F.col(time), F.col(key)
+    part = ["__k", "__b"]
     timed = df.where(t.isNotNull())
-    recs = timed.select(kv, kn, F.col(order_id).alias("__id"), t.alias("__t"),
+    recs = timed.select(k.alias("__k"), F.col(order_id).alias("__id"), t.alias("__at"), t.alias("__t"),
                         F.floor(t / F.lit(float(fine))).alias("__b"), F.lit(1).alias("__real"),
                         F.lit(None).cast("string").alias("__w"))
     for name, w in windows.items():
         recs = recs.unionByName(timed.select(
-            kv, kn, F.col(order_id).alias("__id"), (t - w).alias("__t"),
+            k.alias("__k"), F.col(order_id).alias("__id"), t.alias("__at"), (t - w).alias("__t"),
             F.floor((t - w) / F.lit(float(fine))).alias("__b"), F.lit(0).alias("__real"),
             F.lit(name).alias("__w")))
     # real rows up to this record in (time, probe-before-real, id) order
     run = Window.partitionBy(*part).orderBy("__t", "__real", "__id") \
-                .rowsBetween(Window.unboundedPreceding, 0)
+                .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     recs = recs.withColumn("__run", F.sum("__real").over(run))
     # rows of earlier buckets of the same key: a prefix over the bucket table
     bt = recs.groupBy(*part).agg(F.sum("__real").alias("__cnt"))
-    pre = Window.partitionBy("__kv", "__kn").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.select(*part, F.coalesce(F.sum("__cnt").over(pre), F.lit(0)).alias("__before"))
-    recs = recs.join(bt, part).withColumn("__c", F.col("__before") + F.col("__run"))
-    got = recs.groupBy("__id").agg(
+    pre = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    bt = bt.select(F.col("__k").alias("__bk"), F.col("__b").alias("__bb"),
+                   F.coalesce(F.sum("__cnt").over(pre), F.lit(0)).alias("__before"))
+    recs = recs.join(bt, F.col("__k").eqNullSafe(F.col("__bk")) & (F.col("__b") == F.col("__bb"))) \
+               .withColumn("__c", F.col("__before") + F.col("__run"))
+    # rows that repeat (key, id, time) have equal counts, so one row each returns them
+    got = recs.groupBy("__k", "__id", "__at").agg(
         F.max(F.when(F.col("__real") == 1, F.col("__c"))).alias("__le"),
         *[F.max(F.when(F.col("__w") == n, F.col("__c"))).alias(f"__lt_{i}") for i, n in enumerate(windows)])
-    counts = got.select(F.col("__id").alias(order_id), *[
+    counts = got.select("__k", "__id", "__at", *[
         (F.col("__le") - F.col(f"__lt_{i}")).cast("int").alias(n) for i, n in enumerate(windows)])
-    # missing times: position among the key's missing-time rows (by id)
-    untimed = df.where(t.isNull()).select(order_id, *[
-        F.row_number().over(Window.partitionBy(key).orderBy(order_id)).cast("int").alias(n)
-        for n in windows])
-    return df.join(counts.unionByName(untimed), order_id, "left").select(*df.columns, *windows.keys())
+    same = F.col("__k").eqNullSafe(k) & F.col("__id").eqNullSafe(F.col(order_id)) & (F.col("__at") == t)
+    cols = [*df.columns, *windows.keys()]
+    # missing times: rows of the key's missing-time rows up to this one (by id)
+    w = Window.partitionBy(key).orderBy(F.col(order_id).asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    untimed = df.where(t.isNull()).select("*", *[F.count(F.lit(1)).over(w).cast("int").alias(n) for n in windows])
+    return timed.join(counts, same, "left").select(*cols).unionByName(untimed.select(*cols))

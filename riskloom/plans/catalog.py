@@ -4,7 +4,6 @@ oracle comparison is not at the mercy of summation order."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -221,7 +220,7 @@ def q_feature_correlation(spark, sf):
 
 @query("fraud_rate_by_hour")
 def q_fraud_rate_by_hour(spark, sf):
-    return PR.rate_by(time_features(_tx(spark, sf)).join(_tx(spark, sf).select(ID, "isFraud"), ID),
+    return PR.rate_by(_tx(spark, sf).select(C.transaction_hour(F.col("TransactionDT")).alias("transaction_hour"), "isFraud"),
                       "transaction_hour")
 
 
@@ -547,7 +546,7 @@ def _gbt_models(spark, sf):
     return memo(spark, sf, "gbt", lambda: CS.train_models(m, cols, trees=MD_TREES))
 
 
-MD_TREES = int(os.environ.get("RISKLOOM_TREES", "300"))
+MD_TREES = 300
 
 
 def _gbt_report(spark, sf):
@@ -678,7 +677,7 @@ def _explained(spark, sf):
 
     def build():
         model, t = _best_fitted(spark, sf)
-        return XJ.explanation_job(m, cols, model, t, sample=1000)
+        return XJ.explanation_job(m, cols, model, t)
     return memo(spark, sf, "explained", build)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import uuid
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
@@ -103,7 +104,7 @@ def run_anomaly(spark: SparkSession, out: str, n_trees: int = 200, epochs: int =
     _save(rep["comparison"], out, METHODS)
 
 
-def run_explanation(spark: SparkSession, out: str, trees: int = 300, sample: int | None = 1000) -> None:
+def run_explanation(spark: SparkSession, out: str, trees: int = 300, sample: int | None = None) -> None:
     m, cols = matrix_from(_features(spark, out))
 
     def retrain():
@@ -134,8 +135,8 @@ def presence_report(spark: SparkSession, out: str) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str, out: str | None = None, stages=STAGES, trees: int = 300,
-        n_trees: int = 200, epochs: int = 20, sample: int | None = 1000) -> str:
-    out = out or scratch_path(spark, "riskloom-out")
+        n_trees: int = 200, epochs: int = 20, sample: int | None = None) -> str:
+    out = out or scratch_path(spark, f"riskloom-out-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}")
     for st in stages:
         if st == "features":
             run_features(spark, sf_dir, out)
@@ -160,9 +161,10 @@ def main(argv=None):
     ap.add_argument("--out", default=None)
     ap.add_argument("--stages", nargs="*", default=list(STAGES))
     ap.add_argument("--trees", type=int, default=300)
+    ap.add_argument("--sample", type=int, default=None, help="explain only this many test rows (default: all)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    print(run(spark, args.sf_dir, args.out, args.stages, args.trees))
+    print(run(spark, args.sf_dir, args.out, args.stages, args.trees, sample=args.sample))
 
 
 if __name__ == "__main__":

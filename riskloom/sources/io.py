@@ -38,13 +38,12 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def load_features(spark: SparkSession, full_path: str, sample_path: str | None = None,
                   prefer_sample: bool = False) -> DataFrame:
-    """The feature table, the sample first only when asked; error if neither."""
-    order = [sample_path, full_path] if prefer_sample else [full_path, sample_path]
-    for p in order:
-        if p and path_exists(spark, p):
-            df = read_table(spark, p)
-            require_columns(df, [LABEL], "feature table")
-            return df
+    """The whole feature table, or the sample when that is asked for; one never stands in for the other."""
+    p = sample_path if prefer_sample else full_path
+    if p and path_exists(spark, p):
+        df = read_table(spark, p)
+        require_columns(df, [LABEL], "feature table")
+        return df
     raise FileNotFoundError("Missing engineered features. Run the feature job first.")
 
 
@@ -56,11 +55,17 @@ def presence(spark: SparkSession, items: dict[str, str]) -> DataFrame:
                                                    StructField("present", BooleanType())]))
 
 
-def contract_report(tables: dict[str, DataFrame], required: dict[str, list[str]]) -> DataFrame | None:
-    """Raise ValueError when a required column is missing."""
-    for name, cols in required.items():
-        require_columns(tables[name], cols, name)
-    return None
+def contract_report(tables: dict[str, DataFrame], required: dict[str, list[str]], strict: bool = True) -> DataFrame:
+    """(table_name, column_name, data_type, present) of every required column;
+    ``strict``: raise ValueError when one is missing."""
+    if not tables:
+        raise ValueError("no table to check")
+    if strict:
+        for name, cols in required.items():
+            require_columns(tables[name], cols, name)
+    rows = [(name, c, dict(tables[name].dtypes).get(c), c in tables[name].columns) for name, cols in required.items() for c in cols]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, present boolean")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
