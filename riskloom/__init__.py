@@ -8,7 +8,7 @@ operators  DataFrame operators (joins, windows, splits, evaluation, kNN,
            resampling, models, anomaly scoring, explanation)
 plans      composite jobs (feature matrix, cost report, anomaly report,
            explanation report, KPI mart)
-streaming  micro-batch scoring of the row-local features
+llm        operators of a training-data pipeline (optional; nothing else imports it)
 """
 
 __version__ = "0.1.0"

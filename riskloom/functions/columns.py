@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
     "floor_div", "transaction_hour", "transaction_day", "transaction_week",
     "amount_log", "safe_ratio", "any_not_null", "null_flag", "null_count",
-    "values_match", "combo_key", "finite_or_null", "nan_to_null", "decide",
+    "values_match", "combo_key", "finite_or_null", "nan_to_null", "without_nan", "decide",
     "recommend", "format_value", "zero_div",
 ]
 
@@ -105,6 +105,11 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN of every float column as NULL, the one form of missing that the jobs know."""
+    return df.select(*[nan_to_null(F.col(f"`{n}`")).alias(n) if t in ("float", "double") else F.col(f"`{n}`") for n, t in df.dtypes])
+
+
 def decide(p: Column, threshold) -> Column:
     return (p >= F.lit(threshold) if not isinstance(threshold, Column) else p >= threshold).cast("int")
 

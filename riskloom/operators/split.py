@@ -53,7 +53,8 @@ def assign_split(df: DataFrame, test_fraction: float = 0.2, seed: int = SEED,
     totals = counts.groupBy(label).agg(F.sum("__cnt").alias("__n"))
     table = _prefix_table(counts, label).join(totals, label).select(
         label, _BK, "__cnt", "__before",
-        ((F.col("__n") * F.lit(frac.numerator)) / F.lit(frac.denominator)).cast("long").alias("__quota"))
+        F.floor((2 * F.col("__n") * F.lit(frac.numerator) + F.lit(frac.denominator))
+                / F.lit(2 * frac.denominator)).alias("__quota"))             # rounded, halves up
     table = table.select(label, _BK, (F.col("__quota") - F.col("__before")).alias("__left"),
                          F.col("__cnt"))
     y = x.join(F.broadcast(table), [label, _BK])

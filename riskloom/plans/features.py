@@ -52,6 +52,7 @@ def build_features(tx: DataFrame, identity: DataFrame,
     require_columns(tx, [LABEL], "transactions")
     require_columns(tx, TX_REQUIRED, "transactions")
     require_columns(identity, [ID], "identity")
+    tx, identity = C.without_nan(tx), C.without_nan(identity)
     merged, tx_cols, id_cols = join_identity(tx, identity)
 
     t, a = F.col(TIME), F.col(AMOUNT)
@@ -75,21 +76,25 @@ def build_features(tx: DataFrame, identity: DataFrame,
         *([C.null_count([F.col(c) for c in id_cols]).alias("identity_missing_count")]
           if id_cols else []),
     )
-    # Whole-table statistics (include later rows, as the source does), all
-    # aggregated from the narrow row-local ``base`` so the long main plan is
-    # never derived twice; the stats branches share the base's exchanges.
+    # Whole-table statistics (include later rows, as the source does).  Those
+    # of transaction columns come from the raw transactions (identity ids are
+    # unique by contract, so the join repeats no row); only the device
+    # combinations need the identity join a second time.
     base = row
+    mails = row if not {"P_emaildomain", "R_emaildomain"} <= set(tx_cols) else tx.select(
+        C.combo_key((F.col(CARD), C.MISSING_CARD), (F.col("P_emaildomain"), C.MISSING_EMAIL),
+                    (F.col("R_emaildomain"), C.MISSING_EMAIL)).alias("__email_combo"))
     row = attach_group_stats(row, [CARD], [
         F.avg(AMOUNT).alias("card1_avg_amt"),
         F.count(ID).cast("int").alias("card1_txn_count_total"),
-    ], source=base)
+    ], source=tx.select(ID, CARD, AMOUNT))
     row = row.withColumn("card1_amt_deviation", a - F.col("card1_avg_amt")) \
              .withColumn("card1_amt_ratio_to_avg", C.safe_ratio(a, F.col("card1_avg_amt")))
     if velocity == "auto":
         velocity = velocity_strategy(tx, hot_rows, bucket_seconds)
     row = add_velocity_counts(row, VELOCITY_WINDOWS, bucket_seconds=bucket_seconds, strategy=velocity)
     row = attach_group_stats(row, ["__email_combo"],
-                             [F.count(F.lit(1)).alias("card_email_combo_seen_count")], source=base)
+                             [F.count(F.lit(1)).alias("card_email_combo_seen_count")], source=mails)
     row = attach_group_stats(row, ["__device_combo"],
                              [F.count(F.lit(1)).alias("card_device_combo_seen_count")], source=base)
     out = [c for c in FEATURE_COLUMNS if c in row.columns]

@@ -58,9 +58,9 @@ ID_COLS = ["TransactionID", "DeviceType", "DeviceInfo", "id_01"]
 
 SPLIT = """split AS (
   SELECT TransactionID, isFraud,
-         CASE WHEN 5 * row_number() OVER (PARTITION BY isFraud
-                   ORDER BY (TransactionID * 1103515245 + 518490) % 2147483648, TransactionID)
-                   <= count(*) OVER (PARTITION BY isFraud)
+         CASE WHEN 10 * row_number() OVER (PARTITION BY isFraud
+                   ORDER BY (TransactionID * 1103515245 + 518490) % 2147483648, TransactionID) - 5
+                   <= 2 * count(*) OVER (PARTITION BY isFraud)
               THEN 'test' ELSE 'train' END AS split
   FROM transactions)"""
 TRAIN = "train AS (SELECT * FROM split WHERE split = 'train')"
@@ -440,9 +440,9 @@ SELECT m.qid AS minority_id, m.nid AS majority_id
 FROM nn1 m JOIN nn1 j ON j.qid = m.nid AND j.nid = m.qid
 WHERE m.ql = 0 AND m.nl <> 0""")
 ESPLIT = """es AS (
-  SELECT *, CASE WHEN 5 * row_number() OVER (PARTITION BY label
-                   ORDER BY (vec_id * 1103515245 + 518490) % 2147483648, vec_id)
-                   <= count(*) OVER (PARTITION BY label) THEN 'test' ELSE 'train' END AS split
+  SELECT *, CASE WHEN 10 * row_number() OVER (PARTITION BY label
+                   ORDER BY (vec_id * 1103515245 + 518490) % 2147483648, vec_id) - 5
+                   <= 2 * count(*) OVER (PARTITION BY label) THEN 'test' ELSE 'train' END AS split
   FROM e)"""
 SQL["lof"] = with_ctes([E, ESPLIT, "tr AS (SELECT * FROM es WHERE split = 'train' AND label <> 0)",
                         "te AS (SELECT * FROM es WHERE split = 'test')", """nt AS (

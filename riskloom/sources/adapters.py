@@ -13,6 +13,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.columns import without_nan
+
 # Adapter origin (2024-01-01T00:00:00Z as epoch seconds).
 EPOCH_ORIGIN = 1704067200
 
@@ -73,11 +75,11 @@ def transactions_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def load_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_events(read_table(spark, sf_dir, "events"))
+    return without_nan(transactions_from_events(read_table(spark, sf_dir, "events")))
 
 
 def load_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity_from_events(read_table(spark, sf_dir, "events"))
+    return without_nan(identity_from_events(read_table(spark, sf_dir, "events")))
 
 
 def load_order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

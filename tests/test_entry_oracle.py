@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = "orders events embeddings".split()
+TABLES = "orders events embeddings documents labels pages benchmark conversations".split()
 # keys whose whole-data oracle is cheap at this scale
 SQL_KEYS = sorted(E.oracle_sql())
 

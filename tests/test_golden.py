@@ -12,7 +12,7 @@ ADAPTER = {  # sf: rows, frauds, non-null amount, non-null card, equal domains,
     "0.001": (1000, 35, 972, 973, 228, 232, 27),
     "0.01": (10000, 416, 9731, 9816, 2285, 2475, 196),
 }
-SPLIT = {"0.001": (193, 7), "0.01": (1916, 83), "0.1": (19208, 791)}
+SPLIT = {"0.001": (193, 7), "0.01": (1917, 83), "0.1": (19209, 791)}
 VELOCITY = {"0.001": (1094, 1504, 3127), "0.01": (10903, 15634, 32318), "0.1": (114873, 188400, 448715)}
 
 

@@ -53,7 +53,7 @@ def test_split_exact_rule_and_stability(spark):
     pdf = pdf.sort_values(["isFraud", "h", "TransactionID"])
     pdf["rn"] = pdf.groupby("isFraud").cumcount() + 1
     pdf["n"] = pdf.groupby("isFraud").TransactionID.transform("count")
-    exp = dict(zip(pdf.TransactionID, np.where(5 * pdf.rn <= pdf.n, "test", "train")))
+    exp = dict(zip(pdf.TransactionID, np.where(10 * pdf.rn - 5 <= 2 * pdf.n, "test", "train")))
     assert a == exp
 
 
