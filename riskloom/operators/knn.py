@@ -53,6 +53,11 @@ def _nearest_pivot_udf(bc):
     return nearest
 
 
+def _slack(X: np.ndarray, P: np.ndarray) -> np.ndarray:
+    """What rounding may add to a distance of the expanded square, for vectors of these lengths."""
+    return 1e-9 + 1e-7 * (np.sqrt((X * X).sum(1)) + np.sqrt((P * P).sum(1).max(initial=0.0)))
+
+
 def _candidate_cells_udf(bc_p, bc_r):
     @F.pandas_udf(ArrayType(IntegerType()))
     def cands(v: pd.Series, own: pd.Series, bound: pd.Series) -> pd.Series:
@@ -62,8 +67,8 @@ def _candidate_cells_udf(bc_p, bc_r):
         X = np.stack(v.to_numpy())
         d = np.sqrt(np.maximum((X * X).sum(1)[:, None] + (P * P).sum(1)[None, :] - 2 * X @ P.T, 0))
         lb = d - r[None, :]
-        b = bound.to_numpy(dtype=float)
-        ok = lb <= (b[:, None] + 1e-9)
+        b = bound.to_numpy(dtype=float) + _slack(X, P)
+        ok = lb <= b[:, None]
         ok[np.arange(len(X)), own.to_numpy()] = False
         return pd.Series([np.nonzero(row)[0].astype("int32").tolist() for row in ok])
     return cands
@@ -77,24 +82,29 @@ def _block_topk(k: int, exclude_self: bool):
                                  "distance": pd.Series([], dtype="float64")})
         Q, B = np.stack(q["qv"].to_numpy()), np.stack(b["bv"].to_numpy())
         qid, bid = q["qid"].to_numpy(), b["bid"].to_numpy()
-        d = np.sqrt(np.maximum((Q * Q).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2 * Q @ B.T, 0))
+        # the expanded square finds a shortlist; its rounding error is bounded by the squared lengths
+        q2, b2 = (Q * Q).sum(1), (B * B).sum(1)
+        d2 = np.maximum(q2[:, None] + b2[None, :] - 2 * Q @ B.T, 0)
         if exclude_self:
-            d[qid[:, None] == bid[None, :]] = np.inf
-        dr = np.round(d, TIE_DECIMALS)
+            d2[qid[:, None] == bid[None, :]] = np.inf
+        error = 1e-14 * Q.shape[1] * (q2 + b2.max()) + 1e-12
         kk = min(k, len(bid))
         out_q, out_b, out_d = [], [], []
         for i in range(len(qid)):
-            row = dr[i]
+            row = d2[i]
             if kk < len(row):
                 kth = np.partition(row, kk - 1)[kk - 1]
-                idx = np.nonzero(row <= kth)[0]
+                # ties are told apart after TIE_DECIMALS, so values that close to the k-th stay in
+                idx = np.nonzero(row <= kth + 2 * error[i] + 4 * 10.0 ** -TIE_DECIMALS * np.sqrt(kth + error[i]))[0] \
+                    if np.isfinite(kth) else np.arange(len(row))
             else:
                 idx = np.arange(len(row))
             idx = idx[np.isfinite(row[idx])]
-            order = idx[np.lexsort((bid[idx], row[idx]))][:kk]
+            exact = np.sqrt(((B[idx] - Q[i]) ** 2).sum(1))          # equal rows are at distance 0
+            order = np.lexsort((bid[idx], np.round(exact, TIE_DECIMALS)))[:kk]
             out_q.append(np.full(len(order), qid[i]))
-            out_b.append(bid[order])
-            out_d.append(d[i, order])
+            out_b.append(bid[idx[order]])
+            out_d.append(exact[order])
         return pd.DataFrame({"query_id": np.concatenate(out_q).astype("int64"),
                              "neighbor_id": np.concatenate(out_b).astype("int64"),
                              "distance": np.concatenate(out_d)})
@@ -154,7 +164,7 @@ def _candidate_cells2_udf(bc_p, bc_r, bc_sub):
         if not len(v):
             return pd.Series([], dtype=object)
         X = np.stack(v.to_numpy())
-        b = bound.to_numpy(dtype=float) + 1e-9
+        b = bound.to_numpy(dtype=float) + _slack(X, P)
         d1 = np.sqrt(np.maximum((X * X).sum(1)[:, None] + (P * P).sum(1)[None, :] - 2 * X @ P.T, 0))
         ok1 = (d1 - r["level1"][None, :]) <= b[:, None]
         hot = np.zeros(len(P), dtype=bool)
@@ -245,10 +255,13 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id",
     else:
         bc_sub, B2, Q2 = None, B1, materialize(Q1)
     brows = B2.select("cell", "bid", "bv")
-    r1 = materialize(_blocks(spark, Q2, brows, k, exclude_self, block))
     w = Window.partitionBy("query_id").orderBy(F.round("distance", TIE_DECIMALS), "neighbor_id")
+    # the k best of all blocks of the cell, so that the bound is the true k-th distance
+    r1 = materialize(_blocks(spark, Q2, brows, k, exclude_self, block)
+                     .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
     if m == 1 and not sub["range"]:     # one cell: round 1 already saw every base row
-        return materialize(r1.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+        return r1
+    r1 = r1.drop("rank")
     bound = r1.groupBy(F.col("query_id").alias("qid")).agg(
         F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
     Q3 = Q2.join(bound, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))

@@ -514,6 +514,13 @@ def q_knn(spark, sf):
     return KN.knn_join(v, v, 5)
 
 
+@query("knn_join_cells")
+def q_knn_cells(spark, sf):
+    """The same join with small cells, so that pruning, sub-cells and the second round all run."""
+    v = _vectors(spark, sf)
+    return KN.knn_join(v, v, 5, cell_size=32, block=48, hot_factor=2)
+
+
 @query("smote")
 def q_smote(spark, sf):
     v = _vectors(spark, sf)
@@ -533,6 +540,12 @@ def q_lof(spark, sf):
     return AN.lof_scores(train, test, k=35).join(test.select("vec_id", "label"), "vec_id")
 
 
+@query("velocity_probe_24h")
+def q_velocity_probe(spark, sf):
+    tx = _tx(spark, sf).select(ID, CARD, "TransactionDT")
+    return add_velocity_counts(tx, {"card1_txn_count_past_24hr": 86400}, strategy="probe").select(ID, "card1_txn_count_past_24hr")
+
+
 # ---------------------------------------------------------------- models (rows-only keys)
 from riskloom.plans import cost as CS  # noqa: E402
 from riskloom.plans import imbalance as IM  # noqa: E402

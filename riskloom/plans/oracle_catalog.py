@@ -414,6 +414,7 @@ NN_ALL = """nn AS (
          CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.x, b.x), 9), b.vec_id) AS INTEGER) AS rank
   FROM e a JOIN e b ON a.vec_id <> b.vec_id)"""
 SQL["knn_join"] = with_ctes([E, NN_ALL], "SELECT * FROM nn WHERE rank <= 5", ["distance"])
+SQL["knn_join_cells"] = SQL["knn_join"]
 SQL["smote"] = with_ctes([E, """mn AS (
   SELECT *, row_number() OVER (ORDER BY (vec_id * 1103515245 + 518490) % 2147483648, vec_id) - 1 AS idx
   FROM e WHERE label = 0)""", """mnn AS (
@@ -458,3 +459,4 @@ SQL["lof"] = with_ctes([E, ESPLIT, "tr AS (SELECT * FROM es WHERE split = 'train
 SELECT nq.q AS vec_id, avg(l.lrd) / (1.0 / (avg(greatest(kd.kdist, nq.d)) + 1e-10)) AS lof, any_value(te.label) AS label
 FROM nq JOIN kd ON kd.p = nq.o JOIN lrd l ON l.p = nq.o JOIN te ON te.vec_id = nq.q
 GROUP BY nq.q""", ["lof"])
+SQL["velocity_probe_24h"] = SQL["velocity_24h"]
