@@ -14,7 +14,7 @@ import xxhash
 from riskloom.llm.common import mix64
 
 WIDTH = 5
-CACHE = 400_000             # words whose hashes a task keeps; emptied when full
+CACHE = 150_000             # words whose hashes a task keeps; emptied when full
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
