@@ -37,6 +37,7 @@ from riskloom.llm.shingles import WordHashes, shingle_set
 
 BLOCK = 1 << 16             # cells in one row of the count table
 MAX_BITS = 26
+CHUNK = 1024                # units of one list that are joined at once
 SIGNATURE = "doc_id long, n long, h1 long, h2 long, g long, prefix array<long>"
 
 
@@ -185,38 +186,50 @@ def _first_round(shared: DataFrame, group_of: DataFrame, percent: int) -> DataFr
 def _second_round(shared: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes that lie in different components and whose groups share enough of their prefixes.
 
-    In each list the groups outside its main component meet all others, so a
-    large family costs its size only.
+    A unit is the classes of one group and component.  In each list the units
+    probe those of larger components (ties by the component's name), so a
+    large family probes nobody and every pair is counted from one side only.
+    A list is joined as a few arrays of at most about ``CHUNK`` units, dealt by
+    the unit's hash; a task counts, for one unit and one deal, how many lists
+    it shares with each other unit, and lets only those pairs go on whose
+    count allows the needed overlap.
     """
     col, w = F.col, Window.partitionBy("tok")
-    listed = (shared.select("tok", "gid", "n", "pos")
-              .join(units.select(col("gid").alias("ug"), "comp").distinct(), col("gid") == col("ug")).drop("ug"))
-    open_ = stored(listed.withColumn("one", F.min("comp").over(w)).withColumn("other", F.max("comp").over(w))
-                   .where("one <> other").drop("one", "other"), "open-lists")
-    main = open_.groupBy("tok").agg(F.mode("comp", deterministic=True).alias("main")).withColumnRenamed("tok", "mt")
-    marked = stored(open_.join(main, col("tok") == col("mt")).drop("mt"), "marked-lists")
-    # What a list tells of all groups of one component and size bounds what it tells of each of them,
-    # so whole (component, size) families are ruled out before their groups meet.
-    coarse = stored(marked.select("tok", "n", "comp", "main").distinct(), "coarse-lists")
-    kin = lambda side, *more: [col(c).alias(f"{side}_{c}") for c in ("tok", "n", "comp", *more)]
-    apart = ((col("x_tok") == col("y_tok")) & (col("x_comp") != col("y_comp"))
-             & ((col("y_comp") == col("y_main")) | (col("x_comp") < col("y_comp")))
-             & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")))
-    enough = _most(col("x_n"), col("y_n"), col("common"), percent) >= _needed(col("x_n"), col("y_n"), percent)
-    families = ["x_comp", "x_n", "y_comp", "y_n"]
-    near = stored(coarse.where("comp <> main").select(*kin("x")).join(coarse.select(*kin("y", "main")), apart)
-                  .groupBy(*families).agg(F.count("*").alias("common")).where(enough).select(*families), "near-families")
-    x = marked.where("comp <> main").select(*kin("x", "gid", "pos")).join(
-        near.toDF("a_comp", "a_n", "b_comp", "b_n"), (col("x_comp") == col("a_comp")) & (col("x_n") == col("a_n"))).drop("a_comp", "a_n")
-    y = marked.select(*kin("y", "gid", "pos", "main"))
-    meet = (x.join(y, apart & (col("y_comp") == col("b_comp")) & (col("y_n") == col("b_n")))
-            .groupBy("x_gid", "x_comp", "x_n", "y_gid", "y_comp", "y_n").agg(F.count("*").alias("common"), F.min(F.struct("x_pos", "y_pos")).alias("at"))
-            .where(_may(col("x_n"), col("at.x_pos"), col("y_n"), col("at.y_pos"), percent)).where(enough))
-    ux = units.select(col("id").alias("x"), col("gid").alias("uxg"), col("comp").alias("uxc"))
-    uy = units.select(col("id").alias("y"), col("gid").alias("uyg"), col("comp").alias("uyc"))
-    return (meet.join(ux, (col("x_gid") == col("uxg")) & (col("x_comp") == col("uxc")))
-            .join(uy, (col("y_gid") == col("uyg")) & (col("y_comp") == col("uyc")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct())
+    size = units.groupBy("comp").agg(F.count("*").alias("csize")).withColumnRenamed("comp", "sized")
+    unit = units.groupBy("gid", "comp").agg(F.min("id").alias("uid")).join(size, col("comp") == col("sized"))
+    unit = stored(unit.select(col("gid").alias("ug"), "comp", "csize", "uid"), "unit-sizes")
+    open_ = stored(shared.select("tok", "gid", "n").join(unit, col("gid") == col("ug"))
+                   .withColumn("one", F.min("comp").over(w)).withColumn("big", F.max(F.struct("csize", "comp")).over(w))
+                   .withColumn("other", F.max("comp").over(w)).where("one <> other").select("tok", "uid", "n", "comp", "csize", "big"), "open-lists")
+    longest = open_.groupBy("tok").count().agg(F.max("count")).first()[0] or 0
+    deal = F.pmod(F.xxhash64("uid"), F.lit(max(1, -(-longest // CHUNK))))
+    lists = open_.groupBy(col("tok").alias("y_tok"), deal.alias("deal")).agg(F.collect_list(F.struct("uid", "comp", "csize", "n")).alias("ys"))
+    probes = open_.where(F.struct("csize", "comp") != col("big")).select("tok", col("uid").alias("x"), "n", "comp", "csize")
+    probed = (probes.join(lists, col("tok") == col("y_tok")).groupBy("x", "n", "comp", "csize", "deal")
+              .agg(F.flatten(F.collect_list("ys")).alias("ys")))
+
+    def count(batches):
+        rest = lambda n: np.ceil(n * percent / 100 - 1e-9) - 1
+        for b in batches:
+            ys = b.column(4)
+            at, flat = ys.offsets.to_numpy(), ys.values
+            uid, comp, csize, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            xs, out = [], []
+            for i, (x, nx, cx, sx) in enumerate(zip(*(b.column(j).to_pylist() for j in range(4)))):
+                part = slice(at[i], at[i + 1])
+                larger = (csize[part] > sx) | ((csize[part] == sx) & (comp[part] > cx))
+                u, first, c = np.unique(uid[part][larger], return_index=True, return_counts=True)
+                ny = n[part][larger][first]
+                fits = 100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)
+                fits &= c + np.maximum(rest(nx), rest(ny)) >= np.ceil((nx + ny) * percent / (100 + percent) - 1e-9)
+                xs.append(np.full(int(fits.sum()), x, np.int64))
+                out.append(u[fits].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v) if v else [], pa.int64()) for v in (xs, out)], ["x", "y"])
+
+    meet = probed.select("x", "n", "comp", "csize", "ys").mapInArrow(count, "x long, y long").distinct()
+    of = stored(units.join(unit.withColumnRenamed("comp", "uc"), (col("gid") == col("ug")) & (col("comp") == col("uc"))).select("uid", "id"), "unit-classes")
+    return (meet.join(of.toDF("xu", "xi"), col("x") == col("xu")).join(of.toDF("yu", "yi"), col("y") == col("yu"))
+            .select(F.least("xi", "yi").alias("a"), F.greatest("xi", "yi").alias("b")).where("a <> b").distinct())
 
 
 def similar(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
