@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.llm import jaccard_join, langid, mixing, packing, toxicity
-from riskloom.llm.common import stored, table, temp_name
+from riskloom.llm.common import small_batches, stored, table, temp_name
 
 MIN_LANGUAGE_SCORE = 0.2    # below it a text resembles no learned language
 MIX_TARGETS = {"q1": 0.95, "q0": 0.05}
@@ -24,6 +24,7 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts that are far from every language's profile."""
+    small_batches(spark)
     x = temp_name(docs, "language")
     found = docs.withColumn(x, langid.fit_profiles(docs).column(F.col("text")))
     return found.where((F.col(f"{x}.lang_pred") != langid.UND) & (F.col(f"{x}.score") >= MIN_LANGUAGE_SCORE)).drop(x)

@@ -14,8 +14,19 @@ from riskloom.session import scratch_path
 SPACES = " \t\n\x0b\x0c\r"          # the separators of the contract, \x20 and \x09-\x0D
 
 
+BATCH_ROWS = 2_000          # texts in one Arrow batch, about 7 MB of usual documents
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the texts that the JVM and a Python worker hold at once (Spark's default is 10,000)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole input table, by Spark's reader only (any file system)."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +37,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     every executor sees.  Folder names are unique, so drivers never collide.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, f"riskloom-{name}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
