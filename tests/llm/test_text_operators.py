@@ -224,3 +224,19 @@ def test_scan_matches_plain_search(spark, documents):
 
 def test_scan_awkward(awkward, nothing):
     assert rows(license_scan.scan(awkward)) == [] == rows(license_scan.scan(nothing))
+
+
+def test_notices_inside_long_lines_are_found_each_time():
+    s = license_scan.Scanner()
+    for name, (_, wording) in TEMPLATES.items():
+        line = f"{prose(10_000, 3)} {wording} {prose(10_000, 5)} {wording} {wording}"
+        got = s.block([line])
+        assert [x[0] for x in got] == [name] * 3 and all(x[4] == [] and x[2] < x[1] for x in got), name
+
+
+def test_changed_copies_are_found_beside_exact_ones():
+    s = license_scan.Scanner()
+    text = TEMPLATES["mit-text"][1]
+    changed = text.replace("free of charge", "gratis").replace("publish, ", "").replace("OTHER LIABILITY", "ANY OTHER LIABILITY")
+    got = {len(x[4]): x for x in s.block([" ".join((prose(3000), text, changed, text, prose(3000)))])}
+    assert sorted(got[6][4]) == ["+any", "+gratis", "-charge", "-free", "-of", "-publish"] and got[0][0] == "mit-text"
