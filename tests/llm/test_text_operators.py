@@ -240,3 +240,24 @@ def test_changed_copies_are_found_beside_exact_ones():
     changed = text.replace("free of charge", "gratis").replace("publish, ", "").replace("OTHER LIABILITY", "ANY OTHER LIABILITY")
     got = {len(x[4]): x for x in s.block([" ".join((prose(3000), text, changed, text, prose(3000)))])}
     assert sorted(got[6][4]) == ["+any", "+gratis", "-charge", "-free", "-of", "-publish"] and got[0][0] == "mit-text"
+
+
+def test_wrapped_licences_are_found():
+    """Every template wrapped at 60 to 80 columns, as it is, behind comment marks and with blank lines."""
+    import textwrap
+    s = license_scan.Scanner()
+    for name, (_, wording) in TEMPLATES.items():
+        for columns in range(60, 81):
+            lines = textwrap.wrap(wording, columns)
+            for text in ("\n".join(lines), "# " + "\n# ".join(lines), "\n\n".join(lines)):
+                found = license_scan.blocks(f"{prose(300)}\n{text}\n{prose(300, 4)}", s.reach)
+                got = [x for words, _ in found for x in s.findings(words)]
+                assert [(x[0], x[4]) for x in got] == [(name, [])], (name, columns)
+
+
+def test_lines_of_wrapped_findings(spark):
+    import textwrap
+    lines = textwrap.wrap(TEMPLATES["cc0-notice"][1], 24)           # "public" and "domain" on two lines
+    docs = spark.createDataFrame([(1, "\n".join([prose(9), *lines, prose(9), "", *lines]))], "doc_id long, text string")
+    got = sorted((r["first_line"], r["n_lines"], r["template"]) for r in license_scan.scan(docs).collect())
+    assert got == [(1, len(lines), "cc0-notice"), (3 + len(lines), len(lines), "cc0-notice")]
