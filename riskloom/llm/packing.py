@@ -42,7 +42,7 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """A stored table of ids: one row a document, with the ids of its source that precede it in its partition."""
 
     def run(batches):
-        ids, part, seen = Ids(vocabulary), TaskContext.get().partitionId(), {}
+        ids, part, seen = Ids(vocabulary, added=True), TaskContext.get().partitionId(), {}
         for b in batches:
             for a in range(0, b.num_rows, TEXTS_AT_ONCE):
                 x = b.slice(a, TEXTS_AT_ONCE)

@@ -5,7 +5,10 @@ that follows it, so a text may be cut before each such space and the parts
 encoded alone.  Parts repeat, so each task keeps the ids of those it has met;
 new parts of a batch are encoded in one call.  Texts in which white space
 stands before a space are encoded whole.  The tests hold the ids equal to
-those of the ``tokenizers`` library on the vocabulary's JSON file.
+those of the ``tokenizers`` library on the vocabulary's JSON file.  That file
+has one added token, ``ADDED``: with ``added`` the text is cut at each one, as
+the library does by default, else it is text like any other (the library with
+``encode_special_tokens``).
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ import public_tokenizers
 import tiktoken
 
 END = 0                     # id that closes a document
+ADDED, ADDED_ID = "<|endoftext|>", 50256
 CACHE = 400_000             # parts kept by one task; emptied when full
 SPACE_BEFORE_SPACE = re.compile(r"\s ")
 
@@ -32,13 +36,15 @@ def load(path: str | None = None) -> tiktoken.Encoding:
 class Ids:
     """Maps texts to their ids, two bytes each (the vocabulary has fewer than 2^16 entries)."""
 
-    def __init__(self, path: str | None = None):
-        self.encoding = load(path)
+    def __init__(self, path: str | None = None, added: bool = False):
+        self.encoding, self.added = load(path), added
         self.known: dict[str, bytes] = {}
         self.opens = np.array([self.encoding.decode_single_token_bytes(i)[:1] == b" " for i in range(self.encoding.n_vocab)])
         self.end = np.array([END], "<u2").tobytes()
 
     def _whole(self, text: str) -> bytes:
+        if self.added and ADDED in text:
+            return np.array([ADDED_ID], "<u2").tobytes().join(map(self._whole, text.split(ADDED)))
         return np.array(self.encoding.encode_ordinary(text), "<u2").tobytes()
 
     def _learn(self, parts: set[str]) -> None:
@@ -58,7 +64,8 @@ class Ids:
         split = []
         for t in texts:
             t = t or ""
-            split.append(t if SPACE_BEFORE_SPACE.search(t) or t[:1] == " " or t[-1:].isspace() else t.split(" "))
+            whole = self.added and ADDED in t
+            split.append(t if whole or SPACE_BEFORE_SPACE.search(t) or t[:1] == " " or t[-1:].isspace() else t.split(" "))
         self._learn(set().union(*(p[1:] for p in split if isinstance(p, list))))
         get = self.known.__getitem__
         return [(self._whole(p) if isinstance(p, str) else self._whole(p[0]) + b"".join(map(get, p[1:]))) + self.end for p in split]

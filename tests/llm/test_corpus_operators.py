@@ -320,6 +320,21 @@ def test_weights_rule_until_a_queue_is_dry():
         assert all(abs(x - a - n * k / p.windows) < 1 for k, g in enumerate(given) for x, a, n in zip(g, p.base, p.tokens))
 
 
+def test_the_added_token_has_its_own_id(spark):
+    """As the vocabulary's JSON file says, without any setting of the library."""
+    import public_tokenizers
+    from riskloom.llm.tokens import Ids
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    e = "<|endoftext|>"
+    texts = TEXTS + [f"a {e} b", e, e + e, f" {e} ", f"a  {e}  b c", f"{e}\n{e} x", f"<|endoftext{e}|>", f"don{e}'t", e[:-1], f"a b {e}\t \nc d"]
+    want = [plain.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in Ids(added=True).batch(texts)] == want
+    assert [64, 220, 50256, 275, 0] in want
+    got = packing.pack(spark.createDataFrame([(1, "s", f"a {e} b")], "doc_id long, source string, text string")).collect()
+    assert [(r["doc_tokens"], r["ids_crc32"]) for r in got] == [(5, zlib.crc32(np.array([64, 220, 50256, 275, 0], "<u4").tobytes()))]
+
+
 def test_packing_awkward(awkward, nothing, encode):
     check_pack(awkward, encode)
     assert rows(packing.pack(nothing)) == []
