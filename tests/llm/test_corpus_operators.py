@@ -335,6 +335,30 @@ def test_the_added_token_has_its_own_id(spark):
     assert [(r["doc_tokens"], r["ids_crc32"]) for r in got] == [(5, zlib.crc32(np.array([64, 220, 50256, 275, 0], "<u4").tobytes()))]
 
 
+@pytest.mark.parametrize("weights", [None, {"a": 0.2, None: 0.1, "s7": 0.3, "s2": 0.4, "s9": 0.0, "none": 1.0}])
+def test_many_sources_have_the_places_of_few(spark, weights, monkeypatch):
+    rnd = random.Random(8)
+    data = [(i, rnd.choice(["a", None, "", *(f"s{k}" for k in range(12))]), prose(rnd.choice((0, 1, 5, 60, 400)), i)) for i in range(150)]
+    df = spark.createDataFrame(data, "doc_id long, source string, text string")
+    few = sorted(rows(packing.pack(df, weights, length=64, window=256)), key=str)
+    monkeypatch.setattr(packing, "MAX_QUEUES", 3)
+    monkeypatch.setattr(packing, "RANGE", 4)
+    assert sorted(rows(packing.pack(df, weights, length=64, window=256)), key=str) == few
+
+
+def test_1025_sources_keep_their_own_targets(spark):
+    df = spark.createDataFrame([(i, f"s{i % 1025}", prose(3 + i % 1025 % 40, i)) for i in range(2050)], "doc_id long, source string, text string")
+    got = packing.pack(df, window=4096).groupBy("source", "window_id").agg(F.sum("length").alias("n")).collect()
+    total, windows = collections.Counter(), 1 + max(r["window_id"] for r in got)
+    for r in got:
+        total[r["source"]] += r["n"]
+    assert len(total) == 1025 and windows > 3 and all(abs(r["n"] - total[r["source"]] / windows) < 1 for r in got)
+    # the two sources of the mixture come first, one to three, until one is dry
+    got = packing.pack(df, {"s39": 0.25, "s79": 0.75}, window=64).where("window_id = 0").groupBy("source").agg(F.sum("length").alias("n")).collect()
+    n = {r["source"]: r["n"] for r in got}
+    assert n.keys() == {"s39", "s79"} and abs(3 * n["s39"] - n["s79"]) <= 3
+
+
 def test_packing_awkward(awkward, nothing, encode):
     check_pack(awkward, encode)
     assert rows(packing.pack(nothing)) == []
