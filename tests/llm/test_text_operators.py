@@ -86,6 +86,19 @@ def test_spaced_out_words_are_joined(char_model):
     assert toxicity.spaced_runs("a b then c d".split()) == []
 
 
+@pytest.mark.parametrize("written", ["d o w n.", '"d o w n"', "(d o w n),", "do wn", "do wn!", '"do wn"', "d ow n?", "d. o. w. n.", "D O W N...", "d 0 w n!"])
+def test_spaced_words_with_marks_and_short_pieces(char_model, written):
+    r = toxicity.Restorer(char_model, {"down"})
+    for text in (written, f"house {written} garden", f"the house {written}", f"{written} street"):
+        assert "down" in [w for run in toxicity.spaced_runs(text.split()) for w in r.spaced(run)], text
+
+
+def test_planted_spaced_words_are_scored(char_model):
+    model = toxicity.Scorer(char_model, {"down": 5.0, "down*": 5.0}, -5.0)
+    for written in ('d o w n.', '"d o w n"', "do wn", "d o wn!"):
+        assert model.score(f"{prose(40)} {written}") > 0.9 > 0.1 > model.score(prose(40)), written
+
+
 def test_viterbi_is_the_cheapest_reading(char_model):
     """Against every path of small lattices."""
     import itertools
