@@ -1,18 +1,20 @@
 """Cross-entropy difference (Moore and Lewis, 2010) between a target and a background language model.
 
-Both models are bigram models over one vocabulary, the ``VOCABULARY`` most
-frequent words of all documents; they have the same form and smoothing, and
-the background's counts are scaled to the target's size.  With c the counts
-and p1 the smoothed unigram model, p(w | h) = (c(h, w) + M p1(w)) / (c(h) + M)
-for known h and w, and p1(w) otherwise (other words share one entry).  A
-document's score is its target loss less its background loss a token: the
-lower, the more like the target.
+Both models are bigram models over one vocabulary, every word of the documents
+(or, if asked for, the most frequent ones); they have the same form and
+smoothing, and the background's counts are scaled to the target's size.  With c
+the counts and p1 the smoothed unigram model, which has one entry more for
+words never seen, p(w | h) = (c(h, w) + M p1(w)) / (c(h) + M), and p1(w) for
+the first word.  (With a smaller vocabulary, also beside words outside it, which
+share the one entry.)  A document's score is its target loss less its
+background loss a token: the lower, the more like the target.
 
 Counts come from all documents and grow with them: word counts and bigram
 counts are summed by Spark and stay there.  Only tables of a fixed size reach
-every task: the vocabulary, and the ``COMMON`` most frequent bigrams, which
-every document has and which are scored on the spot; the rest meet their
-counts in a join, without a hot key among them.
+every task, with the same result: the ``VOCABULARY`` most frequent words' counts
+and the losses of the ``COMMON`` most frequent bigrams; the rest meet their
+counts in joins, without a hot key among them.  Words and bigrams are told apart
+by 64-bit and 63-bit hashes.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z.  Defined cases: null
 and empty texts have no tokens and null losses; rows with one id are scored as
@@ -28,12 +30,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import few, stored, table
-from riskloom.llm.shingles import CACHE, WordHashes
+from riskloom.llm.common import few, mix64, stored, table
+from riskloom.llm.shingles import CACHE, FACTORS, WordHashes
 
 VOCABULARY = 20_000
 COMMON = 1 << 18
 M = 20.0
+START = np.uint64(0)        # stands before the first word
+ROWS = "doc_id long, key long, times long, t_loss double, n_loss double, tokens long"
 SHIFT = 20                  # bits of a word number in a bigram's key
 
 
@@ -91,8 +95,120 @@ class Models:
         return [-np.log(p[w]) for p in self.p1]
 
 
-def score(docs: DataFrame, target: Column, vocabulary: int = VOCABULARY, common: int = COMMON) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, difference; ``target`` marks the rows of the target model."""
+def pairs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key from 0, word before, word) of each word of a text; ``START`` is before the first."""
+    before = np.concatenate(([START], h[:-1])) if len(h) else h
+    return (mix64(before * FACTORS[0] + h * FACTORS[1]) >> np.uint64(1)).view(np.int64), before.view(np.int64), h.view(np.int64)
+
+
+def _score_all(docs: DataFrame, target: Column, common: int, table_words: int) -> DataFrame:
+    """``score`` with every word in the vocabulary: words and bigrams meet their counts in joins, without hot keys."""
+    spark = docs.sparkSession
+    marked = docs.select("doc_id", "text", F.coalesce(target, F.lit(False)).alias("target"))
+    texts = marked.select("text", "target")
+
+    def word_hashes(batches):
+        known = WordHashes()
+        return _counts(batches, lambda t: known.of(t).view(np.int64), "w")
+
+    words = stored(texts.mapInArrow(word_hashes, "w long, n long, t long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "words")
+    size, n_all, t_all = (float(x or 0) for x in words.agg(F.count("*"), F.sum("n"), F.sum("t")).first())
+    scale = t_all / n_all if t_all and n_all else 1.0
+    top = words.orderBy(F.col("n").desc(), "w").limit(table_words).toArrow().sort_by("w")
+    table_sent = spark.sparkContext.broadcast(tuple(top[c].to_numpy() for c in ("w", "n", "t")))
+
+    def pairs(batches):
+        """Bigrams of a batch; a first word is one that was never seen after START, so its loss is the unigram one."""
+        known = WordHashes()
+        for b in batches:
+            hashes = [known.of(t) for t in b.column(0).to_pylist()]
+            got = [pairs_of(x) for x in hashes]
+            key, h, w = (np.concatenate([x[i] for x in got] or [np.empty(0, np.int64)]) for i in range(3))
+            again = np.concatenate([np.arange(len(x)) > 0 for x in hashes] or [np.empty(0, bool)])
+            good = np.repeat(b.column(1).to_numpy(zero_copy_only=False).astype(bool), [len(x) for x in hashes])
+            one, first, at = np.unique(key, return_index=True, return_inverse=True)
+            n, t = (np.bincount(at, x, minlength=len(one)).astype(np.int64) for x in (again, again & good))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, h[first], w[first], n, t)], ["key", "h", "w", "n", "t"])
+
+    counts = texts.mapInArrow(pairs, "key long, h long, w long, n long, t long").groupBy("key").agg(
+        F.first("h").alias("h"), F.first("w").alias("w"), F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+    def fill(batches):
+        """Counts of the common words; the others are looked for by ``by_h`` and ``by_w``, which the common ones' rows fill with keys of their own."""
+        w, n, t = table_sent.value
+        for b in batches:
+            key, out = b.column(0).to_numpy(), []
+            for c in (1, 2):
+                x = b.column(c).to_numpy()
+                at = np.minimum(np.searchsorted(w, x), max(0, len(w) - 1))
+                here = w[at] == x if len(w) else np.zeros(len(x), bool)
+                start = x == 0
+                out.append(pa.array(np.where(here | start, key, x)))
+                for v in (n, t):
+                    got = np.where(here & ~start, v[at], 0) if len(w) else np.zeros(len(x), np.int64)
+                    out.append(pa.array(got, pa.int64(), mask=~(here | start)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), b.column(4), *out], ["key", "n", "t", "by_h", "hn", "ht", "by_w", "wn", "wt"])
+
+    filled = counts.mapInArrow(fill, "key long, n long, t long, by_h long, hn long, ht long, by_w long, wn long, wt long")
+    for c in "hw":
+        side = words.select(F.col("w").alias(f"{c}_is"), F.col("n").alias(f"{c}_n"), F.col("t").alias(f"{c}_t"))
+        filled = filled.join(side, F.col(f"by_{c}") == F.col(f"{c}_is"), "left").withColumns(
+            {f"{c}n": F.coalesce(f"{c}n", f"{c}_n"), f"{c}t": F.coalesce(f"{c}t", f"{c}_t")}).drop(f"{c}_is", f"{c}_n", f"{c}_t", f"by_{c}")
+
+    def loss(c, h, w, s, total):
+        p1 = (F.col(w) * s + 1.0) / (total + size + 1.0)
+        return -F.log((F.col(c) * s + M * p1) / (F.col(h) * s + M))
+
+    each = stored(filled.select(F.col("key").alias("of"), "n", loss("t", "ht", "wt", 1.0, t_all).alias("t_each"),
+                                loss("n", "hn", "wn", scale, n_all * scale).alias("n_each")), "bigrams")
+    often = each.orderBy(F.col("n").desc(), "of").limit(common).toArrow().sort_by("of")
+    sent = spark.sparkContext.broadcast(tuple(often[c].to_numpy() for c in ("of", "t_each", "n_each")))
+
+    def own(batches):
+        """One row a document with what can be scored here (a key below 0), and its other bigrams."""
+        known = WordHashes()
+        often, t_often, n_often = sent.value
+        for b in batches:
+            for a in range(0, b.num_rows, 512):
+                part = b.slice(a, 512)
+                who, keys, times, values = [], [], [], []
+                for i, text in enumerate(part.column(1).to_pylist()):
+                    h = known.of(text)
+                    k, c = np.unique(pairs_of(h)[0], return_counts=True)
+                    at = np.minimum(np.searchsorted(often, k), max(0, len(often) - 1))
+                    here = often[at] == k if len(often) else np.zeros(len(k), bool)
+                    keys += [[-1 - (xxhash.xxh3_64_intdigest(str(a + i) + (text or "")[:64]) >> 2)], k[~here]]
+                    times += [[0], c[~here]]
+                    who.append(np.full(1 + int((~here).sum()), i))
+                    v = np.zeros((3, len(who[-1])))
+                    v[:, 0] = t_often[at[here]] @ c[here], n_often[at[here]] @ c[here], len(h)
+                    values.append(v)
+                v = np.concatenate(values, axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(np.concatenate(who))), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, times)),
+                     pa.array(v[0]), pa.array(v[1]), pa.array(v[2].astype(np.int64))], ["doc_id", "key", "times", "t_loss", "n_loss", "tokens"])
+
+    rows = marked.select(F.col("doc_id").cast("long"), "text").mapInArrow(own, ROWS)
+    return _summed(rows, each.drop("n"))
+
+
+def _summed(rows: DataFrame, each: DataFrame) -> DataFrame:
+    """Losses a token of each document."""
+    total = lambda a, b: F.sum(F.col(a) + F.col("times") * F.coalesce(b, F.lit(0.0)))
+    summed = (rows.join(each, F.col("key") == F.col("of"), "left").groupBy("doc_id")
+              .agg(F.sum("tokens").alias("n_tokens"), total("t_loss", "t_each").alias("t"), total("n_loss", "n_each").alias("n")))
+    per = lambda c: F.round(F.when(F.col("n_tokens") > 0, c / F.col("n_tokens")), 6)
+    return summed.select("doc_id", "n_tokens", per(F.col("t")).alias("target_loss"), per(F.col("n")).alias("background_loss"),
+                         per(F.col("t") - F.col("n")).alias("difference"))
+
+
+def score(docs: DataFrame, target: Column, vocabulary: int | None = None, common: int = COMMON) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, difference; ``target`` marks the rows of the target model.
+
+    The vocabulary is every word, or the given number of most frequent ones.
+    """
+    if vocabulary is None:
+        return _score_all(docs, target, common, VOCABULARY)
     spark = docs.sparkSession
     marked = docs.select("doc_id", "text", F.coalesce(target, F.lit(False)).alias("target"))
     texts = marked.select("text", "target")
@@ -147,7 +263,7 @@ def score(docs: DataFrame, target: Column, vocabulary: int = VOCABULARY, common:
                      pa.array(values[0]), pa.array(values[1]), pa.array(values[2].astype(np.int64))],
                     ["doc_id", "key", "times", "t_loss", "n_loss", "tokens"])
 
-    rows = marked.select(F.col("doc_id").cast("long"), "text").mapInArrow(own, "doc_id long, key long, times long, t_loss double, n_loss double, tokens long")
+    rows = marked.select(F.col("doc_id").cast("long"), "text").mapInArrow(own, ROWS)
 
     def lose(batches):
         for b in batches:
@@ -155,12 +271,7 @@ def score(docs: DataFrame, target: Column, vocabulary: int = VOCABULARY, common:
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x) for x in models.losses(k, t, n))], ["of", "t_each", "n_each"])
 
     each = counts.mapInArrow(lose, "of long, t_each double, n_each double")
-    total = lambda a, b: F.sum(F.col(a) + F.col("times") * F.coalesce(b, F.lit(0.0)))
-    summed = (rows.join(each, F.col("key") == F.col("of"), "left").groupBy("doc_id")
-              .agg(F.sum("tokens").alias("n_tokens"), total("t_loss", "t_each").alias("t"), total("n_loss", "n_each").alias("n")))
-    per = lambda c: F.round(F.when(F.col("n_tokens") > 0, c / F.col("n_tokens")), 6)
-    return summed.select("doc_id", "n_tokens", per(F.col("t")).alias("target_loss"), per(F.col("n")).alias("background_loss"),
-                         per(F.col("t") - F.col("n")).alias("difference"))
+    return _summed(rows, each)
 
 
 def with_target(docs: DataFrame, ids: DataFrame) -> DataFrame:

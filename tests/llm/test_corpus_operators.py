@@ -179,6 +179,17 @@ def test_losses_match_brute_force(spark, documents, vocabulary, common):
         assert (t, b) == pytest.approx(want[i], abs=2e-6) and d == pytest.approx(want[i][0] - want[i][1], abs=2e-6)
 
 
+@pytest.mark.parametrize("common,words", [(1 << 18, 20_000), (50, 30), (0, 0)])
+def test_every_word_counts(spark, documents, common, words, monkeypatch):
+    """Against brute force over all words, however few are in the tables that are sent to the tasks."""
+    monkeypatch.setattr(lm_scoring, "VOCABULARY", words)
+    docs = documents.limit(40).select("doc_id", "text").cache()
+    want = brute_losses({i: (t.encode().lower().split(), i % 3 == 0) for i, t in rows(docs)}, 10 ** 9)
+    got = lm_scoring.score(docs, F.col("doc_id") % 3 == 0, common=common)
+    for i, n, t, b, d in rows(got):
+        assert (t, b) == pytest.approx(want[i], abs=2e-6) and d == pytest.approx(want[i][0] - want[i][1], abs=2e-6)
+
+
 def test_lm_awkward(spark, awkward, nothing):
     ids = spark.createDataFrame([(1,), (None,), (99,)], "target_id long")
     got = {r["doc_id"]: r for r in lm_scoring.score(lm_scoring.with_target(awkward, ids), F.col("target")).collect()}
