@@ -8,12 +8,16 @@ near the query in the query's largest coordinates), a low one by length (only
 vectors of length theta / |q| or more).  What is left is verified by exact
 integer products.  theta comes from the bucket of the longest vectors.
 
-Components are integers; they are held within +-2^28, so that a product of
-vectors of up to 64 components is exact in 64 bits (beyond 64, up to the same
-sum).  Defined cases: vectors that are null, empty, or hold a null or
-non-finite component, and null ids, take no part; of rows with one id the
-least vector counts; missing components of shorter vectors are zero; ties go
-to the smaller id; an empty table gives no rows; other columns are ignored.
+Components are whole numbers.  Products run in floats, 64-bit integers or
+Python's integers, whichever is exact for a bucket; scores that do not fit 64
+bits are held at the ends of their range.  The first bucket's k-th score and id
+are each query's threshold: later buckets return only rows that come before it.
+
+Defined cases: vectors that are null, empty, or hold a null or non-finite
+component, and null ids, take no part; rows that share an id are rows of their
+own (each is a query, and a candidate of all others); missing components of
+shorter vectors are zero; ties go to the smaller id; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,32 +27,31 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskloom.llm import vectors as V
 from riskloom.llm.common import stored, table
 
 BUCKET = 4096               # vectors in a bucket, about
 QUERIES = 1024              # queries in a block, about
-HOLD = float(1 << 28)
 FOCUS = 3                   # coordinates that coordinate pruning looks at
 COSINE = 0.5                # local threshold from which coordinates prune better than lengths
 SLACK = 1 - 1e-9
-HITS = "query_id long, vec_id long, score long"
+HITS = "q_row long, query_id long, row long, vec_id long, score long"
 
 
 def scaled(vec: Column, by: float = 64.0) -> Column:
-    """floor(by * x) of every component, held within +-2^28."""
-    return F.transform(vec, lambda x: F.floor(F.greatest(F.lit(-HOLD), F.least(F.lit(HOLD), x.cast("double") * by))).cast("int"))
+    """floor(by * x) of every component."""
+    return V.scaled(vec, by)
 
 
-def usable(vec: Column) -> Column:
-    fine = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf"))
-    return vec.isNotNull() & (F.size(vec) > 0) & F.forall(vec, fine)
+def usable(vec: Column, by: float = 64.0) -> Column:
+    return V.usable(vec, by)
 
 
 def bucketed(vectors: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """(vec_id, v, norm, bucket), bucket 0 with the longest.  Ties of length are split by id, so
+    """(row, vec_id, v, norm, bucket), bucket 0 with the longest.  Ties of length are split by id and row, so
     many equal vectors fill as many buckets as they need."""
-    rows = vectors.groupBy("vec_id").agg(F.min("v").alias("v"))
-    rows = stored(rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x))), "vectors")
+    rows = V.numbered(vectors.select("vec_id", F.col("v").cast("array<double>").alias("v")))
+    rows = stored(rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))), "vectors")
     n = max(1, -(-rows.count() // bucket))
 
     def number(batches):
@@ -56,24 +59,8 @@ def bucketed(vectors: DataFrame, bucket: int = BUCKET) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([part] * b.num_rows, pa.int32())], [*b.schema.names, "bucket"])
 
-    return stored(rows.repartitionByRange(n, F.col("norm").desc(), "vec_id")
-                  .mapInArrow(number, "vec_id long, v array<int>, norm double, bucket int"), "buckets")
-
-
-def _widest(column: pa.ChunkedArray) -> int:
-    return int(np.diff(column.combine_chunks().offsets.to_numpy()).max())
-
-
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Rows of a list column as floats, short ones filled with zeros."""
-    lists = column.combine_chunks()
-    size = np.diff(lists.offsets.to_numpy())
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(float)
-    if len(size) and (size == width).all():
-        return flat.reshape(len(size), width)
-    out = np.zeros((len(size), width))
-    out[np.repeat(np.arange(len(size)), size), np.concatenate([np.arange(s) for s in size]) if len(size) else []] = flat
-    return out
+    return stored(rows.select("row", "vec_id", "v", "norm").repartitionByRange(n, F.col("norm").desc(), "vec_id", "row")
+                  .mapInArrow(number, "row long, vec_id long, v array<double>, norm double, bucket int"), "buckets")
 
 
 def _survivors(q: np.ndarray, length: float, theta: float, unit: np.ndarray, norms: np.ndarray) -> np.ndarray | slice:
@@ -97,63 +84,63 @@ def _survivors(q: np.ndarray, length: float, theta: float, unit: np.ndarray, nor
 
 
 def _tile(k: int):
-    """Best k of a bucket for each query of a block (all that reach the query's threshold)."""
+    """Best k of a bucket for each query of a block (those that come before the query's threshold)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
+        out: list[list] = [[], [], [], [], []]
         if left.num_rows and right.num_rows:
-            width = max(_widest(left["v"]), _widest(right["w"]))
-            queries, rows = _matrix(left["v"], width), _matrix(right["w"], width)
-            ids, norms = right["vec_id"].to_numpy(), right["norm"].to_numpy()
-            order = np.lexsort((ids, -norms))
-            rows, ids, norms = rows[order], ids[order], norms[order]
+            width = max(V.widest(left["v"]), V.widest(right["w"]))
+            queries, rows = V.matrix(left["v"], width), V.matrix(right["w"], width)
+            row, ids, norms = right["row"].to_numpy(), right["vec_id"].to_numpy(), right["norm"].to_numpy()
+            order = np.lexsort((row, ids, -norms))
+            rows, row, ids, norms = rows[order], row[order], ids[order], norms[order]
             unit = rows / np.where(norms > 0, norms, 1)[:, None]
-            if float(np.abs(queries).max()) * float(np.abs(rows).max()) * width >= 2.0 ** 53:   # beyond exact floats
-                queries, rows = queries.astype(np.int64), rows.astype(np.int64)
-            theta = left["theta"].to_numpy(zero_copy_only=False).astype(float)
-            for i, (own, length) in enumerate(zip(left["query_id"].to_pylist(), left["length"].to_pylist())):
-                t = -np.inf if np.isnan(theta[i]) else theta[i]
-                some = _survivors(queries[i].astype(float), length, t, unit, norms)
-                score, who = rows[some] @ queries[i], ids[some]
-                ok = (score >= t) & (who != own)
-                score, who = score[ok], who[ok]
-                if len(score) > k:
-                    near = score >= np.partition(score, -k)[-k]
-                    score, who = score[near], who[near]
-                    first = np.lexsort((who, -score))[:k]
-                    score, who = score[first], who[first]
-                for c, v in zip(out, ([own] * len(who), who.tolist(), score.astype(np.int64).tolist())):
+            exact = V.Products(queries, rows)
+            asked = zip(*(left[c].to_pylist() for c in ("q_row", "query_id", "length", "theta", "theta_id")))
+            for i, (own, name, length, theta, last) in enumerate(asked):
+                some = _survivors(queries[i], length, -np.inf if theta is None else float(theta), unit, norms)
+                score, who, at = exact.of(i, some), ids[some], row[some]
+                ok = at != own
+                if theta is not None:
+                    ok &= (score > theta) | ((score == theta) & (who < last))
+                score, who, at = score[ok], who[ok], at[ok]
+                first = V.best(score, who, k)
+                for c, v in zip(out, ([own] * len(first), [name] * len(first), at[first].tolist(), who[first].tolist(), score[first].tolist())):
                     c.extend(v)
-        return pa.table([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
+        return pa.table([pa.array(c, pa.int64()) for c in out], names=["q_row", "query_id", "row", "vec_id", "score"])
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best other rows of each query; ``vectors`` has vec_id and integer v."""
+    """query_id, rank, vec_id, score of the k best other rows of each query; ``vectors`` has vec_id and v, whole numbers."""
     rows = bucketed(vectors)
-    queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "v", F.col("norm").alias("length"))
+    queries = rows.where(is_query).select(F.col("row").alias("q_row"), F.col("vec_id").alias("query_id"), "v", F.col("norm").alias("length"))
     blocks = max(1, -(-queries.count() // QUERIES))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("q_row"), F.lit(blocks)).cast("int"))
 
     def scored(asked: DataFrame, tiles: DataFrame) -> DataFrame:
-        """asked: queries with theta, block and bucket; tiles: the (bucket, block) pairs among them."""
+        """Every block of ``asked`` with the buckets that ``tiles`` (bucket, block) names for it."""
+        left = asked.join(tiles, "block")
         right = (rows.join(tiles.toDF("to_bucket", "to_block"), F.col("bucket") == F.col("to_bucket"))
-                 .select("to_bucket", "to_block", "vec_id", F.col("v").alias("w"), "norm"))
-        return asked.groupBy("bucket", "block").cogroup(right.groupBy("to_bucket", "to_block")).applyInArrow(_tile(k), HITS)
+                 .select("to_bucket", "to_block", "row", "vec_id", F.col("v").alias("w"), "norm"))
+        return left.groupBy("bucket", "block").cogroup(right.groupBy("to_bucket", "to_block")).applyInArrow(_tile(k), HITS)
 
     number = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    first = stored(scored(queries.withColumn("theta", F.lit(None).cast("double")).withColumn("bucket", F.lit(0)),
+    none = F.lit(None).cast("long")
+    first = stored(scored(queries.withColumn("theta", none).withColumn("theta_id", none),
                           rows.sparkSession.range(1).select(F.lit(0).alias("bucket"), number)), "topk-first")
-    theta = (first.groupBy(F.col("query_id").alias("of")).agg(F.count("*").alias("n"), F.min("score").alias("least"))
-             .select("of", F.when(F.col("n") >= k, F.col("least")).cast("double").alias("theta")))
-    # every query meets every bucket whose local threshold does not exceed 1: blocks of a stated query set against all rows
+    best = Window.partitionBy("q_row").orderBy(F.col("score").desc(), "vec_id", "row")
+    theta = (first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
+             .select(F.col("q_row").alias("of"), F.col("score").alias("theta"), F.col("vec_id").alias("theta_id")))
+    known = stored(queries.join(theta, F.col("q_row") == F.col("of"), "left").drop("of"), "topk-asked")
+    # a block meets every bucket whose longest vector may reach the threshold of one of its queries (a row for each
+    # block and bucket at most, ids only): blocks of a stated query set against all rows
+    least = F.when((F.col("theta") > 0) & (F.col("length") > 0), F.col("theta") / F.col("length") * SLACK).otherwise(0.0)
+    reach = known.groupBy("block").agg(F.min(least).alias("least"))
     lengths = rows.where("bucket > 0").groupBy("bucket").agg(F.max("norm").alias("longest"))
-    asked = stored(queries.join(theta, F.col("query_id") == F.col("of"), "left").drop("of")
-                   .join(lengths, F.col("theta").isNull() | (F.col("length") * F.col("longest") >= F.col("theta") * SLACK)), "topk-asked")
-    rest = scored(asked.drop("longest"), asked.select("bucket", "block").distinct())
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (first.unionByName(rest).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    tiles = stored(lengths.join(reach, F.col("longest") >= F.col("least")).select("bucket", "block"), "topk-tiles")
+    return (first.unionByName(scored(known, tiles)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
@@ -165,17 +152,16 @@ def op4_norm_topk(spark, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE)))) AS e
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
-  GROUP BY vec_id
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.rid <> c.rid
   WHERE q.vec_id % 20 = 0
 ), r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """

@@ -55,7 +55,7 @@ def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 
 
 class Products:
-    """Exact integer products of rows of one block with rows of another."""
+    """Integer products of rows of one block with rows of another, exact within 64 bits."""
 
     def __init__(self, queries: np.ndarray, rows: np.ndarray):
         most = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1])
@@ -68,20 +68,12 @@ class Products:
             self.queries, self.rows = queries.astype(kind), rows.astype(kind)
 
     def of(self, i: int, some) -> np.ndarray:
-        """Scores of query ``i`` with ``some`` of the rows, in an order that is exact (64-bit, or Python's integers)."""
+        """Scores of query ``i`` with ``some`` of the rows."""
         s = self.rows[some] @ self.queries[i]
-        return s if self.big else s.astype(np.int64)
-
-    @staticmethod
-    def column(scores: list) -> pa.Array:
-        return pa.array([min(max(int(s), LEAST), GREATEST) for s in scores], pa.int64())
+        return np.array([min(max(x, LEAST), GREATEST) for x in s], np.int64) if self.big else s.astype(np.int64)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` highest scores, ties to the smaller id."""
-    if len(scores) > k:
-        near = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
-    else:
-        near = np.arange(len(scores))
-    order = np.lexsort((ids[near], [-s for s in scores[near].tolist()] if scores.dtype == object else -scores[near]))
-    return near[order][:k]
+    near = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) > k else np.arange(len(scores))
+    return near[np.lexsort((ids[near], -1 - scores[near]))][:k]         # -1 - x reverses the order without leaving 64 bits

@@ -125,16 +125,39 @@ def test_topk_matches_brute_force(spark, bucket, monkeypatch):
     assert set(rows(norm_topk.top_k(df, F.col("vec_id") % 20 == 0))) == brute_topk(ints, range(0, 300, 20), 20)
 
 
+def test_topk_of_large_components(spark):
+    """Components far beyond 32 bits keep their order."""
+    data = [(0, [1.0, 0.0]), (1, [2.0 ** 23, 1.0]), (2, [2.0 ** 24, 5.0]), (3, [2.0 ** 40 + 1, 0.0]), (4, [2.0 ** 40, 0.0]), (5, [-(2.0 ** 40), 0.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = rows(norm_topk.top_k(df.select("vec_id", norm_topk.scaled(F.col("embedding")).alias("v")), F.col("vec_id") == 0))
+    assert sorted(got) == [(0, 1, 3, 64 * 64 * (2 ** 40 + 1)), (0, 2, 4, 2 ** 52), (0, 3, 2, 2 ** 36), (0, 4, 1, 2 ** 35), (0, 5, 5, -(2 ** 52))]
+
+
+def test_topk_thresholds_skip_ties_of_later_ids(spark, monkeypatch):
+    """Of many equal vectors only the first k come back from all buckets together, whatever their order."""
+    rnd = random.Random(3)
+    ids = rnd.sample(range(1000), 400)
+    df = spark.createDataFrame([(i, [64, 64]) for i in ids] + [(2000, [64, 0])], "vec_id long, v array<int>")
+    monkeypatch.setattr(norm_topk, "bucketed", lambda v, f=norm_topk.bucketed: f(v, 32))
+    got = rows(norm_topk.top_k(df, F.col("vec_id") == 2000, 5))
+    assert sorted(got) == [(2000, r + 1, i, 4096) for r, i in enumerate(sorted(ids)[:5])]
+
+
 def test_topk_awkward(spark):
     nan, inf = float("nan"), float("inf")
     data = [(0, [1.0, 2.0]), (20, [0.5]), (1, None), (2, []), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (None, [1.0, 1.0]),
             (6, [0.0, 0.0]), (7, [3.0e38, -3.0e38]), (8, [-1.0, -2.0]), (0, [1.0, 2.0]), (9, [2.0, 2.0, 2.0])]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
     use = df.where(F.col("vec_id").isNotNull() & norm_topk.usable(F.col("embedding")))
-    got = set(rows(norm_topk.top_k(use.select("vec_id", norm_topk.scaled(F.col("embedding")).alias("v")), F.col("vec_id") % 20 == 0)))
-    big = 1 << 28
-    v = {0: [64, 128, 0], 20: [32, 0, 0], 6: [0, 0, 0], 7: [big, -big, 0], 8: [-64, -128, 0], 9: [128, 128, 128]}
-    assert got == brute_topk(v, [0, 20], 20)
+    got = collections.Counter(rows(norm_topk.top_k(use.select("vec_id", norm_topk.scaled(F.col("embedding")).alias("v")), F.col("vec_id") % 20 == 0)))
+    big, top = int(64 * np.float64(np.float32(3.0e38))), (1 << 63) - 1
+    v = [(0, [64, 128, 0]), (0, [64, 128, 0]), (20, [32, 0, 0]), (6, [0, 0, 0]), (7, [big, -big, 0]), (8, [-64, -128, 0]), (9, [128, 128, 128])]
+    want = collections.Counter()
+    for i, (q, x) in enumerate(v):          # rows that share an id are rows of their own; scores beyond 64 bits are held at its ends
+        if q % 20 == 0:
+            scored = sorted((-max(-top - 1, min(top, sum(a * b for a, b in zip(x, y)))), j) for m, (j, y) in enumerate(v) if m != i)[:20]
+            want.update((q, r + 1, j, -s) for r, (s, j) in enumerate(scored))
+    assert got == want and max(w[3] for w in want) == top
     none = spark.createDataFrame([], "vec_id long, v array<int>")
     assert rows(norm_topk.top_k(none, F.col("vec_id") % 20 == 0)) == []
 
@@ -179,14 +202,15 @@ def test_losses_match_brute_force(spark, documents, vocabulary, common):
         assert (t, b) == pytest.approx(want[i], abs=2e-6) and d == pytest.approx(want[i][0] - want[i][1], abs=2e-6)
 
 
-@pytest.mark.parametrize("common,words", [(1 << 18, 20_000), (50, 30), (0, 0)])
-def test_every_word_counts(spark, documents, common, words, monkeypatch):
-    """Against brute force over all words, however few are in the tables that are sent to the tasks."""
-    monkeypatch.setattr(lm_scoring, "VOCABULARY", words)
+@pytest.mark.parametrize("chunk", [8 << 20, 20_000, 500])
+def test_every_word_counts(spark, documents, chunk, monkeypatch):
+    """Against brute force over all words, in one chunk, in several, and in more than there are documents."""
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", chunk)
     docs = documents.limit(40).select("doc_id", "text").cache()
     want = brute_losses({i: (t.encode().lower().split(), i % 3 == 0) for i, t in rows(docs)}, 10 ** 9)
-    got = lm_scoring.score(docs, F.col("doc_id") % 3 == 0, common=common)
-    for i, n, t, b, d in rows(got):
+    got = rows(lm_scoring.score(docs, F.col("doc_id") % 3 == 0))
+    assert len(got) == 40
+    for i, n, t, b, d in got:
         assert (t, b) == pytest.approx(want[i], abs=2e-6) and d == pytest.approx(want[i][0] - want[i][1], abs=2e-6)
 
 
