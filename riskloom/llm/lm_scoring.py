@@ -9,12 +9,15 @@ the first word.  (With a smaller vocabulary, also beside words outside it, which
 share the one entry.)  A document's score is its target loss less its
 background loss a token: the lower, the more like the target.
 
-Counts come from all documents and grow with them: word counts and bigram
-counts are summed by Spark and stay there.  Only tables of a fixed size reach
-every task, with the same result: the ``VOCABULARY`` most frequent words' counts
-and the losses of the ``COMMON`` most frequent bigrams; the rest meet their
-counts in joins, without a hot key among them.  Words and bigrams are told apart
-by 64-bit and 63-bit hashes.
+Counts come from all documents and grow with them.  Documents are dealt into
+chunks of about ``CHUNK_BYTES``.  A chunk sends each of its distinct words and
+bigrams once, as a request with its own counts, to the range of hashes that the
+key falls in: a blob of sorted keys, six bytes each, for each range.  A range
+sums the requests of all chunks and answers each blob with the whole corpus's
+counts in the same order, so answers need no keys.  A chunk then meets its
+answers and scores its documents.  No key is hot (a chunk sends it once), no
+table of counts is broadcast or collected, and only three totals reach the driver.
+Words and bigrams are told apart by 59-bit hashes.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z.  Defined cases: null
 and empty texts have no tokens and null losses; rows with one id are scored as
@@ -33,10 +36,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.llm.common import few, mix64, stored, table
 from riskloom.llm.shingles import CACHE, FACTORS, WordHashes
 
-VOCABULARY = 20_000
 COMMON = 1 << 18
 M = 20.0
-START = np.uint64(0)        # stands before the first word
+CHUNK_BYTES = 8 << 20       # text of a chunk, about
+KEY_BITS = 60               # a hash of 59 bits, and whether it is a word's
 ROWS = "doc_id long, key long, times long, t_loss double, n_loss double, tokens long"
 SHIFT = 20                  # bits of a word number in a bigram's key
 
@@ -95,108 +98,133 @@ class Models:
         return [-np.log(p[w]) for p in self.p1]
 
 
-def pairs_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key from 0, word before, word) of each word of a text; ``START`` is before the first."""
-    before = np.concatenate(([START], h[:-1])) if len(h) else h
-    return (mix64(before * FACTORS[0] + h * FACTORS[1]) >> np.uint64(1)).view(np.int64), before.view(np.int64), h.view(np.int64)
+def _chunk(texts: list[str | None], known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the words and of the bigrams that end in them (of a first word: none that counts), and the texts' sizes."""
+    hashes = [known.of(t) for t in texts]
+    size = np.array([len(h) for h in hashes], np.int64)
+    w = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+    before = np.concatenate(([np.uint64(0)], w[:-1])) if len(w) else w
+    key = lambda x: (x >> np.uint64(5)) << np.uint64(1)
+    return key(mix64(w)) | np.uint64(1), key(mix64(before * FACTORS[0] + w * FACTORS[1])), size
 
 
-def _score_all(docs: DataFrame, target: Column, common: int, table_words: int) -> DataFrame:
-    """``score`` with every word in the vocabulary: words and bigrams meet their counts in joins, without hot keys."""
-    spark = docs.sparkSession
-    marked = docs.select("doc_id", "text", F.coalesce(target, F.lit(False)).alias("target"))
-    texts = marked.select("text", "target")
+def _first_words(size: np.ndarray) -> np.ndarray:
+    first = np.zeros(int(size.sum()), bool)
+    first[(np.cumsum(size) - size)[size > 0]] = True
+    return first
 
-    def word_hashes(batches):
-        known = WordHashes()
-        return _counts(batches, lambda t: known.of(t).view(np.int64), "w")
 
-    words = stored(texts.mapInArrow(word_hashes, "w long, n long, t long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "words")
-    size, n_all, t_all = (float(x or 0) for x in words.agg(F.count("*"), F.sum("n"), F.sum("t")).first())
+def _ranges(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where the keys (sorted) of each range begin, and the end."""
+    return np.searchsorted((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1, dtype=np.uint64))
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    return pa.compress(np.stack(columns).astype("<i8").tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, columns: int, rows: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, columns * rows * 8, codec="zstd", asbytes=True), "<i8").reshape(columns, rows)
+
+
+def _requests(ranges: int):
+    """A chunk's distinct keys with its own counts, a blob for each range of keys."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        words, pairs, size = _chunk(rows["text"].to_pylist(), WordHashes())
+        again, good = ~_first_words(size), np.repeat(rows["target"].to_numpy(zero_copy_only=False).astype(bool), size)
+        keys, at = np.unique(np.concatenate((words, pairs[again])), return_inverse=True)
+        good = np.concatenate((good, good[again]))
+        n, t = np.bincount(at, minlength=len(keys)), np.bincount(at[good], minlength=len(keys))
+        cut, out = _ranges(keys, ranges), []
+        for r in np.flatnonzero(np.diff(cut)).tolist():
+            k, part = keys[cut[r]:cut[r + 1]], slice(cut[r], cut[r + 1])
+            steps = np.diff(k, prepend=np.uint64(0)).astype("<u8")
+            wide = 6 if len(k) < 2 or int(steps[1:].max()) < 1 << 48 else 8
+            out.append((r, len(k), wide, int(k[0]), steps[1:].view(np.uint8).reshape(-1, 8)[:, :wide].tobytes(), _pack(n[part], t[part])))
+        chunk = rows["chunk"][0].as_py()
+        return pa.table([pa.array([chunk] * len(out), pa.int64()), *(pa.array(c, k) for c, k in zip(
+            zip(*out) if out else [[]] * 6, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())))],
+            names=["chunk", "range", "size", "wide", "start", "steps", "counts"])
+
+    return run
+
+
+REQUEST = "chunk long, range long, size long, wide int, start long, steps binary, counts binary"
+ANSWER = "a_chunk long, range long, size long, counts binary"
+SCORED = "doc_id long, n_tokens long, t double, n double"
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """The whole counts of each request's keys."""
+    keys, counts, cut = [], [], [0]
+    for size, wide, start, steps, own in zip(*(rows[c].to_pylist() for c in ("size", "wide", "start", "steps", "counts"))):
+        full = np.zeros((size, 8), np.uint8)
+        full[1:, :wide] = np.frombuffer(steps, np.uint8).reshape(-1, wide)
+        full = full.view("<u8")[:, 0].copy()
+        full[0] = start
+        keys.append(np.cumsum(full))
+        counts.append(_unpack(own, 2, size))
+        cut.append(cut[-1] + size)
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    n, t = (np.bincount(at, c, minlength=len(distinct)).astype(np.int64)[at] for c in np.concatenate(counts, axis=1))
+    answers = [_pack(n[a:b], t[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+    return pa.table({"a_chunk": rows["chunk"], "range": rows["range"], "size": rows["size"], "counts": pa.array(answers, pa.binary())})
+
+
+def _losses(size: float, n_all: float, t_all: float):
+    """Losses of a chunk's documents from the answers to its requests."""
     scale = t_all / n_all if t_all and n_all else 1.0
-    top = words.orderBy(F.col("n").desc(), "w").limit(table_words).toArrow().sort_by("w")
-    table_sent = spark.sparkContext.broadcast(tuple(top[c].to_numpy() for c in ("w", "n", "t")))
 
-    def pairs(batches):
-        """Bigrams of a batch; a first word is one that was never seen after START, so its loss is the unigram one."""
-        known = WordHashes()
-        for b in batches:
-            hashes = [known.of(t) for t in b.column(0).to_pylist()]
-            got = [pairs_of(x) for x in hashes]
-            key, h, w = (np.concatenate([x[i] for x in got] or [np.empty(0, np.int64)]) for i in range(3))
-            again = np.concatenate([np.arange(len(x)) > 0 for x in hashes] or [np.empty(0, bool)])
-            good = np.repeat(b.column(1).to_numpy(zero_copy_only=False).astype(bool), [len(x) for x in hashes])
-            one, first, at = np.unique(key, return_index=True, return_inverse=True)
-            n, t = (np.bincount(at, x, minlength=len(one)).astype(np.int64) for x in (again, again & good))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, h[first], w[first], n, t)], ["key", "h", "w", "n", "t"])
-
-    counts = texts.mapInArrow(pairs, "key long, h long, w long, n long, t long").groupBy("key").agg(
-        F.first("h").alias("h"), F.first("w").alias("w"), F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-    def fill(batches):
-        """Counts of the common words; the others are looked for by ``by_h`` and ``by_w``, which the common ones' rows fill with keys of their own."""
-        w, n, t = table_sent.value
-        for b in batches:
-            key, out = b.column(0).to_numpy(), []
-            for c in (1, 2):
-                x = b.column(c).to_numpy()
-                at = np.minimum(np.searchsorted(w, x), max(0, len(w) - 1))
-                here = w[at] == x if len(w) else np.zeros(len(x), bool)
-                start = x == 0
-                out.append(pa.array(np.where(here | start, key, x)))
-                for v in (n, t):
-                    got = np.where(here & ~start, v[at], 0) if len(w) else np.zeros(len(x), np.int64)
-                    out.append(pa.array(got, pa.int64(), mask=~(here | start)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), b.column(4), *out], ["key", "n", "t", "by_h", "hn", "ht", "by_w", "wn", "wt"])
-
-    filled = counts.mapInArrow(fill, "key long, n long, t long, by_h long, hn long, ht long, by_w long, wn long, wt long")
-    for c in "hw":
-        side = words.select(F.col("w").alias(f"{c}_is"), F.col("n").alias(f"{c}_n"), F.col("t").alias(f"{c}_t"))
-        filled = filled.join(side, F.col(f"by_{c}") == F.col(f"{c}_is"), "left").withColumns(
-            {f"{c}n": F.coalesce(f"{c}n", f"{c}_n"), f"{c}t": F.coalesce(f"{c}t", f"{c}_t")}).drop(f"{c}_is", f"{c}_n", f"{c}_t", f"by_{c}")
-
-    def loss(c, h, w, s, total):
-        p1 = (F.col(w) * s + 1.0) / (total + size + 1.0)
-        return -F.log((F.col(c) * s + M * p1) / (F.col(h) * s + M))
-
-    each = stored(filled.select(F.col("key").alias("of"), "n", loss("t", "ht", "wt", 1.0, t_all).alias("t_each"),
-                                loss("n", "hn", "wn", scale, n_all * scale).alias("n_each")), "bigrams")
-    often = each.orderBy(F.col("n").desc(), "of").limit(common).toArrow().sort_by("of")
-    sent = spark.sparkContext.broadcast(tuple(often[c].to_numpy() for c in ("of", "t_each", "n_each")))
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        words, pairs, length = _chunk(rows["text"].to_pylist(), WordHashes())
+        first = _first_words(length)
+        keys, at = np.unique(np.concatenate((words, pairs[~first])), return_inverse=True)
+        answers = answers.sort_by("range")
+        counts = [_unpack(c, 2, s) for c, s in zip(answers["counts"].to_pylist(), answers["size"].to_pylist())]
+        n, t = np.concatenate(counts, axis=1) if counts else np.zeros((2, 0), np.int64)
+        if len(n) != len(keys):
+            raise ValueError("a chunk's answers do not fit its requests")
+        word, sums, who = at[:len(words)], [], np.repeat(np.arange(len(length)), length)
+        for c, total in ((t.astype(float), t_all), (n * scale, n_all * scale)):
+            p1 = (c[word] + 1.0) / (total + size + 1.0)
+            pair, before = np.zeros(len(words)), np.zeros(len(words))
+            pair[~first] = c[at[len(words):]]
+            before[1:] = c[word[:-1]]
+            before[first] = 0
+            sums.append(np.bincount(who, -np.log((pair + M * p1) / (before + M)), minlength=len(length)))
+        return pa.table({"doc_id": rows["doc_id"], "n_tokens": pa.array(length), "t": pa.array(sums[0]), "n": pa.array(sums[1])})
+
+    return run
+
+
+def _score_all(docs: DataFrame, target: Column, chunk_bytes: int) -> DataFrame:
+    """``score`` with every word in the vocabulary."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(target, F.lit(False)).alias("target"))
 
-    def own(batches):
-        """One row a document with what can be scored here (a key below 0), and its other bigrams."""
+    def word_hashes(batches):
         known = WordHashes()
-        often, t_often, n_often = sent.value
-        for b in batches:
-            for a in range(0, b.num_rows, 512):
-                part = b.slice(a, 512)
-                who, keys, times, values = [], [], [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    h = known.of(text)
-                    k, c = np.unique(pairs_of(h)[0], return_counts=True)
-                    at = np.minimum(np.searchsorted(often, k), max(0, len(often) - 1))
-                    here = often[at] == k if len(often) else np.zeros(len(k), bool)
-                    keys += [[-1 - (xxhash.xxh3_64_intdigest(str(a + i) + (text or "")[:64]) >> 2)], k[~here]]
-                    times += [[0], c[~here]]
-                    who.append(np.full(1 + int((~here).sum()), i))
-                    v = np.zeros((3, len(who[-1])))
-                    v[:, 0] = t_often[at[here]] @ c[here], n_often[at[here]] @ c[here], len(h)
-                    values.append(v)
-                v = np.concatenate(values, axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(np.concatenate(who))), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, times)),
-                     pa.array(v[0]), pa.array(v[1]), pa.array(v[2].astype(np.int64))], ["doc_id", "key", "times", "t_loss", "n_loss", "tokens"])
+        return _counts(batches, lambda t: known.of(t).view(np.int64), "w")
 
-    rows = marked.select(F.col("doc_id").cast("long"), "text").mapInArrow(own, ROWS)
-    return _summed(rows, each.drop("n"))
+    words = rows.select("text", "target").mapInArrow(word_hashes, "w long, n long, t long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    totals = [float(x or 0) for x in words.agg(F.count("*"), F.sum("n"), F.sum("t")).first()]
+    chunks = 1 + int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // chunk_bytes
+    # the same exchange serves requests and scores
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "doc_id", "text", "target")
+    asked = rows.groupBy("chunk").applyInArrow(_requests(chunks), REQUEST)
+    answers = asked.groupBy("range").applyInArrow(_answer, ANSWER)
+    scored = rows.groupBy("chunk").cogroup(answers.groupBy("a_chunk")).applyInArrow(_losses(*totals), SCORED)
+    return _per_token(scored.groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("t").alias("t"), F.sum("n").alias("n")))
 
 
 def _summed(rows: DataFrame, each: DataFrame) -> DataFrame:
-    """Losses a token of each document."""
+    """Losses a token of each document, from its own sums and its bigrams' losses."""
     total = lambda a, b: F.sum(F.col(a) + F.col("times") * F.coalesce(b, F.lit(0.0)))
-    summed = (rows.join(each, F.col("key") == F.col("of"), "left").groupBy("doc_id")
-              .agg(F.sum("tokens").alias("n_tokens"), total("t_loss", "t_each").alias("t"), total("n_loss", "n_each").alias("n")))
+    return _per_token(rows.join(each, F.col("key") == F.col("of"), "left").groupBy("doc_id")
+                      .agg(F.sum("tokens").alias("n_tokens"), total("t_loss", "t_each").alias("t"), total("n_loss", "n_each").alias("n")))
+
+
+def _per_token(summed: DataFrame) -> DataFrame:
     per = lambda c: F.round(F.when(F.col("n_tokens") > 0, c / F.col("n_tokens")), 6)
     return summed.select("doc_id", "n_tokens", per(F.col("t")).alias("target_loss"), per(F.col("n")).alias("background_loss"),
                          per(F.col("t") - F.col("n")).alias("difference"))
@@ -205,10 +233,11 @@ def _summed(rows: DataFrame, each: DataFrame) -> DataFrame:
 def score(docs: DataFrame, target: Column, vocabulary: int | None = None, common: int = COMMON) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, difference; ``target`` marks the rows of the target model.
 
-    The vocabulary is every word, or the given number of most frequent ones.
+    The vocabulary is every word, or the given number of most frequent ones (then the ``common`` most
+    frequent bigrams' losses are sent to every task).
     """
     if vocabulary is None:
-        return _score_all(docs, target, common, VOCABULARY)
+        return _score_all(docs, target, CHUNK_BYTES)
     spark = docs.sparkSession
     marked = docs.select("doc_id", "text", F.coalesce(target, F.lit(False)).alias("target"))
     texts = marked.select("text", "target")
