@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import zero_div
+from riskloom.operators.prefix import running_sums
 from riskloom.operators.profile import histogram_by
 from riskloom.operators.quantiles import exact_medians
 from riskloom.schemas import ID, LABEL
@@ -85,32 +86,19 @@ def with_costs(counts: DataFrame) -> DataFrame:
 
 
 def average_precision(scored: DataFrame, by=(MODEL,), label: str = LABEL, prob: str = PROB,
-                      buckets: int = 65536) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """Step-wise average precision, sum over distinct scores (descending) of
     (new positives / P) * precision; tied scores form one step.
 
-    Two-level prefix sums: distinct scores are grouped into ``buckets``
-    monotone buckets; bucket totals (<= groups x buckets rows) give each
-    bucket's offset, and a window per (group, bucket) finishes the prefix.
-    No window runs over a whole group."""
+    The running counts come from ``running_sums``: ``buckets`` score ranges (by default as
+    many as the session's shuffles have partitions) sampled from the data, so scores of any distribution are dealt evenly.  No window runs
+    over a whole group and nothing is broadcast by hand."""
     by = list(by)
-    y = F.col(label)
-    g = scored.groupBy(*by, F.col(prob).alias("__s")).agg(
-        F.sum(y).cast("long").alias("__tp"), F.count(F.lit(1)).alias("__n"))
-    bk = F.least(F.greatest(F.floor(F.col("__s") * buckets), F.lit(0)), F.lit(buckets - 1))
-    g = g.withColumn("__b", bk)
-    bt = g.groupBy(*by, "__b").agg(F.sum("__tp").alias("__btp"), F.sum("__n").alias("__bn"))
-    wb = Window.partitionBy(*by).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
-    wt = Window.partitionBy(*by)
-    bt = bt.select(*by, "__b", F.coalesce(F.sum("__btp").over(wb), F.lit(0)).alias("__otp"),
-                   F.coalesce(F.sum("__bn").over(wb), F.lit(0)).alias("__on"),
-                   F.sum("__btp").over(wt).alias("__P"))
-    x = g.join(F.broadcast(bt), by + ["__b"])       # <= groups x buckets rows
-    ws = Window.partitionBy(*by, "__b").orderBy(F.desc("__s")).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("__ctp", F.col("__otp") + F.sum("__tp").over(ws)) \
-         .withColumn("__cn", F.col("__on") + F.sum("__n").over(ws))
-    term = zero_div(F.col("__tp"), F.col("__P")) * (F.col("__ctp") / F.col("__cn"))
-    return x.groupBy(*by).agg(F.sum(term).alias("auc_pr"))
+    steps = scored.groupBy(*by, F.col(prob).alias("__s")).agg(
+        F.sum(F.col(label)).cast("long").alias("__tp"), F.count(F.lit(1)).alias("__n"))
+    x = running_sums(steps, by, [F.desc("__s")], {"__ctp": "__tp", "__cn": "__n"}, buckets)
+    gained = F.sum(F.col("__tp") * (F.col("__ctp") / F.col("__cn")))
+    return x.groupBy(*by).agg(zero_div(gained, F.sum("__tp")).alias("auc_pr"))
 
 
 def evaluate_threshold(scored: DataFrame, threshold: float, name_suffix: str = "",

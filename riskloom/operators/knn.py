@@ -228,7 +228,7 @@ def knn_join(queries: DataFrame, base: DataFrame, k: int, q_id: str = "vec_id",
     B = base.select(F.col(b_id).cast("long").alias("bid"), F.col(vec).cast("array<double>").alias("bv"))
     nb = B.count()
     if nb == 0:
-        return spark.createDataFrame([], OUT_SCHEMA.add("rank", IntegerType()))
+        return spark.createDataFrame([], StructType([*OUT_SCHEMA.fields, StructField("rank", IntegerType())]))
     m = max(1, min(max_pivots, math.ceil(nb / cell_size)))
     piv = B.orderBy(split_hash(F.col("bid"), 7), "bid").limit(m).select("bv").collect()
     P = np.array([r[0] for r in piv], dtype=float)

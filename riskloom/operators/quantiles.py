@@ -12,7 +12,10 @@ guaranteed to contain the two middle order statistics:
 3. the confirmed band is ranked with a window partitioned by key — at most
    ``band_limit`` rows per key — and the middle values are read off.
 
-Only per-key scalars (counts, band edges) reach the driver.
+Only per-key scalars (counts, band edges) reach the driver, of at most
+``MAX_KEYS`` keys.  With more keys nothing is collected: values are counted,
+dealt by sampled ranges of (key, value), and the middle ranks are picked by
+running counts (``prefix``), which gives the same medians.
 """
 
 from __future__ import annotations
@@ -21,10 +24,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from riskloom.operators.prefix import running_sums
 from riskloom.operators.reshape import unpivot_values
 
 _GRID = [i / 1000 for i in range(1, 1000)]
-MAX_KEYS = 100_000      # (group, column) pairs whose band edges the driver holds
+MAX_KEYS = 100_000      # (group, column) pairs whose band edges the driver holds; more go by ranges
 
 
 def _band_frame(spark: SparkSession, groups: list[str], gtypes, bands: dict) -> DataFrame:
@@ -37,8 +41,7 @@ def _band_frame(spark: SparkSession, groups: list[str], gtypes, bands: dict) ->
 
 
 def _joined(long: DataFrame, bands: DataFrame, keys: list[str]) -> DataFrame:
-    """Values with their key's band; a missing group value is a key like any other.  One row a
-    key: the medians of more than MAX_KEYS keys are not for the driver's band table."""
+    """Values with their key's band (at most MAX_KEYS rows); a missing group value is a key like any other."""
     named = bands.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                          *[c for c in bands.columns if c not in keys])
     same = [long[k].eqNullSafe(named[f"__k{i}"]) for i, k in enumerate(keys)]
@@ -53,6 +56,20 @@ def _count_le(v, bound):
     return F.sum(F.when(bound.isNotNull() & (v <= bound), 1).otherwise(0))
 
 
+def _ordered_medians(long: DataFrame, keys: list[str], schema: StructType) -> DataFrame:
+    """Medians of any number of keys: the values whose running counts pass the middle ranks."""
+    values = long.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    x = running_sums(values, keys, [F.asc("__v")], {"__upto": "__c"}, totals={"n": "__c"})
+
+    def holds(rank):        # whether a value's copies fill the rank
+        return (F.col("__upto") >= rank) & (F.col("__upto") - F.col("__c") < rank)
+
+    low, high = F.floor((F.col("n") + 1) / 2), F.floor((F.col("n") + 2) / 2)
+    x = x.where(holds(low) | holds(high)).groupBy(*keys).agg(
+        (F.sum(F.when(holds(low), F.col("__v"))) / 2 + F.sum(F.when(holds(high), F.col("__v"))) / 2).alias("median"), F.max("n").alias("n"))
+    return x.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
+
 def exact_medians(df: DataFrame, cols: list[str], groups: list[str] | tuple = (),
                   band_limit: int = 200_000, accuracy: int = 10_000,
                   max_rounds: int = 6) -> DataFrame:
@@ -70,7 +87,7 @@ def exact_medians(df: DataFrame, cols: list[str], groups: list[str] | tuple = ()
                                StructField("median", DoubleType()), StructField("n", LongType())])
     counts = long.groupBy(*keys).agg(F.count("__v").alias("n")).limit(MAX_KEYS + 1).collect()
     if len(counts) > MAX_KEYS:
-        raise ValueError(f"exact_medians: {len(counts)} (group, column) pairs; at most {MAX_KEYS}")
+        return _ordered_medians(long, keys, out_schema)
     bands = {tuple(r[k] for k in keys): {"n": r["n"], "lo": None, "hi": None, "below": 0,
                                          "size": r["n"]} for r in counts}
     done: dict = {}

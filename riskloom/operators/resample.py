@@ -7,6 +7,8 @@ executor loss)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,13 @@ from riskloom.operators.split import BUCKET_SHIFT, split_hash
 SLOT_MULT, SLOT_INC, GAP_MULT, GAP_BITS = 1103515245, 12345, 69069, 24
 
 
+Nearest = Callable[[DataFrame, DataFrame, int], DataFrame]      # (queries, base, k) -> query_id, neighbor_id, rank, distance
+
+
+def exact_nearest(id_col: str, vec: str) -> Nearest:
+    return lambda queries, base, k: knn_join(queries, base, k, id_col, id_col, vec)
+
+
 def index_rows(df: DataFrame, id_col: str, name: str = "__idx") -> DataFrame:
     """Dense 0..n-1 index in (split hash, id) order, without a global window:
     65536 hash buckets, prefix counts over the (bounded) bucket table,
@@ -32,9 +41,10 @@ def index_rows(df: DataFrame, id_col: str, name: str = "__idx") -> DataFrame:
 
 
 def smote(df: DataFrame, is_minority, k: int = 5, id_col: str = "vec_id", vec: str = "features",
-          label_value=None, label_col: str = "label") -> DataFrame:
+          label_value=None, label_col: str = "label", nearest: Nearest | None = None) -> DataFrame:
     """Synthetic minority rows until the minority matches the majority count:
-    (slot, base_id, neighbor_id, u, features, label)."""
+    (slot, base_id, neighbor_id, u, features, label).  ``nearest`` finds the neighbours
+    (by default the exact join)."""
     spark = df.sparkSession
     mino = df.where(is_minority)
     counts = df.agg(F.sum(F.when(is_minority, 1).otherwise(0)).alias("n_min"),
@@ -45,7 +55,7 @@ def smote(df: DataFrame, is_minority, k: int = 5, id_col: str = "vec_id", vec: s
     if n_syn <= 0 or kk < 1:
         return spark.createDataFrame([], "slot long, base_id long, neighbor_id long, u double, "
                                          "features array<double>, label int")
-    nn = knn_join(mino, mino, kk, id_col, id_col, vec)
+    nn = (nearest or exact_nearest(id_col, vec))(mino, mino, kk)
     idx = index_rows(mino.select(id_col, vec), id_col)
     h1 = F.pmod(F.col("id") * SLOT_MULT + SLOT_INC, F.lit(2 ** 31))
     slots = spark.range(n_syn).select(
@@ -61,6 +71,21 @@ def smote(df: DataFrame, is_minority, k: int = 5, id_col: str = "vec_id", vec: s
                        (F.lit(lab) if lab is not None else F.lit(None)).cast("int").alias(label_col))
 
 
+def tomek_candidates(x: DataFrame, is_minority, id_col: str, nearest: Nearest) -> DataFrame:
+    """(minority_id, majority_id): minority rows whose nearest row is of the majority."""
+    x = x.withColumn("__min", is_minority)
+    nn = nearest(x.where(F.col("__min")), x, 1)
+    return nn.join(x.select(F.col(id_col).alias("neighbor_id"), "__min"), "neighbor_id") \
+             .where(~F.col("__min")).select(F.col("query_id").alias("minority_id"), F.col("neighbor_id").alias("majority_id"))
+
+
+def tomek_back(x: DataFrame, cand: DataFrame, id_col: str, nearest: Nearest) -> DataFrame:
+    """The candidates whose majority row's nearest row points back."""
+    rows = x.join(cand.select(F.col("majority_id").alias(id_col)).distinct(), id_col)
+    back = nearest(rows, x, 1).select(F.col("query_id").alias("majority_id"), F.col("neighbor_id").alias("minority_id"))
+    return cand.join(back, ["minority_id", "majority_id"])
+
+
 def tomek_links(df: DataFrame, is_minority, id_col: str = "vec_id", vec: str = "features") -> DataFrame:
     """Mutual nearest neighbours of opposite class: (minority_id, majority_id).
 
@@ -68,16 +93,9 @@ def tomek_links(df: DataFrame, is_minority, id_col: str = "vec_id", vec: str = "
     neighbour is a majority row are candidates; 1-NN of those candidates
     only; a link when it points back.  Cost ~ (minority + candidates) x n
     instead of n x n."""
-    x = df.withColumn("__min", is_minority)
-    mino = x.where(F.col("__min"))
-    nn1 = knn_join(mino, x, 1, id_col, id_col, vec)
-    cand = nn1.join(x.select(F.col(id_col).alias("neighbor_id"), "__min"), "neighbor_id") \
-              .where(~F.col("__min")).select(F.col("query_id").alias("minority_id"),
-                                             F.col("neighbor_id").alias("majority_id"))
-    cand_rows = x.join(cand.select(F.col("majority_id").alias(id_col)).distinct(), id_col)
-    back = knn_join(cand_rows, x, 1, id_col, id_col, vec).select(
-        F.col("query_id").alias("majority_id"), F.col("neighbor_id").alias("minority_id"))
-    return cand.join(back, ["minority_id", "majority_id"])
+    nearest = exact_nearest(id_col, vec)
+    cand = tomek_candidates(df, is_minority, id_col, nearest)
+    return tomek_back(df, cand, id_col, nearest)
 
 
 def remove_tomek_majority(df: DataFrame, links: DataFrame, id_col: str = "vec_id") -> DataFrame:

@@ -3,6 +3,8 @@ riskiest transactions, id lookup, explanation coverage."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ def explanation_sample(index: DataFrame, n: int | None = 1000) -> DataFrame:
 def explanation_picks(sample: DataFrame, n: int = 3) -> DataFrame:
     """First fraud-and-flagged row in split order (else the most probable),
     then the most probable others until ``n`` rows; (pick, ...index columns).
-    ``sample`` is bounded (the explanation sample)."""
+    ``sample``: the rows to pick from, any number of them."""
     x = sample.withColumn("__pos", _position(sample)) \
               .withColumn("__hit", (F.col("y_true") == 1) & (F.col("predicted_label") == 1))
     first = x.orderBy(F.desc("__hit"), F.when(F.col("__hit"), F.col("__pos")).asc_nulls_last(),
@@ -54,8 +56,13 @@ def riskiest(index: DataFrame, n: int = 10) -> DataFrame:
 
 
 def lookup(index: DataFrame, text: str) -> DataFrame:
-    """Rows whose id, as text, equals the trimmed input (empty if unknown)."""
-    return index.where(F.col(ID).cast("string") == F.trim(F.lit(text)))
+    """Rows whose id, as text, equals the trimmed input (empty if unknown).
+
+    The input becomes a number, not the column a text, so the predicate reaches the files."""
+    t = text.strip(" ")
+    if not re.fullmatch("0|-?[1-9][0-9]{0,18}", t) or not -(1 << 63) <= int(t) < 1 << 63:
+        return index.where(F.lit(False))
+    return index.where(F.col(ID) == F.lit(int(t)))
 
 
 def coverage(index: DataFrame, explained: DataFrame) -> DataFrame:

@@ -30,8 +30,14 @@ both terms inside their buckets, and a prefix over the (bounded) per-key
 bucket table adds the rows of earlier buckets.  Partitions are bounded by
 the rows of one key in one fine bucket; the counts return by id.
 
+``ordered``: for keys of any density.  The same difference of running counts,
+but both terms come from ``running_sums`` over (key, time, id), whose ranges
+are sampled from the rows: a single second of one key, or its rows without a
+time, are cut like any other part of the order.
+
 ``auto`` checks the largest (key, coarse bucket) group with a partial
-aggregate and switches to ``probe`` above ``hot_rows``.
+aggregate (rows without a time are a bucket too) and switches to ``ordered``
+above ``hot_rows``.
 """
 
 from __future__ import annotations
@@ -39,6 +45,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.operators.prefix import running_sums
 from riskloom.schemas import CARD, ID, TIME, VELOCITY_WINDOWS
 
 _B, _G = "__vbucket", "__ghost"
@@ -54,7 +61,9 @@ def add_velocity_counts(df: DataFrame, windows: dict[str, int] | None = None,
         width = int(bucket_seconds or wmax)
         biggest = df.groupBy(key, F.floor(F.col(time) / F.lit(float(width)))).count() \
                     .agg(F.max("count")).first()[0] or 0
-        strategy = "probe" if biggest > hot_rows else "ghost"
+        strategy = "ordered" if biggest > hot_rows else "ghost"
+    if strategy == "ordered":
+        return _ordered_counts(df, windows, key, time, order_id)
     if strategy == "probe":
         return _probe_counts(df, windows, key, time, order_id, fine_seconds)
     width = int(bucket_seconds or wmax)
@@ -119,3 +128,30 @@ def _probe_counts(df: DataFrame, windows: dict[str, int], key: str, time: str, o
     w = Window.partitionBy(key).orderBy(F.col(order_id).asc_nulls_last()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     untimed = df.where(t.isNull()).select("*", *[F.count(F.lit(1)).over(w).cast("int").alias(n) for n in windows])
     return timed.join(counts, same, "left").select(*cols).unionByName(untimed.select(*cols))
+
+
+def _ordered_counts(df: DataFrame, windows: dict[str, int], key: str, time: str, order_id: str) -> DataFrame:
+    """Exact counts from running counts over sampled ranges of (key, time, id)."""
+    t = F.col(time)
+    timed = df.where(t.isNotNull())
+
+    def records(at, name):
+        return timed.select(F.col(key).alias("__k"), F.col(order_id).alias("__id"), t.alias("__at"), at.alias("__t"),
+                            F.lit(int(name is None)).cast("long").alias("__real"), F.lit(name).cast("string").alias("__w"))
+
+    recs = records(t, None)
+    for name, w in windows.items():
+        recs = recs.unionByName(records(t - w, name))
+    # a probe stands before the real rows of its time, so it counts those that are older than its window
+    recs = running_sums(recs, ["__k"], [F.asc("__t"), F.asc("__real"), F.asc("__id")], {"__c": "__real"})
+    got = recs.groupBy("__k", "__id", "__at").agg(
+        F.max(F.when(F.col("__real") == 1, F.col("__c"))).alias("__le"),
+        *[F.max(F.when(F.col("__w") == n, F.col("__c"))).alias(f"__lt_{i}") for i, n in enumerate(windows)])
+    counts = got.select("__k", "__id", "__at", *[
+        (F.col("__le") - F.col(f"__lt_{i}")).cast("int").alias(n) for i, n in enumerate(windows)])
+    same = F.col("__k").eqNullSafe(F.col(key)) & F.col("__id").eqNullSafe(F.col(order_id)) & (F.col("__at") == t)
+    cols = [*df.columns, *windows.keys()]
+    untimed = running_sums(df.where(t.isNull()).withColumn("__one", F.lit(1).cast("long")), [key],
+                           [F.col(order_id).asc_nulls_last()], {"__c": "__one"})
+    untimed = untimed.select(*df.columns, *[F.col("__c").cast("int").alias(n) for n in windows])
+    return timed.join(counts, same, "left").select(*cols).unionByName(untimed.select(*cols))

@@ -131,9 +131,8 @@ def q_combo_keys(spark, sf):
 @query("combo_counts")
 def q_combo_counts(spark, sf):
     x = _combos(spark, sf)
-    x = attach_group_stats(x, ["card_email_combo"], [F.count(F.lit(1)).alias("card_email_combo_seen_count")])
-    x = attach_group_stats(x, ["card_device_combo"], [F.count(F.lit(1)).alias("card_device_combo_seen_count")])
-    return x
+    y = attach_group_stats(x, ["card_email_combo"], [F.count(F.lit(1)).alias("card_email_combo_seen_count")])
+    return attach_group_stats(y, ["card_device_combo"], [F.count(F.lit(1)).alias("card_device_combo_seen_count")], source=x)
 
 
 @query("missing_counts")
@@ -180,7 +179,7 @@ from riskloom.session import materialize  # noqa: E402
 
 
 def split_features(spark, sf) -> DataFrame:
-    f = materialize(features(spark, sf))
+    f = materialize(build_features(_tx(spark, sf), _idt(spark, sf), store=True))
     return materialize(S.assign_split(f))
 
 
@@ -455,7 +454,7 @@ def q_explain_sample(spark, sf):
 
 @query("explanation_picks")
 def q_explanation_picks(spark, sf):
-    return RV.explanation_picks(RV.explanation_sample(_index(spark, sf), 1000), 3)
+    return RV.explanation_picks(_index(spark, sf), 3)
 
 
 @query("explain_lookup")
@@ -468,8 +467,7 @@ def q_explain_lookup(spark, sf):
 @query("explanation_coverage")
 def q_explanation_coverage(spark, sf):
     idx = _index(spark, sf)
-    picks = RV.explanation_picks(RV.explanation_sample(idx, 1000), 3)
-    return RV.coverage(idx, picks)
+    return RV.coverage(idx, RV.explanation_picks(idx, 3))
 
 
 def _metadata(spark, sf):
@@ -497,6 +495,7 @@ def q_kpi_formatted(spark, sf):
 # ---------------------------------------------------------------- kNN, resampling, LOF on embeddings
 from riskloom.operators import anomaly as AN  # noqa: E402
 from riskloom.operators import knn as KN  # noqa: E402
+from riskloom.operators import knn_index as KX  # noqa: E402
 from riskloom.operators import resample as RS  # noqa: E402
 
 
@@ -521,6 +520,12 @@ def q_knn_cells(spark, sf):
     return KN.knn_join(v, v, 5, cell_size=32, block=48, hot_factor=2)
 
 
+@query("knn_index")
+def q_knn_index(spark, sf):
+    """Approximate neighbours on the cell tree: recall of 0.95 or more, measured on a sample (leaves small enough that the tree has levels)."""
+    return KX.knn_approx(_vectors(spark, sf), 5, target=0.95, branch=8, leaf_rows=16)
+
+
 @query("smote")
 def q_smote(spark, sf):
     v = _vectors(spark, sf)
@@ -546,6 +551,78 @@ def q_velocity_probe(spark, sf):
     return add_velocity_counts(tx, {"card1_txn_count_past_24hr": 86400}, strategy="probe").select(ID, "card1_txn_count_past_24hr")
 
 
+# ---------------------------------------------------------------- explanation and model arithmetic on fixed inputs
+from riskloom.operators import explain as XP  # noqa: E402
+from riskloom.operators import forest as FO  # noqa: E402
+
+FIXED_FEATURES = [f"f{j:02d}" for j in range(12)]
+
+
+def fixed_contributions(index: DataFrame) -> DataFrame:
+    """Deterministic contributions of twelve features to every explained row, with ties and rows without a positive one."""
+    i = F.col(ID)
+    names = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(j).cast("long").alias("j")) for j, n in enumerate(FIXED_FEATURES)])
+    j = F.col("f.j")
+    down = F.when(i % 17 == 0, -1200).otherwise(-600)
+    return index.select(ID, F.explode(names).alias("f")).select(
+        ID, F.col("f.feature").alias("feature"), (F.pmod(i * 31 + j * 17, F.lit(97)) / 8.0).alias("value"),
+        ((F.pmod(i * 7919 + j * 104729, F.lit(1201)) + down) / 1024.0).alias("contribution"))
+
+
+def _contributions(spark, sf):
+    return fixed_contributions(_index(spark, sf))
+
+
+@query("contribution_importance")
+def q_contribution_importance(spark, sf):
+    return XP.global_importance(_contributions(spark, sf))
+
+
+@query("contribution_local")
+def q_contribution_local(spark, sf):
+    first = RV.riskiest(_index(spark, sf), 1).select(ID).first()
+    return XP.local_explanation(_contributions(spark, sf), first[0] if first else -1)
+
+
+@query("contribution_dependence")
+def q_contribution_dependence(spark, sf):
+    return XP.dependence_data(_contributions(spark, sf), 3)
+
+
+@query("contribution_summary")
+def q_contribution_summary(spark, sf):
+    return XP.dependence_data(_contributions(spark, sf), 8)
+
+
+@query("contribution_text")
+def q_contribution_text(spark, sf):
+    return XP.explanation_text(_contributions(spark, sf), _index(spark, sf), 0.24)
+
+
+# A tree and a forest small enough to be written out in SQL.
+FIXED_TREE = {"left": [1, -1, 3, -1, -1], "right": [2, -1, 4, -1, -1], "feature": [0, -1, 1, -1, -1], "threshold": [0.01, 0.0, -0.05, 0.0, 0.0],
+              "value": [0.0, 1.5, 0.0, -2.25, 0.75], "cover": [100.0, 40.0, 60.0, 15.0, 45.0], "root": 0, "weight": 0.5}
+FIXED_FOREST = {"feature": [[0, 1, -1, -1, -1], [2, -1, -1, -1, -1]], "threshold": [[0.05, -0.02, 0, 0, 0], [0.1, 0, 0, 0, 0]],
+                "left": [[1, 3, -1, -1, -1], [1, -1, -1, -1, -1]], "right": [[2, 4, -1, -1, -1], [2, -1, -1, -1, -1]],
+                "size": [[64, 50, 14, 20, 30], [64, 60, 4, 0, 0]], "psi": 64, "trees": [0, 1]}
+
+
+@query("fixed_tree_shap")
+def q_fixed_tree_shap(spark, sf):
+    import numpy as np
+    tree = {k: np.array(v) if isinstance(v, list) else v for k, v in FIXED_TREE.items()}
+    s = XP.shap_frame(_vectors(spark, sf), {"trees": [tree]}, keep=("vec_id",))
+    return s.select("vec_id", F.col("shap")[0].alias("phi_0"), F.col("shap")[1].alias("phi_1"),
+                    F.aggregate("shap", F.lit(0.0), lambda a, x: a + x).alias("total"), "base_value")
+
+
+@query("fixed_forest_scores")
+def q_fixed_forest_scores(spark, sf):
+    import numpy as np
+    forest = {k: np.array(v) if k not in ("psi", "trees") else v for k, v in FIXED_FOREST.items()}
+    return _vectors(spark, sf).select("vec_id", FO.score_samples_udf(spark, forest)("features").alias("score"))
+
+
 # ---------------------------------------------------------------- models (rows-only keys)
 from riskloom.plans import cost as CS  # noqa: E402
 from riskloom.plans import imbalance as IM  # noqa: E402

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from riskloom.oracle import (BASE, EV, FEATURE_DOUBLES, IDENTITY, MERGED, ORDER_TX,
                              TRANSACTIONS, velocity_bruteforce, with_ctes)
 
@@ -330,6 +332,7 @@ INDEX = """idx AS (
               WHEN s.fraud_probability >= b.threshold THEN 'review' ELSE 'approve' END AS recommendation,
          (s.TransactionID * 1103515245 + 518490) % 2147483648 AS pos
   FROM scored s JOIN best_model b ON s.model_name = b.base_model)"""
+EVERY = "smp AS (SELECT * FROM idx)"
 SAMPLE = "smp AS (SELECT * FROM idx ORDER BY pos, TransactionID LIMIT 1000)"
 PICKS = """picks AS (
   SELECT * FROM (
@@ -350,14 +353,14 @@ SQL["explanation_index"] = with_ctes(XCTES, f"SELECT {IDX_COLS} FROM idx", ["fra
 SQL["riskiest"] = with_ctes(XCTES, f"SELECT {IDX_COLS} FROM idx ORDER BY fraud_probability DESC, TransactionID LIMIT 10",
                             ["fraud_probability"])
 SQL["explain_sample"] = with_ctes(XCTES + [SAMPLE], f"SELECT {IDX_COLS} FROM smp", ["fraud_probability"])
-SQL["explanation_picks"] = with_ctes(XCTES + [SAMPLE, PICKS], f"SELECT pick, {IDX_COLS} FROM picks",
+SQL["explanation_picks"] = with_ctes(XCTES + [EVERY, PICKS], f"SELECT pick, {IDX_COLS} FROM picks",
                                      ["fraud_probability"])
 SQL["explain_lookup"] = with_ctes(XCTES, f"""
 SELECT {IDX_COLS} FROM idx
 WHERE CAST(TransactionID AS VARCHAR) = trim('  ' || (SELECT CAST(TransactionID AS VARCHAR) FROM idx
                                                       ORDER BY fraud_probability DESC, TransactionID LIMIT 1) || ' ')""",
                                   ["fraud_probability"])
-SQL["explanation_coverage"] = with_ctes(XCTES + [SAMPLE, PICKS], """
+SQL["explanation_coverage"] = with_ctes(XCTES + [EVERY, PICKS], """
 SELECT TransactionID, CAST(TransactionID IN (SELECT TransactionID FROM picks) AS INTEGER) AS has_explanation FROM idx""")
 
 TRAIN_BAL = """bal AS (
@@ -432,14 +435,15 @@ FROM slots s
 JOIN mn m ON m.idx = s.h1 % (SELECT n_min FROM cnt)
 JOIN mnn n ON n.qid = m.vec_id AND n.rnk = (s.h1 // 65536) % 5 + 1
 JOIN mn nb ON nb.vec_id = n.nid""", ["u"])
-SQL["tomek_links"] = with_ctes([E, """nn1 AS (
-  SELECT * FROM (
-    SELECT a.vec_id AS qid, b.vec_id AS nid, a.label AS ql, b.label AS nl,
-           row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.x, b.x), 9), b.vec_id) AS rnk
-    FROM e a JOIN e b ON a.vec_id <> b.vec_id) WHERE rnk = 1)"""], """
-SELECT m.qid AS minority_id, m.nid AS majority_id
-FROM nn1 m JOIN nn1 j ON j.qid = m.nid AND j.nid = m.qid
-WHERE m.ql = 0 AND m.nl <> 0""")
+NEAREST = "min(struct_pack(d := round(list_distance(a.x, b.x), 9), i := b.vec_id)).i"
+SQL["tomek_links"] = with_ctes([E, f"""mn AS MATERIALIZED (
+  SELECT a.vec_id AS minority_id, {NEAREST} AS nid FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.label = 0 GROUP BY a.vec_id)""",
+                                """cand AS MATERIALIZED (
+  SELECT mn.minority_id, e.vec_id AS majority_id, e.x FROM mn JOIN e ON e.vec_id = mn.nid WHERE e.label <> 0)""",
+                                f"""back AS MATERIALIZED (
+  SELECT a.majority_id, {NEAREST} AS minority_id
+  FROM (SELECT DISTINCT majority_id, x FROM cand) a JOIN e b ON b.vec_id <> a.majority_id GROUP BY a.majority_id)"""],
+                               "SELECT minority_id, majority_id FROM cand JOIN back USING (minority_id, majority_id)")
 ESPLIT = """es AS (
   SELECT *, CASE WHEN 10 * row_number() OVER (PARTITION BY label
                    ORDER BY (vec_id * 1103515245 + 518490) % 2147483648, vec_id) - 5
@@ -460,3 +464,43 @@ SELECT nq.q AS vec_id, avg(l.lrd) / (1.0 / (avg(greatest(kd.kdist, nq.d)) + 1e-1
 FROM nq JOIN kd ON kd.p = nq.o JOIN lrd l ON l.p = nq.o JOIN te ON te.vec_id = nq.q
 GROUP BY nq.q""", ["lof"])
 SQL["velocity_probe_24h"] = SQL["velocity_24h"]
+
+# ---------------------------------------------------------------- explanation and model arithmetic on fixed inputs
+CONTRIB = """con AS (
+  SELECT TransactionID, 'f' || lpad(CAST(j AS VARCHAR), 2, '0') AS feature, ((TransactionID * 31 + j * 17) % 97) / 8.0 AS value,
+         ((TransactionID * 7919 + j * 104729) % 1201 + CASE WHEN TransactionID % 17 = 0 THEN -1200 ELSE -600 END) / 1024.0 AS contribution
+  FROM idx, unnest(range(0, 12)) AS u(j))"""
+TOPF = "topf AS (SELECT feature, row_number() OVER (ORDER BY round(avg(abs(contribution)), 9) DESC, feature) AS k FROM con GROUP BY feature)"
+_C = ["value", "contribution"]
+SQL["contribution_importance"] = with_ctes(XCTES + [CONTRIB], "SELECT feature, avg(abs(contribution)) AS mean_abs_shap FROM con GROUP BY feature",
+                                           ["mean_abs_shap"])
+SQL["contribution_local"] = with_ctes(XCTES + [CONTRIB], """
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (ORDER BY abs(contribution) DESC, feature) AS INTEGER) AS rank FROM con
+  WHERE TransactionID = (SELECT TransactionID FROM idx ORDER BY fraud_probability DESC, TransactionID LIMIT 1))
+WHERE rank <= 10""", _C)
+for _k, _n in (("contribution_dependence", 3), ("contribution_summary", 8)):
+    SQL[_k] = with_ctes(XCTES + [CONTRIB, TOPF], f"SELECT con.* FROM con JOIN topf USING (feature) WHERE k <= {_n}", _C)
+SQL["contribution_text"] = with_ctes(XCTES + [CONTRIB, """lines AS (
+  SELECT TransactionID, feature, value, row_number() OVER (PARTITION BY TransactionID ORDER BY
+           CASE WHEN some_up THEN CASE WHEN contribution > 0 THEN contribution END ELSE abs(contribution) END DESC NULLS LAST, feature) AS r,
+         some_up AND contribution <= 0 AS left_out
+  FROM (SELECT *, max(contribution) OVER (PARTITION BY TransactionID) > 0 AS some_up FROM con))"""], """
+SELECT TransactionID, 'Transaction #' || TransactionID || ' was flagged because:' || chr(10)
+       || string_agg(printf('- %s had value %.4f and increased fraud risk.', feature, value), chr(10) ORDER BY r) || chr(10)
+       || printf('Combined fraud probability: %.2f%%.', any_value(fraud_probability) * 100) || chr(10)
+       || 'Recommended action: ' || CASE WHEN any_value(fraud_probability) >= CAST(0.24 AS DOUBLE) + CAST(0.20 AS DOUBLE) THEN 'decline'
+                                         WHEN any_value(fraud_probability) >= CAST(0.24 AS DOUBLE) THEN 'review' ELSE 'approve' END || '.' AS text
+FROM lines JOIN idx USING (TransactionID) WHERE r <= 3 AND NOT left_out GROUP BY TransactionID""")
+SQL["fixed_tree_shap"] = with_ctes([E, """t AS (
+  SELECT vec_id, 0.4 * 1.5 + 0.6 * (0.25 * -2.25 + 0.75 * 0.75) AS none,
+         CASE WHEN x[1] <= 0.01 THEN 1.5 ELSE 0.25 * -2.25 + 0.75 * 0.75 END AS a,
+         0.4 * 1.5 + 0.6 * CASE WHEN x[2] <= -0.05 THEN -2.25 ELSE 0.75 END AS b,
+         CASE WHEN x[1] <= 0.01 THEN 1.5 WHEN x[2] <= -0.05 THEN -2.25 ELSE 0.75 END AS ab FROM e)"""], """
+SELECT vec_id, CAST((a - none + ab - b) / 2 AS DOUBLE) AS phi_0, CAST((b - none + ab - a) / 2 AS DOUBLE) AS phi_1, CAST(ab - none AS DOUBLE) AS total,
+       CAST(none AS DOUBLE) AS base_value FROM t""",
+                                   ["phi_0", "phi_1", "total", "base_value"])
+_H = {n: 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n for n in (4, 14, 20, 30, 60, 64)}     # path length of n rows that no split tells apart
+SQL["fixed_forest_scores"] = with_ctes([E], f"""
+SELECT vec_id, -pow(2, -(CASE WHEN x[1] < 0.05 THEN CASE WHEN x[2] < -0.02 THEN 2 + {_H[20]!r} ELSE 2 + {_H[30]!r} END ELSE 1 + {_H[14]!r} END
+                         + CASE WHEN x[3] < 0.1 THEN 1 + {_H[60]!r} ELSE 1 + {_H[4]!r} END) / 2 / {_H[64]!r}) AS score FROM e""", ["score"])
