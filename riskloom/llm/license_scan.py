@@ -1,19 +1,27 @@
 """Licence scan by conditional compression.
 
 A text's candidate blocks reach from its cue words as far as the longest
-template does, over lines and blank lines; blocks that meet are one.  A
-template can only be confirmed where enough of its word triples stand at about
-the same distance, so these places are found first (no place that could be
-confirmed is left out, however long the block is).  There the exact
-differences in wording are taken: the block's words are aligned with the
-template's, and words that are missing, added or changed are counted.  A
-template is confirmed if they are at most ``MAX_DIFFERENCE`` of its words.
+template does, over lines and blank lines; blocks that meet are one.  For each
+size class of templates a block is cut into windows of about twice their
+length that overlap by more than a copy, so every copy lies whole in one.
+(Notices below ``SHORT`` words, where zstandard's own noise is as large as what
+they save, have a window of their own length at every word.)  A
+window is compressed by zstandard alone and with each template of the class as
+a raw-content dictionary: what the dictionary saves, as a share of what the
+template alone costs, ranks the templates.  Only templates that save ``SAVED``
+of their own size or more go on, in that order.  A copy with a tenth of its
+words changed saves well more than that, and common words save less.
+
+What ranks is confirmed by exact wording differences.  Enough of a template's
+word triples must stand at about the same distance inside the ranked windows;
+there the block's words are aligned with the template's, and words that are
+missing, added or changed are counted.  A template is confirmed if they are at
+most ``MAX_DIFFERENCE`` of its words.
 
 Each finding has the size of its window, about twice the template's length, as
-zstandard compresses it alone and with the template as a raw-content
-dictionary: the more the template explains, the smaller the second size.
-Every copy of every licence gives a row; of templates that claim the same words
-the closest wins, then the longest, then the one with the greater reduction.
+zstandard compresses it alone and given the template.  Every copy of every
+licence gives a row; of templates that claim the same words the closest wins,
+then the longest, then the one with the greater reduction.
 
 Defined cases: null and empty texts, and texts without a cue, give no row;
 null ids keep their rows; repeated rows give their findings again; ties go to
@@ -38,6 +46,8 @@ from riskloom.llm.license_templates import TEMPLATES
 CUES = r"(?i)licen[sc]|copyright|permission|redistribut|warrant|public\W+domain|spdx|creative\W+commons|\bcc\W+by"
 LEVEL = 3
 MAX_DIFFERENCE = 0.1
+SHORT = 16
+SAVED = 0.2                 # share of a template's own compressed size that a window must save with it
 FINDINGS = ("doc_id long, block long, first_line long, n_lines long, template string, license string, plain_bytes long, "
             "conditional_bytes long, reduction double, n_template_words long, n_differences long, exact boolean, differences array<string>")
 CUE, WORD = re.compile(CUES), re.compile(r"[^\W_]+(?:(?:[.']|-(?:[ \t\r]*\n[\s#*/;%>]*)?)[^\W_]+)*")
@@ -117,10 +127,20 @@ class Scanner:
         self.given = {}
         for k, words in self.words.items():
             raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            raw.precompute_compress(compression_params=params)
             self.given[k] = zstandard.ZstdCompressor(compression_params=params, dict_data=raw)
         self.empty = len(self.plain.compress(b""))
         self.most = {k: int(MAX_DIFFERENCE * len(w)) for k, w in self.words.items()}
         self.reach = max((len(w) + self.most[k] for k, w in self.words.items()), default=0)
+        self.own = {k: max(1, len(self.plain.compress(" ".join(w).encode())) - self.empty) for k, w in self.words.items()}
+        # templates by size: (window, step, names)
+        classes: dict[tuple, list[str]] = {}
+        for k, w in self.words.items():
+            classes.setdefault((len(w),) if len(w) < SHORT else (0, len(w).bit_length()), []).append(k)
+        self.classes = []
+        for size, names in classes.items():
+            most = max(len(self.words[k]) + self.most[k] for k in names)
+            self.classes.append((most, 1, names) if size[0] else (2 * most, most, names))
         # word triples (the first words of shorter templates) of all templates: (template, place)
         self.at: dict[tuple, list[tuple[str, int]]] = {}
         for k, words in self.words.items():
@@ -128,13 +148,38 @@ class Scanner:
                 self.at.setdefault(tuple(words[i:i + 3]), []).append((k, i))
         self.widths = sorted({len(x) for x in self.at})
 
+    def ranked(self, words: list[str]) -> list[tuple[str, int, int]]:
+        """(template, first, end): stretches of the block whose windows a template explains, greatest saving first."""
+        stretches: dict[str, list[list]] = {}
+        for window, step, names in self.classes:
+            for first in range(0, max(1, len(words) - (window - step)), step):
+                raw = " ".join(words[first:first + window]).encode("utf-8", "surrogatepass")
+                alone = len(self.plain.compress(raw))
+                for k in names:
+                    share = (alone - len(self.given[k].compress(raw))) / self.own[k]
+                    if share >= SAVED:
+                        of, end = stretches.setdefault(k, []), min(len(words), first + window)
+                        if of and first <= of[-1][2]:
+                            of[-1][0], of[-1][2] = max(of[-1][0], share), end
+                        else:
+                            of.append([share, first, end])
+        return [(k, a, b) for _, k, a, b in sorted((-share, k, a, b) for k, of in stretches.items() for share, a, b in of)]
+
     def places(self, words: list[str]) -> list[tuple[str, list[str], int, int]]:
         """(template, differences, first, end) of all confirmed copies, before templates compete."""
+        found = []
+        for k, first, end in self.ranked(words):
+            found += [(k, diff, first + a, first + b) for diff, a, b in self._confirm(k, words[first:end])]
+        return found
+
+    def _confirm(self, name: str, words: list[str]) -> list[tuple[list[str], int, int]]:
+        """(differences, first, end) of the template's copies among the words."""
         shifts: dict[str, Counter] = {}
         for width in self.widths:
             for j, seen in enumerate(zip(*(words[k:] for k in range(width)))):
                 for k, i in self.at.get(seen, ()):
-                    shifts.setdefault(k, Counter())[j - i] += 1
+                    if k == name:
+                        shifts.setdefault(k, Counter())[j - i] += 1
         found = []
         for k, votes in shifts.items():
             n, most = len(self.words[k]), self.most[k]
@@ -155,7 +200,7 @@ class Scanner:
                     continue
                 got = aligned(words, self.words[k], s, most)
                 if got:
-                    found.append((k, *got))
+                    found.append(got)
                     done.update(range(s - n // 2, s + n // 2 + 1))    # the next copy is farther away
         return found
 

@@ -274,3 +274,50 @@ def test_lines_of_wrapped_findings(spark):
     docs = spark.createDataFrame([(1, "\n".join([prose(9), *lines, prose(9), "", *lines]))], "doc_id long, text string")
     got = sorted((r["first_line"], r["n_lines"], r["template"]) for r in license_scan.scan(docs).collect())
     assert got == [(1, len(lines), "cc0-notice"), (3 + len(lines), len(lines), "cc0-notice")]
+
+
+def changed(words, rnd, most, vocabulary):
+    out = list(words)
+    for _ in range(rnd.randrange(most + 1)):
+        i, kind = rnd.randrange(len(out)), rnd.random()
+        if kind < 0.3 and len(out) > 1:
+            del out[i]
+        elif kind < 0.6:
+            out.insert(i, rnd.choice(vocabulary))
+        else:
+            out[i] = rnd.choice(vocabulary)
+    return out
+
+
+def fewest_differences(text, template):
+    """Missing and added words of the closest stretch of the text, by a plain table over all places."""
+    row = [0] * (len(text) + 1)
+    for i, w in enumerate(template, 1):
+        last, row = row, [i]
+        for j, v in enumerate(text, 1):
+            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] if v == w else 10 ** 9))
+    return min(row)
+
+
+def test_changed_copies_against_edit_distance():
+    """Every copy within the allowed differences is found, at its true distance, wherever it stands; none beyond."""
+    import random
+    rnd, s = random.Random(7), license_scan.Scanner()
+    vocabulary = license_scan.wording(prose(60, 2)) + ["software", "license", "permission", "copy"]
+    for name, words in s.words.items():
+        for most in (0, s.most[name], s.most[name] + 2):
+            around = [license_scan.wording(prose(rnd.choice((0, 4, 250)), rnd.randrange(9))) for _ in range(2)]
+            block = around[0] + changed(words, rnd, most, vocabulary) + around[1]
+            best = fewest_differences(block, words)
+            got = [x for x in s.places(block) if x[0] == name]
+            assert bool(got) == (best <= s.most[name]), (name, best)
+            assert not got or min(len(x[1]) for x in got) == best
+
+
+def test_compression_decides(monkeypatch):
+    """With a dictionary that saves nothing, nothing is confirmed; the templates that stand in a block rank first."""
+    s = license_scan.Scanner()
+    text = license_scan.wording(f"{prose(80)} {TEMPLATES['mit-text'][1]} {prose(80, 1)}")
+    assert s.ranked(text)[0][0] == "mit-text" and [f[0] for f in s.findings(text)] == ["mit-text"]
+    s.given = {k: s.plain for k in s.given}
+    assert s.ranked(text) == [] == s.findings(text)
