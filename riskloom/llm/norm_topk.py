@@ -59,8 +59,12 @@ def bucketed(vectors: DataFrame, bucket: int = BUCKET) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([part] * b.num_rows, pa.int32())], [*b.schema.names, "bucket"])
 
-    return stored(rows.select("row", "vec_id", "v", "norm").repartitionByRange(n, F.col("norm").desc(), "vec_id", "row")
+    made = stored(rows.select("row", "vec_id", "v", "norm").repartitionByRange(n, F.col("norm").desc(), "vec_id", "row")
                   .mapInArrow(number, "row long, vec_id long, v array<double>, norm double, bucket int"), "buckets")
+    # a session may deal rows into more partitions than asked for: neighbours are one bucket then, which keeps
+    # buckets, and with them the first thresholds, at their size
+    parts = 1 + (made.agg(F.max("bucket")).first()[0] or 0)
+    return made if parts <= n else made.withColumn("bucket", F.floor(F.col("bucket") * n / parts).cast("int"))
 
 
 def _survivors(q: np.ndarray, length: float, theta: float, unit: np.ndarray, norms: np.ndarray) -> np.ndarray | slice:
