@@ -162,7 +162,7 @@ def _tile(k: int, same: bool):
                     for a in sorted(first):
                         for c, x in zip(out, (q["q_row"], row[some[a]], who[a], score[a])):
                             c.append(x)
-        return pa.table([*(pa.array(c, pa.int64()) for c in out[:3]), Products.column(out[3])], names=["q_row", "row", "vec_id", "score"])
+        return pa.table([pa.array(c, pa.int64()) for c in out], names=["q_row", "row", "vec_id", "score"])
 
     return run
 
@@ -180,16 +180,20 @@ def search(queries: DataFrame, rows: DataFrame, ranges: DataFrame, k: int, same:
     ``queries``: q_row, q_label, v.  ``rows``: as ``coded``.  ``ranges``: q_row, key, low, high.  With
     ``same`` rows of the query's label are searched, else those of all others.
     """
-    group = F.col("label") if same else F.lit(0).cast("long")
-    # blocks of a group by hash, so a group of any size is cut; numbers of blocks go with the group's rows
-    n_rows = stored(rows.groupBy(group.alias("of")).agg(F.ceil(F.count("*") / ROWS).cast("int").alias("parts")), "row-blocks")
+    # blocks by hash, so a group of any size is cut; how many goes with the group's rows
     q = queries.withColumn("group", F.col("q_label") if same else F.lit(0).cast("long"))
-    n_asked = stored(q.groupBy(F.col("group").alias("of")).agg(F.ceil(F.count("*") / ANCHORS).cast("int").alias("blocks")), "query-blocks")
-    sizes = n_rows.join(n_asked, "of").withColumnRenamed("of", "group")
+    r = rows.withColumn("t_group", F.col("label") if same else F.lit(0).cast("long"))
+    many = lambda per: F.ceil(F.count("*") / per).cast("int")
+    if same:
+        sizes = stored(r.groupBy("t_group").agg(many(ROWS).alias("parts")).join(
+            q.groupBy("group").agg(many(ANCHORS).alias("blocks")), F.col("t_group") == F.col("group")).select("group", "parts", "blocks"), "sizes")
+        q, r = q.join(sizes, "group"), r.join(sizes.withColumnRenamed("group", "t_group"), "t_group")
+    else:
+        parts, blocks = (max(1, x.agg(many(n)).first()[0]) for x, n in ((r, ROWS), (q, ANCHORS)))
+        q, r = (x.withColumn("parts", F.lit(parts)).withColumn("blocks", F.lit(blocks)) for x in (q, r))
     block = lambda c, n, seed: F.pmod(F.xxhash64(c, F.lit(seed)), F.col(n)).cast("int")
-    kept = stored(q.join(sizes, "group").withColumn("block", block("q_row", "blocks", 1)), "asked")
-    tiles = stored(rows.withColumn("group", group).join(sizes, "group").withColumn("part", block("row", "parts", 2))
-                   .withColumnRenamed("group", "t_group").withColumnRenamed("part", "t_part"), "tiled")
+    kept = stored(q.withColumn("block", block("q_row", "blocks", 1)), "asked")
+    tiles = stored(r.withColumn("t_part", block("row", "parts", 2)), "tiled")
 
     def met(asked: DataFrame, right: DataFrame) -> DataFrame:
         left = asked.select("group", "part", "block", "q_row", "q_label", "v", "ranges")
@@ -210,7 +214,7 @@ def search(queries: DataFrame, rows: DataFrame, ranges: DataFrame, k: int, same:
     later = with_ranges(known).where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(1), F.greatest(F.col("parts") - 1, F.lit(1)))))
     rest = stored(met(later, tiles.where("t_part > 0")), "search-rest")
     out = stored(_first(first.unionByName(rest), ranges, k), "search")
-    discard(n_rows, n_asked, kept, tiles, first, rest)
+    discard(kept, tiles, first, rest)
     return out
 
 
