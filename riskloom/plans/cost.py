@@ -26,10 +26,13 @@ def train_models(matrix: DataFrame, cols: list[str], trees: int = MD.GBT_TREES)
     spw = float(bal["scale_pos_weight"])
     # the two fits are independent jobs: submit them concurrently
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        deep = pool.submit(MD.fit_gbt, train, spw, MD.GBT_DEEP_DEPTH, trees)
-        shallow = pool.submit(MD.fit_gbt, train, spw, MD.GBT_SHALLOW_DEPTH, trees)
-        return {"scale_pos_weight": spw, DEEP: deep.result(), SHALLOW: shallow.result()}
+    try:
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            deep = pool.submit(MD.fit_gbt, train, spw, MD.GBT_DEEP_DEPTH, trees)
+            shallow = pool.submit(MD.fit_gbt, train, spw, MD.GBT_SHALLOW_DEPTH, trees)
+            return {"scale_pos_weight": spw, DEEP: deep.result(), SHALLOW: shallow.result()}
+    finally:
+        train.unpersist()
 
 
 def test_scores(matrix: DataFrame, cols: list[str], models: dict) -> DataFrame:

@@ -33,7 +33,7 @@ from riskloom.plans import imbalance as IM
 from riskloom.plans import mart as M
 from riskloom.plans.explanation import explanation_job
 from riskloom.plans.features import build_features, feature_sample
-from riskloom.schemas import LABEL, model_input_columns
+from riskloom.schemas import ID, LABEL, model_input_columns
 from riskloom.sources import adapters as A
 from riskloom.sources import intake, io
 from riskloom.sources.manifest import Manifests, fingerprint
@@ -162,7 +162,8 @@ def run_explanation(spark: SparkSession, out: str, trees: int = 300, sample: int
     model, _source = io.load_or_train(spark, _p(out, MODEL if saved else "absent"), GBTClassificationModel, retrain)
     threshold = io.load_threshold(spark, _p(out, METADATA if saved else "absent"), 0.5)
     ex = explanation_job(m, cols, model, threshold, sample=sample)
-    counts = {INDEX: _save(ex["index"], out, INDEX, report=False), IMPORTANCE: _save(ex["importance"], out, IMPORTANCE),
+    io.write_keyed(ex["index"], _p(out, INDEX), ID)
+    counts = {INDEX: spark.read.parquet(_p(out, INDEX)).count(), IMPORTANCE: _save(ex["importance"], out, IMPORTANCE),
               PICKS: _save(ex["picks"], out, PICKS), LOCAL: _save(ex["local"], out, LOCAL),
               DEPENDENCE: _save(ex["dependence"], out, DEPENDENCE, report=False), SUMMARY_DATA: _save(ex["summary"], out, SUMMARY_DATA, report=False)}
     picks = ex["picks"].select("TransactionID", "pick")

@@ -76,15 +76,15 @@ def take_in(spark: SparkSession, path: str, out: str, kind: str) -> DataFrame:
     if kind == "transactions":
         figures += [one(fits & (F.col(LABEL) == 1)).alias("positives"), one(fits & F.col(TIME).isNull()).alias("without_time"),
                     F.min(F.when(fits, F.col(TIME))).cast("double").alias("first_time"), F.max(F.when(fits, F.col(TIME))).cast("double").alias("last_time")]
-    rows.observe(seen, *figures).withColumn(REJECTED, ~fits).write.mode("overwrite").partitionBy(REJECTED).parquet(out)
+    rows.observe(seen, *figures).withColumn(REJECTED, (~fits).cast("int")).write.mode("overwrite").partitionBy(REJECTED).parquet(out)
     return spark.createDataFrame([(kind, k, v) for k, v in seen.get.items()], FIGURES)
 
 
 def accepted(spark: SparkSession, out: str) -> DataFrame:
     """The rows that fit the contract."""
-    return without_nan(spark.read.parquet(out).where(~F.col(REJECTED)).drop(RAW, REJECTED))
+    return without_nan(spark.read.parquet(out).where(F.col(REJECTED) == 0).drop(RAW, REJECTED))
 
 
 def rejected(spark: SparkSession, out: str) -> DataFrame:
     """The other rows, with the text of those that could not be read (``raw``)."""
-    return spark.read.parquet(out).where(F.col(REJECTED)).withColumnRenamed(RAW, "raw").drop(REJECTED)
+    return spark.read.parquet(out).where(F.col(REJECTED) == 1).withColumnRenamed(RAW, "raw").drop(REJECTED)

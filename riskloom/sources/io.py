@@ -76,6 +76,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         w.parquet(path)
 
 
+def write_keyed(df: DataFrame, path: str, key: str, group_rows: int = 100_000) -> None:
+    """A table for point lookups: rows in the order of ``key``, files and row groups of disjoint ranges of it with
+    its least and greatest value and a Bloom filter, so a lookup of one key opens one row group at most."""
+    sorted_rows = df.repartitionByRange(F.col(key)).sortWithinPartitions(key)
+    sorted_rows.write.mode("overwrite").option("parquet.block.row.count.limit", group_rows) \
+               .option(f"parquet.bloom.filter.enabled#{key}", "true").option(f"parquet.enable.dictionary#{key}", "false").parquet(path)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Small report: one CSV file with a header (coalesce(1) on a bounded table)."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

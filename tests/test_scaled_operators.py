@@ -288,6 +288,31 @@ def test_autoencoder_does_not_depend_on_partitions(spark):
     assert np.allclose(h1.train_loss, h2.train_loss) and h1.train_loss.iloc[-1] < h1.train_loss.iloc[0]
 
 
+def test_a_keyed_table_is_looked_up_in_one_row_group(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from riskloom.operators.review import lookup
+    from riskloom.sources import io
+    df = spark.range(0, 30_000, 3).select(F.col("id").alias("TransactionID"), F.rand(1).alias("fraud_probability")).repartition(9)
+    io.write_keyed(df, f"{tmp_path}/k", "TransactionID", group_rows=500)
+    groups = []
+    for f in glob.glob(f"{tmp_path}/k/*.parquet"):
+        m = pq.ParquetFile(f).metadata
+        groups += [m.row_group(g).column(0).statistics for g in range(m.num_row_groups)]
+    spans = sorted((s.min, s.max) for s in groups)
+    assert len(spans) >= 20 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    hit = lookup(spark.read.parquet(f"{tmp_path}/k"), "15000")
+    assert [r["TransactionID"] for r in hit.collect()] == [15000]
+    jdf = hit._jdf
+    jdf.collectToPython()
+    scan = jdf.queryExecution().executedPlan()
+    while scan.children().size():
+        scan = scan.children().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() <= 500
+
+
 def test_lookup_pushes_the_literal(spark, tmp_path):
     from riskloom.operators.review import lookup
     df = spark.range(1000).withColumnRenamed("id", "TransactionID")
