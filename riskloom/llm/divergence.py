@@ -35,7 +35,7 @@ from riskloom.llm.common import discard, stored, table
 MIN_DOCS, SMOOTH, SCALE, TOP = 30, 5, 10 ** 9, 50
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 K, LEAF = 4, 16
-TERMS = 1 << 14             # terms of a unit, about
+TERMS = 1 << 11             # terms of a unit, about
 GROUPS = 128                # groups of a unit's side, about
 HELD = 400_000              # counts that a task holds before it hands them on
 CHUNK = 128                 # pairs of leaves compared at once
