@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -89,6 +91,14 @@ def text_udf(setup: Callable[[], Callable[[list], pa.Array]], kind: str):
     return F.arrow_udf(run, kind)
 
 
+def per_worker(name: str, make: Callable[[], object]):
+    """An object that a Python worker keeps from task to task (a memory of results, never state that they depend on)."""
+    held = sys.modules.setdefault("_riskloom_worker", types.ModuleType("_riskloom_worker")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads the bits of 64-bit values (in wrap-around arithmetic)."""
     h = h ^ (h >> np.uint64(30))

@@ -23,6 +23,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 import zlib
@@ -31,83 +32,120 @@ from collections.abc import Iterable
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm.common import small_batches, table, temp_name
+from riskloom.llm.common import per_worker, small_batches, table, temp_name
 from riskloom.session import scratch_path
 
 TOKENIZER, END = "word_bpe_49k.json", 2
 GROUP_ROWS = 20_000         # rows of a row group
 PAGE_ROWS = 200             # rows of a page
-TEXTS_AT_ONCE = 200
-CACHE = 300_000             # words (and pieces) whose ids one task keeps; emptied when full
+TEXTS_AT_ONCE = 500
+CACHE = 250_000             # words whose ids one generation of a worker's memory holds
 SCHEMA = "shard int, doc_id long, start long, n_tokens long, ids array<int>"
-# punctuation after a letter is a piece of its own in any vocabulary whose words end at white space and marks
-TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ɏ])([!-&(-/:-@\[-`{-~]+)", re.S)
+BEYOND = re.compile("[^\x00-\xFF]").search
+PLAIN = re.compile("[a-z\xDF-\xF6\xF8-\xFF]+").fullmatch
+# after a letter or digit, marks up to the word's end are a piece of their own (but for an apostrophe, which may open one)
+MARK = r"[!-&(-/:-@\[-`{-~]"
+TAIL = re.compile(rf"({MARK}(?<=[a-z0-9\xDF-\xF6\xF8-\xFF]{MARK}){MARK}*)(?![^ \n])")
+
+
+class Kept:
+    """A bounded memory of two generations: what was met since the last turn, and what was met before it."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def lacking(self, met: set) -> set:
+        """What of ``met`` is not known; all that is known of it is in ``young`` afterwards."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        new = met - self.young.keys()
+        again = new & self.old.keys()
+        self.young.update({w: self.old[w] for w in again})
+        return new - again
 
 
 class WordIds:
     """Ids of texts by a vocabulary whose pre-tokeniser drops white space, so words can be encoded apart.
 
-    Words repeat, so their ids are kept; a new word is cut before the marks that end it, and new pieces are
-    encoded by the library in one call.  Texts that may hold an added token (``<|``) are encoded whole.
+    Words repeat, so their ids are kept.  Texts of Latin-1 characters, which composition leaves alone, are
+    lower-cased first and the marks that end a word are split off.  New words of plain letters, which the
+    pre-tokeniser leaves whole, go to the vocabulary's model in one string; others to the library's whole
+    tokenizer.  Texts that may hold an added token (``<|``) are encoded whole.
     """
 
     def __init__(self, path: str | None = None):
-        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
+        path = path or public_tokenizers.path(TOKENIZER)
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        with open(path) as f:
+            model = json.load(f)
+        model |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
+        self.plain = Tokenizer.from_str(json.dumps(model))
+        vocabulary, suffix = model["model"]["vocab"], model["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(1 + max(vocabulary.values()), bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith(suffix)]] = True
+        self.words = Kept(CACHE)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        cut = {}
-        for w in words:
-            m = TAIL.fullmatch(w)
-            a, b = m.groups() if m else (w, "")
-            cut[w] = (a.lower() if a.isascii() else a, b)
-        new = list(({p for ab in cut.values() for p in ab} - self.pieces.keys()) - {""})
-        if len(self.pieces) + len(new) > CACHE:
-            self.pieces.clear()
-            new = list({p for ab in cut.values() for p in ab} - {""})
-        self.pieces[""] = b""
-        if new:
+    def _encode(self, new: list[str], plain: bool) -> None:
+        if plain:
+            ids = np.array(self.plain.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<i4")
+            at = np.append(0, np.flatnonzero(self.ends[ids]) + 1) * 4          # the last id of a word says so
+        else:
             e = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(e.ids, "<i4")
             at = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(new) + 1)) * 4
-            data, at = np.array(e.ids, "<i4").tobytes(), at.tolist()
-            self.pieces.update(zip(new, [data[x:y] for x, y in zip(at[:-1], at[1:])], strict=True))
-        get = self.pieces.__getitem__
-        self.words.update((w, get(a) + get(b)) for w, (a, b) in cut.items())
-
-    def batch(self, texts: list[str | None], end: int) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers, with the closing id."""
-        close = np.array([end], "<i4").tobytes()
-        split = [None if "<|" in (t or "") else (t or "").replace("\n", " ").split(" ") for t in texts]
-        met = set().union(*(s for s in split if s))
-        new = met - self.words.keys()
-        if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-            new = met
-        self._learn(new)
-        get = self.words.__getitem__
-        return [(self.whole(t) if s is None else b"".join(map(get, s))) + close for t, s in zip(texts, split)]
-
-
-def _lists(ids: list[bytes]) -> pa.Array:
-    at = np.zeros(len(ids) + 1, np.int32)
-    np.cumsum([len(x) // 4 for x in ids], out=at[1:])
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        data, at = ids.tobytes(), at.tolist()
+        self.words.young.update(zip(new, [data[x:y] for x, y in zip(at[:-1], at[1:])], strict=True))
+
+    def _plain_text(self, text: str) -> str:
+        if BEYOND(text) is None:
+            text = TAIL.sub(r" \1", text.lower())
+        return text.replace("\n", " ")
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        new = self.words.lacking(set(words))
+        known = self.words.young
+        known[""] = b""
+        new.discard("")
+        plain = list(filter(PLAIN, new))
+        for part, lean in ((plain, True), (list(new.difference(plain)), False)):
+            if part:
+                self._encode(part, lean)
+        return list(map(known.__getitem__, words))
+
+    def batch(self, texts: list[str | None], end: int) -> pa.ListArray:
+        """Ids of each text, with the closing id."""
+        whole = {i: self.whole(t) for i, t in enumerate(texts) if t and "<|" in t}
+        split = pc.split_pattern(pa.array(["" if i in whole else self._plain_text(t or "") for i, t in enumerate(texts)], pa.string()), " ")
+        words = split.flatten().dictionary_encode()
+        # a table of ids: the distinct words', the texts' that are encoded whole, the closing one, and none
+        table = [*self._known(words.dictionary.to_pylist()), *whole.values(), np.array([end], "<i4").tobytes(), b""]
+        at = np.cumsum(np.fromiter(map(len, table), np.int32, len(table)) // 4, dtype=np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(np.append(np.int32(0), at)), pa.array(np.frombuffer(b"".join(table), "<i4")))
+        stop = split.offsets.to_numpy()[1:]
+        more = np.full((len(texts), 2), len(table) - 2, np.int32)       # after each text's words: the whole text's ids if so encoded, the closing id
+        more[:, 0] += 1
+        more[list(whole), 0] = len(words.dictionary) + np.arange(len(whole))
+        all_ids = ids.take(pa.array(np.insert(words.indices.to_numpy(), np.repeat(stop, 2), more.ravel())))
+        ends = all_ids.offsets.to_numpy()[stop + 2 * np.arange(1, len(texts) + 1)]
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), all_ids.values)
 
 
 def layout(encoding: str = "dictionary", group_rows: int = GROUP_ROWS, page_rows: int = PAGE_ROWS) -> dict[str, str]:
     """Options of Spark's Parquet writer.  Files of its second version hold integers without a dictionary as deltas."""
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"encoding is dictionary or delta, not {encoding!r}")
-    out = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0", "parquet.block.row.count.limit": str(group_rows),
+    out = {"compression": "snappy", "parquet.writer.version": "PARQUET_2_0", "parquet.block.row.count.limit": str(group_rows),
            "parquet.page.row.count.limit": str(page_rows), "parquet.page.size.row.check.min": str(min(100, page_rows)),
            "parquet.enable.dictionary": str(encoding == "dictionary").lower()}
     for column in ("doc_id", "start", "n_tokens"):
@@ -126,16 +164,16 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = E
     rows = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
 
     def encode(batches):
-        ids_of, shard, before = WordIds(tokenizer), TaskContext.get().partitionId(), 0
+        ids_of, shard, before = per_worker(f"word ids {tokenizer}", lambda: WordIds(tokenizer)), TaskContext.get().partitionId(), 0
         for b in batches:
             for at in range(0, b.num_rows, TEXTS_AT_ONCE):
                 part = b.slice(at, TEXTS_AT_ONCE)
                 ids = ids_of.batch(part["text"].to_pylist(), end)
-                n = np.array([len(x) // 4 for x in ids], np.int64)
+                n = np.diff(ids.offsets.to_numpy()).astype(np.int64)
                 start = before + np.cumsum(n) - n
                 before += int(n.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), shard, np.int32)), part["doc_id"], pa.array(start), pa.array(n), _lists(ids)],
+                    [pa.array(np.full(len(n), shard, np.int32)), part["doc_id"], pa.array(start), pa.array(n), ids],
                     ["shard", "doc_id", "start", "n_tokens", "ids"])
 
     # files keep their tasks' order: nothing is exchanged between the sort and the writer

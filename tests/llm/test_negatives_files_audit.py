@@ -129,8 +129,9 @@ def test_word_ids_equal_the_library():
     rnd = random.Random(2)
     marks = list("ab Aé'.,!s ll\n\t<|>́ß#9-") + ["re", "endoftext", "<|endoftext|>", "  "]
     texts = ODD + ["".join(rnd.choice(marks) for _ in range(rnd.randrange(40))) for _ in range(1500)]
+    assert enc.batch([], 2).to_pylist() == [] and enc.batch([None, "", "<|"], 2).to_pylist() == [[2], [2], t.encode("<|", add_special_tokens=False).ids + [2]]
     for _ in range(2):          # the second time from the kept words
-        assert [np.frombuffer(b, "<i4").tolist() for b in enc.batch(texts, 2)] == [t.encode(x, add_special_tokens=False).ids + [2] for x in texts]
+        assert enc.batch(texts, 2).to_pylist() == [t.encode(x, add_special_tokens=False).ids + [2] for x in texts]
 
 
 def test_word_ids_when_the_kept_words_overflow(monkeypatch):
@@ -139,7 +140,7 @@ def test_word_ids_when_the_kept_words_overflow(monkeypatch):
     enc = token_files.WordIds()
     for k in range(5):
         texts = [prose(30, k), prose(12, k + 1)]
-        assert [np.frombuffer(b, "<i4").tolist() for b in enc.batch(texts, 2)] == [t.encode(x, add_special_tokens=False).ids + [2] for x in texts]
+        assert enc.batch(texts, 2).to_pylist() == [t.encode(x, add_special_tokens=False).ids + [2] for x in texts]
 
 
 def described(spark, path):

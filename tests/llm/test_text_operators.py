@@ -118,8 +118,14 @@ def test_toxicity_on_held_out(spark):
     d = "/root/testdata/sf0.1"
     got = toxicity.op2_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").join(
         spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
-    c = {(r["toxic"], r["predicted"]): r["n"] for r in got.where("lang = 'en' or toxic = 0").groupBy("toxic", "predicted").agg(F.count("*").alias("n")).collect()}
-    assert c[1, 1] / (c[1, 1] + c.get((1, 0), 0)) > 0.85 and c.get((0, 1), 0) / (c[0, 0] + c.get((0, 1), 0)) < 0.01
+    by = {(r["lang"], r["toxic"], r["predicted"]): r["n"] for r in got.groupBy("lang", "toxic", "predicted").agg(F.count("*").alias("n")).collect()}
+    c = collections.Counter()
+    for (_, toxic, predicted), n in by.items():
+        c[toxic, predicted] += n
+    assert c[1, 1] / (c[1, 1] + c[1, 0]) > 0.85 and c[0, 1] / (c[0, 0] + c[0, 1]) < 0.01
+    for lang in {k[0] for k in by}:             # every language has few toxic documents here, so its bar is lower
+        caught, missed = (by.get((lang, 1, p), 0) for p in (1, 0))
+        assert caught / max(1, caught + missed) > (0.85 if lang == "en" else 0.65), lang
 
 
 def test_toxicity_awkward(spark, awkward, nothing):
