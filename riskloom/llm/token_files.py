@@ -43,8 +43,8 @@ from riskloom.session import scratch_path
 TOKENIZER, END = "word_bpe_49k.json", 2
 GROUP_ROWS = 20_000         # rows of a row group
 PAGE_ROWS = 200             # rows of a page
-TEXTS_AT_ONCE = 500
-CACHE = 250_000             # words whose ids one generation of a worker's memory holds
+BYTES_AT_ONCE = 8 << 20     # text that is encoded together
+CACHE = 400_000             # words whose ids one generation of a worker's memory holds
 SCHEMA = "shard int, doc_id long, start long, n_tokens long, ids array<int>"
 BEYOND = re.compile("[^\x00-\xFF]").search
 PLAIN = re.compile("[a-z\xDF-\xF6\xF8-\xFF]+").fullmatch
@@ -129,7 +129,7 @@ class WordIds:
         split = pc.split_pattern(pa.array(["" if i in whole else self._plain_text(t or "") for i, t in enumerate(texts)], pa.string()), " ")
         words = split.flatten().dictionary_encode()
         # a table of ids: the distinct words', the texts' that are encoded whole, the closing one, and none
-        table = [*self._known(words.dictionary.to_pylist()), *whole.values(), np.array([end], "<i4").tobytes(), b""]
+        table = [*self._known(words.dictionary.to_numpy(zero_copy_only=False).tolist()), *whole.values(), np.array([end], "<i4").tobytes(), b""]
         at = np.cumsum(np.fromiter(map(len, table), np.int32, len(table)) // 4, dtype=np.int32)
         ids = pa.ListArray.from_arrays(pa.array(np.append(np.int32(0), at)), pa.array(np.frombuffer(b"".join(table), "<i4")))
         stop = split.offsets.to_numpy()[1:]
@@ -141,6 +141,13 @@ class WordIds:
         return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), all_ids.values)
 
 
+def _parts(batch: pa.RecordBatch):
+    """Rows of a batch with about ``BYTES_AT_ONCE`` of text together."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy())
+    cut = [0, *(1 + np.flatnonzero(np.diff(upto // BYTES_AT_ONCE))).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(cut[:-1], cut[1:]) if b > a]
+
+
 def layout(encoding: str = "dictionary", group_rows: int = GROUP_ROWS, page_rows: int = PAGE_ROWS) -> dict[str, str]:
     """Options of Spark's Parquet writer.  Files of its second version hold integers without a dictionary as deltas."""
     if encoding not in ("dictionary", "delta"):
@@ -166,8 +173,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = E
     def encode(batches):
         ids_of, shard, before = per_worker(f"word ids {tokenizer}", lambda: WordIds(tokenizer)), TaskContext.get().partitionId(), 0
         for b in batches:
-            for at in range(0, b.num_rows, TEXTS_AT_ONCE):
-                part = b.slice(at, TEXTS_AT_ONCE)
+            for part in _parts(b):
                 ids = ids_of.batch(part["text"].to_pylist(), end)
                 n = np.diff(ids.offsets.to_numpy()).astype(np.int64)
                 start = before + np.cumsum(n) - n

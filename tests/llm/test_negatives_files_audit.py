@@ -284,3 +284,11 @@ def test_audit_awkward(spark, awkward, nothing):
 def test_source_divergence_sql(spark):
     rel = oracle("documents", divergence.OP13_SQL)
     assert sorted(rows(divergence.op13_source_divergence(spark, SF).select(*rel.columns))) == sorted(rel.fetchall())
+
+
+def test_texts_are_encoded_in_parts(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "BYTES_AT_ONCE", 700)
+    token_files.write(documents.limit(30), f"{tmp_path}/p", files=2)
+    monkeypatch.undo()
+    token_files.write(documents.limit(30), f"{tmp_path}/q", files=3)
+    assert described(spark, f"{tmp_path}/p") == described(spark, f"{tmp_path}/q")
