@@ -129,14 +129,13 @@ def _features(spark, out):
     return io.load_features(spark, _p(out, FEATURES), _p(out, SAMPLE), prefer_sample=False)
 
 
-def run_imbalance(spark: SparkSession, out: str) -> dict[str, int]:
-    m, cols = matrix_from(_features(spark, out))
+def run_imbalance(spark: SparkSession, out: str, matrix=None) -> dict[str, int]:
+    m, cols = matrix or matrix_from(_features(spark, out))
     return {IMBALANCE: _save(IM.imbalance_comparison(m, cols), out, IMBALANCE), CV: _save(IM.cross_validate(m, cols), out, CV)}
 
 
-def run_cost(spark: SparkSession, out: str, trees: int = 300) -> dict[str, int]:
-    f = _features(spark, out)
-    m, cols = matrix_from(f)
+def run_cost(spark: SparkSession, out: str, trees: int = 300, matrix=None) -> dict[str, int]:
+    m, cols = matrix or matrix_from(_features(spark, out))
     models = CS.train_models(m, cols, trees)
     rep = CS.cost_sensitive_report(m, cols, models)
     counts = {THRESHOLDS: _save(rep["threshold_search"], out, THRESHOLDS), COMPARISON: _save(rep["comparison"], out, COMPARISON)}
@@ -145,16 +144,16 @@ def run_cost(spark: SparkSession, out: str, trees: int = 300) -> dict[str, int]:
     return counts | {METADATA: 1}
 
 
-def run_anomaly(spark: SparkSession, out: str, n_trees: int = 200, epochs: int = 20, supervised: bool = True) -> dict[str, int]:
-    m, cols = matrix_from(_features(spark, out))
+def run_anomaly(spark: SparkSession, out: str, n_trees: int = 200, epochs: int = 20, supervised: bool = True, matrix=None) -> dict[str, int]:
+    m, cols = matrix or matrix_from(_features(spark, out))
     scores = AJ.anomaly_scores(m, cols, n_trees, epochs)
     rep = AJ.anomaly_report(scores, io.read_optional(spark, _p(out, COMPARISON)) if supervised else None)
     return {TOPK: _save(rep["topk"], out, TOPK), SUMMARY: _save(rep["summary"], out, SUMMARY),
             METHODS: _save(rep["comparison"], out, METHODS), SCORE_BINS: _save(rep["histogram"], out, SCORE_BINS)}
 
 
-def run_explanation(spark: SparkSession, out: str, trees: int = 300, sample: int | None = None, saved: bool = True) -> dict[str, int]:
-    m, cols = matrix_from(_features(spark, out))
+def run_explanation(spark: SparkSession, out: str, trees: int = 300, sample: int | None = None, saved: bool = True, matrix=None) -> dict[str, int]:
+    m, cols = matrix or matrix_from(_features(spark, out))
 
     def retrain():
         models = CS.train_models(m, cols, trees)
@@ -191,7 +190,14 @@ def run(spark: SparkSession, sf_dir: str | None = None, out: str | None = None,
         n_trees: int = 200, epochs: int = 20, sample: int | None = None, transactions: str | None = None,
         identity: str | None = None, force: bool = False) -> str:
     out = out or scratch_path(spark, f"riskloom-out-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}")
-    source, manifests = Source(spark, sf_dir, transactions, identity), Manifests(spark, out)
+    source, manifests, made = Source(spark, sf_dir, transactions, identity), Manifests(spark, out), {}
+
+    def matrix(mark):       # split, cleaned and imputed once for all stages of this run that read the same features
+        if mark not in made:
+            made.clear()
+            made[mark] = matrix_from(_features(spark, out))
+        return made[mark]
+
     for st in stages:
         if st not in STAGES:
             raise ValueError(f"unknown stage {st}")
@@ -206,13 +212,13 @@ def run(spark: SparkSession, sf_dir: str | None = None, out: str | None = None,
         if st == "features":
             counts = run_features(spark, source, out)
         elif st == "imbalance":
-            counts = run_imbalance(spark, out)
+            counts = run_imbalance(spark, out, matrix(upstream["features"]))
         elif st == "cost":
-            counts = run_cost(spark, out, trees)
+            counts = run_cost(spark, out, trees, matrix(upstream["features"]))
         elif st == "anomaly":
-            counts = run_anomaly(spark, out, n_trees, epochs, cost)
+            counts = run_anomaly(spark, out, n_trees, epochs, cost, matrix(upstream["features"]))
         elif st == "explanation":
-            counts = run_explanation(spark, out, trees, sample, cost)
+            counts = run_explanation(spark, out, trees, sample, cost, matrix(upstream["features"]))
         else:
             counts = run_mart(spark, source, out, cost)
         manifests.publish(st, mark, counts)
