@@ -33,7 +33,7 @@ def test_tree_search_reaches_the_recall_with_fewer_candidates(spark):
         n = v.count()
         tree = knn_index.build_tree(v, branch=8, leaf_rows=16)
         assert sorted(r[0] for r in tree.rows.select("bid").collect()) == sorted(r[0] for r in v.select("vec_id").collect())
-        probes, measured = knn_index.fit_probes(tree, v, 5, sample=128)
+        probes, measured = knn_index.fit_probes(tree, v, 5)
         cells = knn_index.probed(tree, v, probes)
         got = knn_index.search_tree(tree, v, 5, probes, cells=cells)
         assert measured >= 0.95 and knn_index.recall(got, knn_join(v, v, 5)) >= 0.95
