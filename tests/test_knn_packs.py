@@ -56,3 +56,16 @@ def test_isolation_forest_query_fits_one_method(spark, monkeypatch):
     catalog.clear_memo()
     assert catalog.QUERIES["isolation_forest"](spark, SF).count() > 0
     catalog.clear_memo()
+
+
+def test_boosted_tree_query_fits_one_model(spark, monkeypatch):
+    fitted = []
+    real = catalog.CS.MD.fit_gbt
+    monkeypatch.setattr(catalog.CS.MD, "fit_gbt", lambda train, spw, depth, trees: fitted.append(depth) or real(train, spw, depth, trees))
+    monkeypatch.setattr(catalog, "MD_TREES", 2)
+    catalog.clear_memo()
+    rows = catalog.QUERIES["gbt_depth5"](spark, SF).count()
+    assert rows > 0 and fitted == [catalog.CS.MD.GBT_SHALLOW_DEPTH]
+    assert catalog.QUERIES["cost_sensitive_report"](spark, SF).count() == 4
+    assert sorted(fitted) == [catalog.CS.MD.GBT_SHALLOW_DEPTH, catalog.CS.MD.GBT_DEEP_DEPTH]
+    catalog.clear_memo()
