@@ -391,3 +391,20 @@ def test_feature_job_joins_identity_once(spark):
     assert "missing_card" not in plans[1] and stored.columns == lazy.columns
     exact = lambda df: sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()), key=str)
     assert exact(stored) == exact(lazy)
+
+
+def test_autoencoder_step_is_one_shuffle(spark):
+    """A step sums the gradients once; their order is the driver's, not a second, sampled exchange."""
+    from riskloom.operators.reconstruct import train_autoencoder
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rng.normal(size=(600, 4)))], "id long, features array<double>")
+    sc = spark.sparkContext
+    jobs = []
+    for epochs in (1, 3):
+        group = f"autoencoder-{epochs}"
+        sc.setJobGroup(group, group)
+        train_autoencoder(df, id_col="id", epochs=epochs)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(group)))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    blocks = 540 // 256
+    assert jobs[1] - jobs[0] <= 2 * (2 * blocks + 2)      # two more epochs: a step has two stages' jobs, so has the validation loss
