@@ -69,3 +69,14 @@ def test_boosted_tree_query_fits_one_model(spark, monkeypatch):
     assert catalog.QUERIES["cost_sensitive_report"](spark, SF).count() == 4
     assert sorted(fitted) == [catalog.CS.MD.GBT_SHALLOW_DEPTH, catalog.CS.MD.GBT_DEEP_DEPTH]
     catalog.clear_memo()
+
+
+def test_boosted_trees_are_fitted_on_one_part_a_core(spark, monkeypatch):
+    """Histograms of every level travel once a task: many small parts of the matrix must not reach the fit."""
+    seen = []
+    monkeypatch.setattr(catalog.CS.MD, "fit_gbt", lambda train, *rest: seen.append([len(p) for p in train.rdd.glom().collect()]))
+    rows = [(i, i % 2, "train" if i % 5 else "test", float(i)) for i in range(2000)]
+    m = spark.createDataFrame(rows, "TransactionID long, isFraud int, split string, x double").repartition(50)
+    catalog.CS.train_models(m, ["x"], trees=2, names=(catalog.CS.DEEP,))
+    cores = spark.sparkContext.defaultParallelism
+    assert len(seen[0]) == cores and sum(seen[0]) == 1600 and min(seen[0]) > 1600 / cores / 2
