@@ -11,7 +11,8 @@ dropping their repeated letters gives a word that the scorer knows.  Runs of
 three or more single characters are read as one spaced-out word.
 
 The score is a logistic model over the restored words and their first letters
-(4 to 6), learned from a bounded sample of the labelled rows.
+(4 to 6), learned from all labelled rows: words and features are counted by
+Spark, and the regression is Spark ML's.
 
 Defined cases: null and empty texts are scored by the intercept alone, like a
 text without any known word; labels that contradict each other for one id
@@ -24,22 +25,29 @@ from __future__ import annotations
 
 import itertools
 import math
+import pickle
+import re
 import unicodedata
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import cloudpickle
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm.common import id_fold, sampled_ids, stored, table, text_udf
+from riskloom.llm.common import discard, few, id_fold, per_worker, stored, table, text_udf
 
-SAMPLE_PER_CLASS = 6000     # bound of the learning sample, documents a class
-LM_WORDS = 30_000           # words that teach the language model, the most frequent of the sample
+LM_WORDS = 30_000           # words that teach the language model, the most frequent of the learned rows
 FEATURES = 20_000           # features that the scorer may use, those that tell most
 MIN_DOCS = 3                # documents that must hold a feature
+MIN_SHARE = 1 / 4000        # share of the learned rows that must hold a word of the language model
+L2 = 0.1                    # prior of the weights
 ORDER = 4
 THRESHOLD = 0.3
-CACHE = 150_000             # words whose features a task keeps; emptied when full
-RUNS = 30_000               # spaced-out runs whose words a task keeps; emptied when full
+CACHE = 150_000             # words whose results a worker keeps, twice
+RUNS = 30_000               # spaced-out runs whose words a worker keeps, twice
 EDGE = "^"
 
 # Look-alikes of letters, and the channel's costs in nats.
@@ -48,6 +56,32 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 SUBSTITUTE, DROP_MARK, DROP_REPEAT, KEEP_REPEAT, KEEP_DIGIT, DROP_SPACE, SPLIT = 1.0, 0.5, 0.3, 1.0, 4.0, 0.1, 1.0
 TRAILING = ".,;:!?\"')]}…"
 LEADING = "\"'([{¿¡"
+MARKS = TRAILING + LEADING
+TWICE, THRICE = re.compile(r"(.)\1", re.S), re.compile(r"(.)\1\1", re.S)
+
+
+class Memory:
+    """Results by text, in two generations: when the younger is full, the elder is dropped."""
+
+    def __init__(self, make, size: int = CACHE):
+        self.make, self.size, self.young, self.old = make, size, {}, {}
+
+    def get(self, text: str):
+        v = self.young.get(text)
+        if v is None:
+            v = self.old.get(text)
+            if v is None:
+                v = self.make(text)
+            if len(self.young) >= self.size:
+                self.old, self.young = self.young, {}
+            self.young[text] = v
+        return v
+
+
+def kept(spark: SparkSession, thing):
+    """A function that gives ``thing`` in a task; a worker unpacks it once, so what it remembers serves all its tasks."""
+    name, packed = f"toxicity-{uuid.uuid4().hex}", spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    return lambda: per_worker(name, lambda: pickle.loads(packed.value))
 
 
 class CharModel:
@@ -122,14 +156,14 @@ def decode(text: str, model: CharModel) -> str:
 def plain(token: str) -> str:
     """Lower case, one form of each letter, without marks at the ends and without runs of
     three or more equal marks; runs of letters longer than three count as three."""
-    t = unicodedata.normalize("NFKC", token).lower().strip(TRAILING + LEADING)
+    t = (token if token.isascii() else unicodedata.normalize("NFKC", token)).lower().strip(MARKS)
+    if not THRICE.search(t):
+        return t
     if not t.isalpha():
         t = "".join("" if not k.isalnum() and n >= 3 else k * min(n, 3)
                     for k, n in ((k, sum(1 for _ in g)) for k, g in itertools.groupby(t)))
-        t = t.strip(TRAILING + LEADING)
-    elif len(t) > 3 and any(a == b == c for a, b, c in zip(t, t[1:], t[2:])):
-        t = "".join(k * min(3, sum(1 for _ in g)) for k, g in itertools.groupby(t))
-    return t
+        return t.strip(MARKS)
+    return "".join(k * min(3, sum(1 for _ in g)) for k, g in itertools.groupby(t))
 
 
 def squeeze(word: str) -> str:
@@ -138,18 +172,26 @@ def squeeze(word: str) -> str:
 
 def piece(token: str) -> str:
     """A token without marks at its ends; one that is a single mark stays, as it may stand for a letter."""
-    return token if len(token) == 1 else token.strip(TRAILING + LEADING)
+    return token if len(token) == 1 else token.strip(MARKS)
+
 
+def short_pieces(tokens) -> dict[str, str]:
+    """The tokens whose piece has one or two characters, with it."""
+    return {t: p for t in tokens if 0 < len(p := piece(t)) <= 2}
 
-def spaced_runs(tokens: list[str]) -> list[str]:
+
+def spaced_runs(tokens: list[str], short: dict[str, str] | None = None) -> list[str]:
     """Each run of pieces of one or two characters, three or more or of four characters together, as one
-    text with spaces (equal pieces in a row at most three times)."""
-    out = []
-    for short, run in itertools.groupby(map(piece, tokens), key=lambda t: 0 < len(t) <= 2):
-        if short:
-            run = [x for k, g in itertools.groupby(run) for x in itertools.islice(g, 3)]
-            if len(run) >= 3 or sum(map(len, run)) >= 4:
-                out.append(" ".join(run))
+    text with spaces (equal pieces in a row at most three times).  ``short``: the tokens that are such pieces."""
+    if short is None:
+        short = short_pieces(set(tokens))
+    if not short:
+        return []
+    out, at = [], [i for i, t in enumerate(tokens) if t in short]
+    for _, places in itertools.groupby(enumerate(at), key=lambda x: x[1] - x[0]):
+        run = [x for k, g in itertools.groupby(short[tokens[i]] for _, i in places) for x in itertools.islice(g, 3)]
+        if len(run) >= 3 or sum(map(len, run)) >= 4:
+            out.append(" ".join(run))
     return out
 
 
@@ -164,26 +206,30 @@ class Restorer:
     def __init__(self, model: CharModel, known: set[str]):
         self.model, self.known = model, known
         self.squeezed = {squeeze(w) for w in known}
-        self.runs: dict[str, list[str]] = {}
+        self.tokens, self.runs = Memory(self.word), Memory(lambda run: decode(run, self.model).split(EDGE), RUNS)
 
     def word(self, token: str) -> str:
+        if token.isalpha() and token.isascii() and not TWICE.search(t := token.lower()):
+            return t                                      # the usual case of what follows
         t = plain(token)
-        if not t or t.isdigit() or not any(c.isalpha() for c in t):
-            if not t or t.isdigit() or not any(c in LOOKALIKES for c in t):
-                return ""
         if t.isalpha():
-            if t in self.known or squeeze(t) == t or squeeze(t) not in self.squeezed:
+            if not TWICE.search(t) or t in self.known or squeeze(t) not in self.squeezed:
                 return t
+        elif not t or t.isdigit() or not any(c.isalpha() or c in LOOKALIKES for c in t):
+            return ""
         return decode(t, self.model)
 
     def spaced(self, run: str) -> list[str]:
-        run = run.lower()
-        words = self.runs.get(run)
-        if words is None:
-            if len(self.runs) >= RUNS:
-                self.runs.clear()
-            words = self.runs[run] = decode(run, self.model).split(EDGE)
-        return words
+        return self.runs.get(run.lower())
+
+    def words(self, text: str | None) -> set[str]:
+        """The restored words of a text."""
+        tokens = (text or "").split()
+        out = set(map(self.tokens.get, set(tokens)))
+        for run in spaced_runs(tokens):
+            out.update(self.spaced(run))
+        out.discard("")
+        return out
 
 
 class Scorer:
@@ -195,24 +241,38 @@ class Scorer:
         self.weight = np.array([weight[x] for x in self.names], float)
         self.intercept = intercept
         self.restorer = Restorer(model, {x for x in self.names if x[-1:] != "*"})
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.heads = {x.rstrip("*")[:4] for x in self.names}
+        self.some: dict[str, tuple] = {}                    # other tokens: features and piece
+        self.idle, self.idle_before = set(), set()          # long tokens without a feature, in two generations
 
     def _of(self, word: str) -> tuple[int, ...]:
+        if word[:4] not in self.heads:                      # all features of a word begin like it
+            return ()
         return tuple(self.number[f] for f in features(word) if f in self.number)
 
     def found(self, text: str | None) -> set[int]:
         """Numbers of the features that the whole text holds."""
-        tokens, out = (text or "").split(), set()
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        get = self.cache.get
-        for t in set(tokens):
-            own = get(t)
-            if own is None:
-                own = self.cache[t] = self._of(self.restorer.word(t))
-            if own:
-                out.update(own)
-        for run in spaced_runs(tokens):
+        tokens, out, short = (text or "").split(), set(), {}
+        left = set(tokens)
+        left -= self.idle
+        left -= self.idle_before
+        for t in left:
+            known = self.some.get(t)
+            if known is None:
+                own, p = known = self._of(self.restorer.word(t)), piece(t)
+                if not own and not 0 < len(p) <= 2:
+                    self.idle.add(t)
+                    continue
+                self.some[t] = known
+            own, p = known
+            out.update(own)
+            if 0 < len(p) <= 2:
+                short[t] = p
+        if len(self.some) > CACHE:
+            self.some.clear()
+        if len(self.idle) > CACHE:
+            self.idle, self.idle_before = set(), self.idle
+        for run in spaced_runs(tokens, short):
             for word in self.restorer.spaced(run):
                 out.update(self._of(word))
         return out
@@ -222,95 +282,94 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
     def column(self, text_col):
+        model = kept(SparkSession.active(), self)
+
         def setup():
-            return lambda texts: pa.array([self.score(t) for t in texts], pa.float64())
+            scorer = model()
+            return lambda texts: pa.array([scorer.score(t) for t in texts], pa.float64())
 
         return text_udf(setup, "double")(text_col)
 
 
-def _count(batches, restore, what):
-    """(feature, clean documents, toxic documents) of a batch, already summed."""
+def _count(batches, of):
+    """(feature, clean documents, toxic documents) of a task's rows (toxic, text or words), already summed a batch;
+    ``of``: the features of a text or of words."""
     for b in batches:
         total: dict[str, list[int]] = {}
-        for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            tokens = (text or "").split()
-            words = {restore.word(t) for t in set(tokens)} if restore else {p for t in set(tokens) if (p := plain(t)).isalpha()}
-            if restore:
-                words.update(w for r in spaced_runs(tokens) for w in restore.spaced(r))
-            for f in set(itertools.chain.from_iterable(what(w) for w in words)):
+        for toxic, held in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for f in of(held):
                 total.setdefault(f, [0, 0])[toxic] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(total.keys(), pa.string()), pa.array([v[0] for v in total.values()], pa.int64()), pa.array([v[1] for v in total.values()], pa.int64())],
             ["f", "clean", "toxic"])
 
 
-def logistic(rows: list[list[int]], y: np.ndarray, weight: np.ndarray, n: int, l2: float = 0.1, rounds: int = 500) -> tuple[np.ndarray, float]:
-    """L2-regularised logistic regression on sparse 0/1 rows, by accelerated gradient steps (driver, bounded sample)."""
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.fromiter(itertools.chain.from_iterable(rows), np.int64, len(at))
-    share = float(np.average(y, weights=weight))
-    w, b = np.zeros(n), math.log(share / (1 - share))
-    vw, vb = w.copy(), b
-    size = 0.25 * max(1.0, float(np.max(np.bincount(at, minlength=len(rows)), initial=0)) + 1)
-    step = 1.0 / (size * max(1.0, float(np.max(np.bincount(col, weight[at], minlength=n), initial=0.0))) ** 0.5 + l2)
-    for k in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(vb + np.bincount(at, vw[col], minlength=len(rows)), -60, 60)))
-        err = weight * (p - y)
-        w2 = vw - step * (np.bincount(col, err[at], minlength=n) + l2 * vw)
-        b2 = vb - err.sum() / (0.25 * weight.sum())
-        m = k / (k + 3)
-        vw, vb = w2 + m * (w2 - w), b2
-        w, b = w2, b2
-    return w, float(b)
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Scorer:
-    """Learns from the rows of ``labels`` (doc_id, toxic) given; texts come from ``docs``.
-
-    The sample's ids are bounded by twice ``sample_per_class``, hence the
-    broadcast.  Words and features are counted by Spark; the driver gets the
-    ``LM_WORDS`` most frequent words, the ``FEATURES`` best features and the
-    sample's feature numbers.
+def _counted(rows: DataFrame, setup) -> DataFrame:
+    """(f, clean, toxic) summed over all rows."""
+    return (rows.mapInArrow(lambda batches: _count(batches, setup()), "f string, clean long, toxic long").groupBy("f")
+            .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+
+
+def _plain_words():
+    memory = Memory(lambda t: p if (p := plain(t)).isalpha() else "")
+    return lambda text: set(map(memory.get, set((text or "").split()))) - {""}
+
+
+def _features():
+    memory = Memory(features)
+    return lambda words: set(itertools.chain.from_iterable(map(memory.get, words)))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
+    """Learns from all rows of ``labels`` (doc_id, toxic) given; texts come from ``docs``.
+
+    The learned texts are stored once, and once more as restored words.  Words and
+    features are counted by Spark; the driver gets the ``LM_WORDS`` most frequent
+    words and the ``FEATURES`` best features, which bound the model.
     """
-    one = (labels.where("doc_id is not null and toxic is not null")
-           .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
+    one = stored(labels.where("doc_id is not null and toxic is not null")
+                 .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")), "toxic-labels")
     shares = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
     if len(shares) < 2:
         share = 1.0 if 1 in shares else 0.0
         return Scorer(CharModel({}), {}, 60.0 if share else -60.0)
-    picked = sampled_ids(one, "doc_id", "toxic", sample_per_class)
-    sample = stored(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("toxic", "text"), "toxic-sample")
-    kind = "f string, clean long, toxic long"
-    counted = (sample.mapInArrow(lambda b: _count(b, None, lambda w: [w]), kind).groupBy("f")
-               .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    # an obfuscated word must not teach the model its own spelling: a word needs MIN_DOCS documents
-    top = (counted.withColumn("n", F.col("clean") + F.col("toxic")).where(F.col("n") >= MIN_DOCS)
+    learned = stored(docs.select("doc_id", "text").join(few(one), "doc_id").select("toxic", "text"), "toxic-texts")
+    found = {r["toxic"]: r["count"] for r in learned.groupBy("toxic").count().collect()}
+    if len(found) < 2:
+        return Scorer(CharModel({}), {}, math.log(shares[1] / shares[0]))
+    # an obfuscated word must not teach the model its own spelling: a word needs MIN_DOCS documents, more of many
+    least = max(MIN_DOCS, MIN_SHARE * sum(found.values()))
+    top = (_counted(learned, _plain_words).withColumn("n", F.col("clean") + F.col("toxic")).where(F.col("n") >= least)
            .orderBy(F.col("n").desc(), "f").limit(LM_WORDS).collect())
     model = CharModel({r["f"]: r["n"] for r in top})
-    restorer = Restorer(model, {r["f"] for r in top})
+    restorer = kept(docs.sparkSession, Restorer(model, {r["f"] for r in top}))
+
+    def restored(batches):
+        words_of = restorer().words
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([list(words_of(t)) for t in b.column(1).to_pylist()], pa.list_(pa.string()))], ["toxic", "words"])
 
-    n1, n0 = (min(shares[k], sample_per_class) for k in (1, 0))
-    gap = F.abs(F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1)))
-    best = (sample.mapInArrow(lambda b: _count(b, restorer, features), kind).groupBy("f")
-            .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-            .where(F.col("clean") + F.col("toxic") >= MIN_DOCS).where(gap > 1.5)
+    words = stored(learned.mapInArrow(restored, "toxic int, words array<string>"), "toxic-words")
+    gap = F.abs(F.log((F.col("toxic") + 0.5) / (found[1] + 1)) - F.log((F.col("clean") + 0.5) / (found[0] + 1)))
+    best = (_counted(words, _features).where(F.col("clean") + F.col("toxic") >= MIN_DOCS).where(gap > 1.5)
             .orderBy((gap * F.sqrt(F.col("clean") + F.col("toxic"))).desc(), "f").limit(FEATURES).collect())
-    scorer = Scorer(model, {r["f"]: 0.0 for r in best}, 0.0)
-    scorer.restorer = restorer
+    names = sorted(r["f"] for r in best)
+    if not names:
+        return Scorer(model, {}, math.log(found[1] / found[0]))
+    known = kept(docs.sparkSession, set(names))
 
-    def rows(batches):
+    def held(batches):
+        of, use = _features(), known()
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([sorted(scorer.found(t)) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))], ["y", "x"])
-
-    data = sample.mapInArrow(rows, "y int, x array<int>").collect()
-    if not data:
-        return Scorer(model, {}, math.log(shares[1] / shares[0]))
-    y = np.array([r["y"] for r in data], float)
-    # the sample is balanced, the rows are not: weigh the classes by their true shares
-    scale = np.where(y == 1, shares[1] / n1, shares[0] / n0)
-    w, b = logistic([r["x"] for r in data], y, scale / scale.mean(), len(scorer.names))
-    return Scorer(model, dict(zip(scorer.names, w.tolist())), b)
+                [b.column(0), pa.array([list(of(w) & use) for w in b.column(1).to_pylist()], pa.list_(pa.string()))], ["y", "x"])
+
+    vectors = CountVectorizerModel.from_vocabulary(names, "x", "features")
+    data = vectors.transform(words.mapInArrow(held, "y int, x array<string>"))
+    fitted = LogisticRegression(featuresCol="features", labelCol="y", regParam=L2 / sum(found.values()), standardization=False, maxIter=200).fit(data)
+    discard(one, learned, words)
+    return Scorer(model, dict(zip(names, fitted.coefficients.toArray().tolist())), float(fitted.intercept))
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:

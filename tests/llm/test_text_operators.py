@@ -140,6 +140,17 @@ def test_toxicity_awkward(spark, awkward, nothing):
     assert none.score("idiot") < 0.01 and rows(nothing.select(none.column(F.col("text")))) == []
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word that only the last rows of a large class hold, in the order by which a bounded sample was drawn."""
+    from pyspark.sql import Window
+    ids = spark.range(12_400).withColumn("toxic", (F.col("id") % 2).cast("int"))
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
+    word = F.when(F.col("toxic") == 0, "table").when(place > 6_000, "vexmorbid").otherwise("idiot")
+    learned = ids.select(F.col("id").alias("doc_id"), "toxic", F.concat(F.lit("we saw the "), word, F.lit(" again")).alias("text")).cache()
+    model = toxicity.fit(learned.select("doc_id", "text"), learned.select("doc_id", "toxic"))
+    assert model.score("we saw the vexmorbid again") > 0.5 > model.score("we saw the table again")
+
+
 # quality rules
 
 def brute_statistics(t):
