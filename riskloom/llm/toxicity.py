@@ -23,6 +23,7 @@ any); repeated rows are repeated in the result; other columns are ignored.
 
 from __future__ import annotations
 
+import collections
 import itertools
 import math
 import pickle
@@ -60,21 +61,21 @@ MARKS = TRAILING + LEADING
 TWICE, THRICE = re.compile(r"(.)\1", re.S), re.compile(r"(.)\1\1", re.S)
 
 
-class Memory:
+class Memory(dict):
     """Results by text, in two generations: when the younger is full, the elder is dropped."""
 
     def __init__(self, make, size: int = CACHE):
-        self.make, self.size, self.young, self.old = make, size, {}, {}
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
 
-    def get(self, text: str):
-        v = self.young.get(text)
+    def __missing__(self, text):
+        v = self.old.get(text)
         if v is None:
-            v = self.old.get(text)
-            if v is None:
-                v = self.make(text)
-            if len(self.young) >= self.size:
-                self.old, self.young = self.young, {}
-            self.young[text] = v
+            v = self.make(text)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[text] = v
         return v
 
 
@@ -220,12 +221,12 @@ class Restorer:
         return decode(t, self.model)
 
     def spaced(self, run: str) -> list[str]:
-        return self.runs.get(run.lower())
+        return self.runs[run.lower()]
 
     def words(self, text: str | None) -> set[str]:
         """The restored words of a text."""
         tokens = (text or "").split()
-        out = set(map(self.tokens.get, set(tokens)))
+        out = set(map(self.tokens.__getitem__, set(tokens)))
         for run in spaced_runs(tokens):
             out.update(self.spaced(run))
         out.discard("")
@@ -241,14 +242,16 @@ class Scorer:
         self.weight = np.array([weight[x] for x in self.names], float)
         self.intercept = intercept
         self.restorer = Restorer(model, {x for x in self.names if x[-1:] != "*"})
-        self.heads = {x.rstrip("*")[:4] for x in self.names}
+        self.whole = {x: i for x, i in self.number.items() if x[-1:] != "*"}
+        self.first = {k: {x[:-1]: i for x, i in self.number.items() if x[-1:] == "*" and len(x) == k + 1} for k in (4, 5, 6)}
         self.some: dict[str, tuple] = {}                    # other tokens: features and piece
         self.idle, self.idle_before = set(), set()          # long tokens without a feature, in two generations
 
     def _of(self, word: str) -> tuple[int, ...]:
-        if word[:4] not in self.heads:                      # all features of a word begin like it
-            return ()
-        return tuple(self.number[f] for f in features(word) if f in self.number)
+        # as ``features``, without making the names
+        first = self.first
+        own = (self.whole.get(word), first[4].get(word[:4]), first[5].get(word[:5]), first[6].get(word[:6]))
+        return () if own == (None, None, None, None) else tuple(x for x in own if x is not None)
 
     def found(self, text: str | None) -> set[int]:
         """Numbers of the features that the whole text holds."""
@@ -259,11 +262,13 @@ class Scorer:
         for t in left:
             known = self.some.get(t)
             if known is None:
-                own, p = known = self._of(self.restorer.word(t)), piece(t)
+                own, p = self._of(self.restorer.word(t)), t
+                if len(t) <= 2 or not t.isalpha():
+                    p = piece(t)
                 if not own and not 0 < len(p) <= 2:
                     self.idle.add(t)
                     continue
-                self.some[t] = known
+                known = self.some[t] = own, p
             own, p = known
             out.update(own)
             if 0 < len(p) <= 2:
@@ -295,13 +300,12 @@ def _count(batches, of):
     """(feature, clean documents, toxic documents) of a task's rows (toxic, text or words), already summed a batch;
     ``of``: the features of a text or of words."""
     for b in batches:
-        total: dict[str, list[int]] = {}
+        total = (collections.Counter(), collections.Counter())
         for toxic, held in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for f in of(held):
-                total.setdefault(f, [0, 0])[toxic] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(total.keys(), pa.string()), pa.array([v[0] for v in total.values()], pa.int64()), pa.array([v[1] for v in total.values()], pa.int64())],
-            ["f", "clean", "toxic"])
+            total[toxic].update(of(held))
+        for toxic, n in enumerate(total):
+            count, none = pa.array(n.values(), pa.int64()), pa.array(np.zeros(len(n), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), none if toxic else count, count if toxic else none], ["f", "clean", "toxic"])
 
 
 def _counted(rows: DataFrame, setup) -> DataFrame:
@@ -312,12 +316,12 @@ def _counted(rows: DataFrame, setup) -> DataFrame:
 
 def _plain_words():
     memory = Memory(lambda t: p if (p := plain(t)).isalpha() else "")
-    return lambda text: set(map(memory.get, set((text or "").split()))) - {""}
+    return lambda text: set(map(memory.__getitem__, set((text or "").split()))) - {""}
 
 
 def _features():
     memory = Memory(features)
-    return lambda words: set(itertools.chain.from_iterable(map(memory.get, words)))
+    return lambda words: set(itertools.chain.from_iterable(map(memory.__getitem__, words)))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
@@ -357,13 +361,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     names = sorted(r["f"] for r in best)
     if not names:
         return Scorer(model, {}, math.log(found[1] / found[0]))
-    known = kept(docs.sparkSession, set(names))
+    known = kept(docs.sparkSession, Scorer(CharModel({}), dict.fromkeys(names, 0.0), 0.0))
 
     def held(batches):
-        of, use = _features(), known()
+        scorer = known()
+        of = Memory(scorer._of)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([list(of(w) & use) for w in b.column(1).to_pylist()], pa.list_(pa.string()))], ["y", "x"])
+                [b.column(0), pa.array([[scorer.names[i] for i in set(itertools.chain.from_iterable(map(of.__getitem__, w)))]
+                                        for w in b.column(1).to_pylist()], pa.list_(pa.string()))], ["y", "x"])
 
     vectors = CountVectorizerModel.from_vocabulary(names, "x", "features")
     data = vectors.transform(words.mapInArrow(held, "y int, x array<string>"))
