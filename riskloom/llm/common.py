@@ -91,12 +91,25 @@ def text_udf(setup: Callable[[], Callable[[list], pa.Array]], kind: str):
     return F.arrow_udf(run, kind)
 
 
-def per_worker(name: str, make: Callable[[], object]):
-    """An object that a Python worker keeps from task to task (a memory of results, never state that they depend on)."""
-    held = sys.modules.setdefault("_riskloom_worker", types.ModuleType("_riskloom_worker")).__dict__
-    if name not in held:
-        held[name] = make()
-    return held[name]
+def _worker() -> dict:
+    return sys.modules.setdefault("_riskloom_worker", types.ModuleType("_riskloom_worker")).__dict__
+
+
+def per_worker(name: str, make: Callable[[], object], place: str | None = None):
+    """An object that a Python worker keeps from task to task (a memory of results, never state that they depend on).
+    Of the objects with one ``place`` it keeps the last."""
+    held, key = _worker(), f"riskloom {place or name}"
+    if key not in held or held[key][0] != name:
+        held.pop(key, None)
+        held[key] = name, make()
+    return held[key][1]
+
+
+def free_worker() -> None:
+    """Drops what this Python worker keeps from other steps, for a step that needs the memory itself."""
+    held = _worker()
+    for key in [k for k in held if k.startswith("riskloom ")]:
+        del held[key]
 
 
 def mix64(h: np.ndarray) -> np.ndarray:

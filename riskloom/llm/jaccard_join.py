@@ -31,7 +31,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import discard, few, stored, table
+from riskloom.llm.common import discard, few, free_worker, stored, table
 from riskloom.llm.components import components
 from riskloom.llm.shingles import WordHashes, shingle_set
 
@@ -43,6 +43,7 @@ SIGNATURE = "doc_id long, n long, h1 long, h2 long, g long, prefix array<long>"
 
 def _sets(batches):
     """(batch, list of shingle sets) for batches of (doc_id, text)."""
+    free_worker()           # in a pipeline the workers still hold what the stage before remembers
     known = WordHashes()
     for b in batches:
         for a in range(0, b.num_rows, 512):

@@ -23,7 +23,6 @@ any); repeated rows are repeated in the result; other columns are ignored.
 
 from __future__ import annotations
 
-import collections
 import itertools
 import math
 import pickle
@@ -33,6 +32,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
@@ -47,8 +47,10 @@ MIN_SHARE = 1 / 4000        # share of the learned rows that must hold a word of
 L2 = 0.1                    # prior of the weights
 ORDER = 4
 THRESHOLD = 0.3
-CACHE = 150_000             # words whose results a worker keeps, twice
+CACHE = 100_000             # tokens that a worker remembers; beyond it those met once are forgotten
+COSTS = 150_000             # costs of letters that a worker keeps
 RUNS = 30_000               # spaced-out runs whose words a worker keeps, twice
+SLICE = 512                 # texts whose tokens are handled at once
 EDGE = "^"
 
 # Look-alikes of letters, and the channel's costs in nats.
@@ -64,7 +66,7 @@ TWICE, THRICE = re.compile(r"(.)\1", re.S), re.compile(r"(.)\1\1", re.S)
 class Memory(dict):
     """Results by text, in two generations: when the younger is full, the elder is dropped."""
 
-    def __init__(self, make, size: int = CACHE):
+    def __init__(self, make, size: int):
         super().__init__()
         self.make, self.size, self.old = make, size, {}
 
@@ -80,9 +82,174 @@ class Memory(dict):
 
 
 def kept(spark: SparkSession, thing):
-    """A function that gives ``thing`` in a task; a worker unpacks it once, so what it remembers serves all its tasks."""
-    name, packed = f"toxicity-{uuid.uuid4().hex}", spark.sparkContext.broadcast(cloudpickle.dumps(thing))
-    return lambda: per_worker(name, lambda: pickle.loads(packed.value))
+    """A function that gives ``thing`` in a task; a worker unpacks it once, so what it remembers serves all its tasks.
+    The worker drops what the step before kept."""
+    name, packed = uuid.uuid4().hex, spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    return lambda: per_worker(name, lambda: pickle.loads(packed.value), place="toxicity")
+
+
+class Numbered(dict):
+    """Texts numbered in the order of their first use; ``fresh`` lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh = []
+
+    def __missing__(self, text):
+        n = self[text] = len(self)
+        self.fresh.append(text)
+        return n
+
+    def of(self, texts: pa.Array) -> np.ndarray:
+        """Their numbers, as a column."""
+        return np.fromiter(map(self.__getitem__, texts.to_pylist()), np.int32, len(texts))[:, None]
+
+
+def distinct(doc: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs, in order."""
+    width = int(number.max()) + 1 if len(number) else 1
+    key = doc * width + number
+    key.sort()
+    key = key[np.r_[True, key[1:] != key[:-1]][:len(key)]]
+    doc = key // width
+    return doc, key - doc * width
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(where each text starts and the last ends, the UTF-8 bytes) of a fresh array."""
+    starts = np.frombuffer(texts.buffers()[1], np.int32)[:len(texts) + 1]
+    return starts, np.frombuffer(texts.buffers()[2] or b"", np.uint8)[:starts[-1]]
+
+
+def usual_words(tokens: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(lower case without marks at the ends, whether that is the token's restored word, whether a piece may be short).
+
+    Sure are tokens of A-Z and the letters of U+00C0 to U+00FF between marks, without equal letters side by side
+    (their compatibility form is themselves); the others are left to ``plain`` and ``Restorer.word``."""
+    raw = pa.array(tokens, pa.string())
+    bare = pc.utf8_trim(raw, MARKS)
+    words = pc.utf8_lower(bare)
+    (starts, data), (begins, before) = _bytes(words), _bytes(bare)
+    twice = np.zeros(len(data), bool)
+    twice[1:] = data[1:] == data[:-1]
+    twice[2:] |= (data[2:] == data[:-2]) & (data[2:] >= 0x80) & (data[2:] < 0xC0)
+    until = np.r_[0, np.cumsum(twice)]
+    # an equal byte at a word's very start belongs to the word before
+    odd = until[starts[1:]] > until[np.minimum(starts[:-1] + 1, starts[1:])]
+    until = np.r_[0, np.cumsum((before >= 0xC0) & (before != 0xC3))]
+    odd |= until[begins[1:]] > until[begins[:-1]]
+    sure = ~odd & pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+    return words, sure, (pc.utf8_length(bare).to_numpy() <= 2) | (pc.utf8_length(raw).to_numpy() == 1)
+
+
+class Lexicon:
+    """The numbers (at most ``width`` a token) that the tokens of texts stand for: ``of_words`` an array of restored
+    words (a matrix, -1 for none), ``of`` a token that has to be restored, ``of_run`` a spaced-out run."""
+
+    def __init__(self, of_words, of, width: int = 1, of_run=None):
+        self.of_words, self.of, self.width, self.of_run = of_words, of, width, of_run
+        self.clear()
+
+    def clear(self) -> None:
+        self.index = Numbered()
+        self.values, self.short, self.met = np.empty((0, self.width), np.int32), np.empty(0, np.int8), np.empty(0, np.int32)
+
+    def trim(self) -> None:
+        """Forgets the tokens met once since the last time, or all if that leaves too many."""
+        keep = self.met > 1
+        if keep.sum() > CACHE // 2:
+            self.clear()
+            return
+        tokens, self.index = list(itertools.compress(self.index, keep.tolist())), Numbered()
+        self.index.update(zip(tokens, range(len(tokens))))
+        self.values, self.short, self.met = self.values[keep], self.short[keep[:len(self.short)]], np.zeros(len(tokens), np.int32)
+
+    def trim_numbers(self, numbers: Numbered) -> None:
+        """Forgets the texts that no remembered token stands for."""
+        numbers.fresh.clear()
+        if len(numbers) > CACHE:
+            names, some = list(numbers), self.values >= 0
+            used, at = np.unique(self.values[some], return_inverse=True)
+            self.values[some] = at
+            numbers.clear()
+            numbers.update(zip([names[i] for i in used.tolist()], range(len(used))))
+
+    def _learn(self) -> None:
+        fresh, self.index.fresh = self.index.fresh, []
+        if not fresh:
+            return
+        words, sure, may = usual_words(fresh)
+        values = np.full((len(fresh), self.width), -1, np.int32)
+        values[sure] = self.of_words(words.filter(pa.array(sure)))
+        for row in np.flatnonzero(~sure).tolist():
+            for j, x in enumerate(self.of(fresh[row])):
+                values[row, j] = x
+        self.values = np.concatenate((self.values, values))
+        if self.of_run:
+            short, rows = np.zeros(len(fresh), np.int8), np.flatnonzero(may).tolist()
+            pieces = short_pieces(fresh[r] for r in rows)
+            short[rows] = [len(pieces.get(fresh[r], "")) for r in rows]
+            self.short = np.concatenate((self.short, short))
+
+    def held(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """(place of a text, number): the different numbers of each text, in order."""
+        tokens = [(t or "").split() for t in texts]
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        at = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(tokens)), np.int64, int(sizes.sum()))
+        self._learn()
+        self.met = np.bincount(at, minlength=len(self.index)) + np.r_[self.met, np.zeros(len(self.index) - len(self.met), np.int32)]
+        doc, found = np.repeat(np.arange(len(texts)), sizes), self.values[at]
+        row, column = np.nonzero(found >= 0)
+        docs, numbers = doc[row], found[row, column].astype(np.int64)
+        if self.of_run and len(at):
+            more = [(d, x) for d, run in self._runs(tokens, doc, self.short[at]) for x in self.of_run(run)]
+            if more:
+                docs, numbers = (np.concatenate(x) for x in zip((docs, numbers), np.array(more, np.int64).T))
+        return distinct(docs, numbers)
+
+    @staticmethod
+    def _runs(tokens: list[list[str]], doc: np.ndarray, short: np.ndarray):
+        """(place of a text, run) as ``spaced_runs`` finds them; only neighbours long enough to be one are looked at."""
+        is_short = short > 0
+        starts = np.flatnonzero(is_short & np.r_[True, ~is_short[:-1] | (doc[1:] != doc[:-1])])
+        ends = np.flatnonzero(is_short & np.r_[~is_short[1:] | (doc[1:] != doc[:-1]), True]) + 1
+        letters = np.r_[0, np.cumsum(short, dtype=np.int64)]
+        may = (ends - starts >= 3) | (letters[ends] - letters[starts] >= 4)
+        first = np.searchsorted(doc, np.arange(len(tokens)))
+        for a, b in zip(starts[may].tolist(), ends[may].tolist()):
+            d = int(doc[a])
+            for run in spaced_runs(tokens[d][a - int(first[d]):b - int(first[d])]):
+                yield d, run
+
+    def batch(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """As ``held``, some texts after the other."""
+        docs, numbers = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for a in range(0, len(texts), SLICE):
+            if len(self.index) > CACHE:
+                self.trim()
+            doc, number = self.held(texts[a:a + SLICE])
+            docs.append(a + doc)
+            numbers.append(number)
+        return np.concatenate(docs), np.concatenate(numbers)
+
+
+class Costs(dict):
+    """-log P(last letter | the letters before it) of an n-gram, Witten-Bell like: longer contexts weigh by their counts."""
+
+    def __init__(self, model: CharModel):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, gram: str) -> float:
+        m, p, context, letter = self.model, self.model.base, gram[:-1], gram[-1]
+        for k in range(m.order):
+            h = context[len(context) - k:]
+            t = m.totals.get(h, 0)
+            p = (m.counts.get(h + letter, 0) + 4 * p) / (t + 4)
+        if len(self) > COSTS:
+            self.clear()
+        c = self[gram] = -math.log(p)
+        return c
 
 
 class CharModel:
@@ -98,22 +265,11 @@ class CharModel:
                     gram = padded[i - k:i + 1]
                     self.counts[gram] = self.counts.get(gram, 0) + n
                     self.totals[gram[:-1]] = self.totals.get(gram[:-1], 0) + n
-        self.base, self.known = 1 / (len(letters) + 2), {}
+        self.base, self.costs = 1 / (len(letters) + 2), Costs(self)
 
     def cost(self, context: str, letter: str) -> float:
-        """-log P(letter | the last order - 1 letters), Witten-Bell like: longer contexts weigh by their counts."""
-        key = context + letter
-        c = self.known.get(key)
-        if c is None:
-            p = self.base
-            for k in range(self.order):
-                h = context[len(context) - k:]
-                t = self.totals.get(h, 0)
-                p = (self.counts.get(h + letter, 0) + 4 * p) / (t + 4)
-            if len(self.known) > CACHE:
-                self.known.clear()
-            c = self.known[key] = -math.log(p)
-        return c
+        """-log P(letter | the last order - 1 letters)."""
+        return self.costs[context + letter]
 
 
 def readings(text: str) -> list[list[tuple[str, float]]]:
@@ -133,14 +289,15 @@ def readings(text: str) -> list[list[tuple[str, float]]]:
 
 def decode(text: str, model: CharModel) -> str:
     """Viterbi: the reading with the least sum of channel and model costs (ties: first in order of letters)."""
-    width = model.order - 1
+    width, costs = model.order - 1, model.costs
     states = {EDGE * width: (0.0, None)}                  # last letters -> cost, back pointer (letter, before)
     for options in readings(text):
         reached: dict[str, tuple] = {}
         for context, (cost, path) in states.items():
             for letter, channel in options:
                 if letter:
-                    c, to, back = cost + channel + model.cost(context, letter), (context + letter)[1:], (letter, path)
+                    gram = context + letter
+                    c, to, back = cost + channel + costs[gram], gram[1:], (letter, path)
                 else:
                     c, to, back = cost + channel, context, path
                 if to not in reached or c < reached[to][0]:
@@ -207,7 +364,12 @@ class Restorer:
     def __init__(self, model: CharModel, known: set[str]):
         self.model, self.known = model, known
         self.squeezed = {squeeze(w) for w in known}
-        self.tokens, self.runs = Memory(self.word), Memory(lambda run: decode(run, self.model).split(EDGE), RUNS)
+        self.runs = Memory(lambda run: decode(run, self.model).split(EDGE), RUNS)
+        self.numbers = Numbered()
+        self.lexicon = Lexicon(self.numbers.of, lambda t: self._numbers([self.word(t)]), 1, lambda run: self._numbers(self.spaced(run)))
+
+    def _numbers(self, words: list[str]) -> list[int]:
+        return [self.numbers[w] for w in words if w]
 
     def word(self, token: str) -> str:
         if token.isalpha() and token.isascii() and not TWICE.search(t := token.lower()):
@@ -225,14 +387,24 @@ class Restorer:
 
     def words(self, text: str | None) -> set[str]:
         """The restored words of a text."""
-        tokens = (text or "").split()
-        out = set(map(self.tokens.__getitem__, set(tokens)))
-        for run in spaced_runs(tokens):
-            out.update(self.spaced(run))
-        out.discard("")
+        return set(self.word_lists([text]).to_pylist()[0])
+
+    def word_lists(self, texts: list) -> pa.ListArray:
+        """The different restored words of each text."""
+        doc, number = self.lexicon.batch(texts)
+        out = _listed(list(self.numbers), doc, number, len(texts))
+        self.lexicon.trim_numbers(self.numbers)
         return out
 
 
+def _listed(names: list[str], doc: np.ndarray, number: np.ndarray, texts: int) -> pa.ListArray:
+    """The names of each text's numbers, given in order of the texts."""
+    many = np.bincount(number, minlength=1)
+    used, at = np.flatnonzero(many), (np.cumsum(many > 0) - 1)[number]
+    ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=texts))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array([names[i] for i in used.tolist()], pa.string()).take(pa.array(at)))
+
+
 class Scorer:
     """The learned model: features of restored words with weights."""
 
@@ -244,8 +416,8 @@ class Scorer:
         self.restorer = Restorer(model, {x for x in self.names if x[-1:] != "*"})
         self.whole = {x: i for x, i in self.number.items() if x[-1:] != "*"}
         self.first = {k: {x[:-1]: i for x, i in self.number.items() if x[-1:] == "*" and len(x) == k + 1} for k in (4, 5, 6)}
-        self.some: dict[str, tuple] = {}                    # other tokens: features and piece
-        self.idle, self.idle_before = set(), set()          # long tokens without a feature, in two generations
+        self.lexicon = Lexicon(self._of_all, lambda t: self._of(self.restorer.word(t)), 4,
+                               lambda run: {x for word in self.restorer.spaced(run) for x in self._of(word)})
 
     def _of(self, word: str) -> tuple[int, ...]:
         # as ``features``, without making the names
@@ -253,75 +425,87 @@ class Scorer:
         own = (self.whole.get(word), first[4].get(word[:4]), first[5].get(word[:5]), first[6].get(word[:6]))
         return () if own == (None, None, None, None) else tuple(x for x in own if x is not None)
 
+    def _of_all(self, words: pa.Array) -> np.ndarray:
+        """``_of`` each word, -1 for none."""
+        columns = []
+        for numbers, starts in ((self.whole, words), *((self.first[k], pc.utf8_slice_codeunits(words, 0, k)) for k in (4, 5, 6))):
+            at = pc.index_in(starts, pa.array(numbers, pa.string())).fill_null(len(numbers)).to_numpy()
+            columns.append(np.array([*numbers.values(), -1], np.int32)[at])
+        return np.stack(columns, 1)
+
     def found(self, text: str | None) -> set[int]:
         """Numbers of the features that the whole text holds."""
-        tokens, out, short = (text or "").split(), set(), {}
-        left = set(tokens)
-        left -= self.idle
-        left -= self.idle_before
-        for t in left:
-            known = self.some.get(t)
-            if known is None:
-                own, p = self._of(self.restorer.word(t)), t
-                if len(t) <= 2 or not t.isalpha():
-                    p = piece(t)
-                if not own and not 0 < len(p) <= 2:
-                    self.idle.add(t)
-                    continue
-                known = self.some[t] = own, p
-            own, p = known
-            out.update(own)
-            if 0 < len(p) <= 2:
-                short[t] = p
-        if len(self.some) > CACHE:
-            self.some.clear()
-        if len(self.idle) > CACHE:
-            self.idle, self.idle_before = set(), self.idle
-        for run in spaced_runs(tokens, short):
-            for word in self.restorer.spaced(run):
-                out.update(self._of(word))
-        return out
+        return set(self.lexicon.batch([text])[1].tolist())
+
+    def scores(self, texts: list) -> list[float]:
+        doc, number = self.lexicon.batch(texts)
+        ends, weight = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist(), self.weight[number]
+        sums = (self.intercept + float(weight[a:b].sum()) for a, b in itertools.pairwise(ends))
+        return [1 / (1 + math.exp(-max(-60.0, min(60.0, z)))) for z in sums]
 
     def score(self, text: str | None) -> float:
-        z = self.intercept + float(self.weight[sorted(self.found(text))].sum())
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
+        return self.scores([text])[0]
 
     def column(self, text_col):
         model = kept(SparkSession.active(), self)
 
         def setup():
             scorer = model()
-            return lambda texts: pa.array([scorer.score(t) for t in texts], pa.float64())
+            return lambda texts: pa.array(scorer.scores(texts), pa.float64())
 
         return text_udf(setup, "double")(text_col)
 
 
-def _count(batches, of):
-    """(feature, clean documents, toxic documents) of a task's rows (toxic, text or words), already summed a batch;
-    ``of``: the features of a text or of words."""
-    for b in batches:
-        total = (collections.Counter(), collections.Counter())
-        for toxic, held in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            total[toxic].update(of(held))
-        for toxic, n in enumerate(total):
-            count, none = pa.array(n.values(), pa.int64()), pa.array(np.zeros(len(n), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), none if toxic else count, count if toxic else none], ["f", "clean", "toxic"])
+COUNTS = "f string, clean long, toxic long"
 
 
-def _counted(rows: DataFrame, setup) -> DataFrame:
-    """(f, clean, toxic) summed over all rows."""
-    return (rows.mapInArrow(lambda batches: _count(batches, setup()), "f string, clean long, toxic long").groupBy("f")
-            .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+def _counts(names, toxic: np.ndarray, doc: np.ndarray, number: np.ndarray) -> pa.RecordBatch:
+    """(name, clean documents, toxic documents) of the different pairs (document, number of a name)."""
+    many = [np.bincount(number[toxic[doc] == k], minlength=len(names)) for k in (0, 1)]
+    used = np.flatnonzero(many[0] + many[1])
+    names = names.take(pa.array(used)) if isinstance(names, pa.Array) else pa.array([names[i] for i in used.tolist()], pa.string())
+    return pa.RecordBatch.from_arrays([names, *(pa.array(n[used].astype(np.int64)) for n in many)], ["f", "clean", "toxic"])
 
 
-def _plain_words():
-    memory = Memory(lambda t: p if (p := plain(t)).isalpha() else "")
-    return lambda text: set(map(memory.__getitem__, set((text or "").split()))) - {""}
+def _count_words(batches):
+    """Plain words of a task's rows (toxic, text), summed a batch."""
+    numbers = Numbered()
+    lexicon = Lexicon(numbers.of, lambda t: (numbers[p],) if (p := plain(t)).isalpha() else ())
+    for b in batches:
+        doc, number = lexicon.batch(b.column(1).to_pylist())
+        yield _counts(list(numbers), b.column(0).to_numpy(), doc, number)
+        lexicon.trim_numbers(numbers)
+
+
+def _features(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(names, document, number of a name): the different ``features`` of lists of words."""
+    flat = lists.flatten().dictionary_encode()
+    words, size = flat.dictionary, pc.utf8_length(flat.dictionary).to_numpy()
+    fits = [np.arange(len(words)), *(np.flatnonzero(size >= k) for k in (4, 5, 6))]
+    made = [words, *(pc.binary_join_element_wise(pc.utf8_slice_codeunits(words.take(pa.array(at)), 0, k), "*", "") for k, at in zip((4, 5, 6), fits[1:]))]
+    every = pa.concat_arrays(made).dictionary_encode()
+    of, start = np.full((len(words), 4), -1, np.int32), 0
+    for j, at in enumerate(fits):
+        of[at, j] = every.indices.to_numpy()[start:start + len(at)]
+        start += len(at)
+    found = of[flat.indices.to_numpy()]
+    row, column = np.nonzero(found >= 0)
+    doc = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    return every.dictionary, *distinct(doc[row], found[row, column].astype(np.int64))
+
+
+def _count_features(batches):
+    """Features of a task's rows (toxic, words), summed some rows at a time."""
+    for b in batches:
+        for a in range(0, b.num_rows, SLICE):
+            part = b.slice(a, SLICE)
+            names, doc, number = _features(part.column(1))
+            yield _counts(names, part.column(0).to_numpy(), doc, number)
 
 
-def _features():
-    memory = Memory(features)
-    return lambda words: set(itertools.chain.from_iterable(map(memory.__getitem__, words)))
+def _summed(counts: DataFrame) -> DataFrame:
+    """(f, clean, toxic) summed over all rows."""
+    return counts.groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
@@ -343,33 +527,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         return Scorer(CharModel({}), {}, math.log(shares[1] / shares[0]))
     # an obfuscated word must not teach the model its own spelling: a word needs MIN_DOCS documents, more of many
     least = max(MIN_DOCS, MIN_SHARE * sum(found.values()))
-    top = (_counted(learned, _plain_words).withColumn("n", F.col("clean") + F.col("toxic")).where(F.col("n") >= least)
+    top = (_summed(learned.mapInArrow(_count_words, COUNTS)).withColumn("n", F.col("clean") + F.col("toxic")).where(F.col("n") >= least)
            .orderBy(F.col("n").desc(), "f").limit(LM_WORDS).collect())
     model = CharModel({r["f"]: r["n"] for r in top})
     restorer = kept(docs.sparkSession, Restorer(model, {r["f"] for r in top}))
 
     def restored(batches):
-        words_of = restorer().words
+        lists = restorer().word_lists
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([list(words_of(t)) for t in b.column(1).to_pylist()], pa.list_(pa.string()))], ["toxic", "words"])
+            yield pa.RecordBatch.from_arrays([b.column(0), lists(b.column(1).to_pylist())], ["toxic", "words"])
 
     words = stored(learned.mapInArrow(restored, "toxic int, words array<string>"), "toxic-words")
     gap = F.abs(F.log((F.col("toxic") + 0.5) / (found[1] + 1)) - F.log((F.col("clean") + 0.5) / (found[0] + 1)))
-    best = (_counted(words, _features).where(F.col("clean") + F.col("toxic") >= MIN_DOCS).where(gap > 1.5)
+    best = (_summed(words.mapInArrow(_count_features, COUNTS)).where(F.col("clean") + F.col("toxic") >= MIN_DOCS).where(gap > 1.5)
             .orderBy((gap * F.sqrt(F.col("clean") + F.col("toxic"))).desc(), "f").limit(FEATURES).collect())
     names = sorted(r["f"] for r in best)
     if not names:
         return Scorer(model, {}, math.log(found[1] / found[0]))
-    known = kept(docs.sparkSession, Scorer(CharModel({}), dict.fromkeys(names, 0.0), 0.0))
 
     def held(batches):
-        scorer = known()
-        of = Memory(scorer._of)
+        known = pa.array(names, pa.string())
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([[scorer.names[i] for i in set(itertools.chain.from_iterable(map(of.__getitem__, w)))]
-                                        for w in b.column(1).to_pylist()], pa.list_(pa.string()))], ["y", "x"])
+            for a in range(0, b.num_rows, SLICE):
+                part = b.slice(a, SLICE)
+                features, doc, number = _features(part.column(1))
+                at = pc.index_in(features, known).fill_null(-1).to_numpy()[number]
+                yield pa.RecordBatch.from_arrays([part.column(0), _listed(names, doc[at >= 0], at[at >= 0], part.num_rows)], ["y", "x"])
 
     vectors = CountVectorizerModel.from_vocabulary(names, "x", "features")
     data = vectors.transform(words.mapInArrow(held, "y int, x array<string>"))

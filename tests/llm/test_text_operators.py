@@ -151,6 +151,46 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert model.score("we saw the vexmorbid again") > 0.5 > model.score("we saw the table again")
 
 
+def test_usual_tokens_are_restored_as_arrays(char_model, monkeypatch):
+    """Arrays of usual tokens give what each token gives; only the others are restored one by one."""
+    odd = ["Straße", "ñandú", "NÑñ", "漢字", "éé", "Éé", "×a", "İx", "ΑΣ", "ﬁn", "µm", "xx", "", ".a", "b.c", "¿qué?", "K", "aA", "zéé", "ÿŸ", "1d10t", "$$$",
+           "house%%%", "…a…", "££", "a.", "é"]
+    r, asked = toxicity.Restorer(char_model, {"idiot", "house"}), []
+    tokens = odd + [a + b for a in odd for b in odd]
+    words, sure, short = toxicity.usual_words(tokens)
+    for t, w, s, p in zip(tokens, words.to_pylist(), sure, short):
+        assert not s or w == r.word(t) == toxicity.plain(t), t
+        assert p or not toxicity.short_pieces([t]), t
+    texts = ["The old garden, the Tree. d o w n!", "HOUSE; tree 1d10t", None, "", "do wn tree"]
+    want = [{w for t in (x or "").split() if (w := r.word(t))} | {w for run in toxicity.spaced_runs((x or "").split()) for w in r.spaced(run) if w} for x in texts]
+    monkeypatch.setattr(toxicity.Restorer, "word", lambda self, t, real=toxicity.Restorer.word: asked.append(t) or real(self, t))
+    assert [set(x) for x in r.word_lists(texts).to_pylist()] == want
+    assert "1d10t" in asked and not {"The", "old", "garden,", "HOUSE;"} & set(asked)
+
+
+def test_forgotten_tokens_change_nothing(char_model, monkeypatch):
+    texts = [prose(30, i) + f" house{'x' * (i % 3)} 1d10t new{chr(97 + i % 26)} tr33{i}" for i in range(60)]
+    want = toxicity.Restorer(char_model, {"idiot"}).word_lists(texts).to_pylist()
+    monkeypatch.setattr(toxicity, "CACHE", 40)
+    monkeypatch.setattr(toxicity, "SLICE", 3)
+    r = toxicity.Restorer(char_model, {"idiot"})
+    got = [x for a in range(0, 60, 12) for x in r.word_lists(texts[a:a + 12]).to_pylist()]
+    assert [set(x) for x in got] == [set(x) for x in want]
+    assert len(r.lexicon.index) < 120 and len(r.numbers) < 120
+
+
+def test_a_worker_keeps_one_model_of_toxicity(monkeypatch):
+    from riskloom.llm import common
+    monkeypatch.setattr(common, "_worker", lambda held={}: held)
+    made = []
+    for name in ("a", "a", "b", "b", "a"):
+        assert common.per_worker(name, lambda: made.append(name) or name, place="toxicity") == name
+    common.per_worker("ids", lambda: 1)
+    assert made == ["a", "b", "a"] and len(common._worker()) == 2
+    common.free_worker()
+    assert not common._worker()
+
+
 # quality rules
 
 def brute_statistics(t):
