@@ -1,6 +1,7 @@
 """Boosted trees on binned rows against Spark ML's own fit."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -54,3 +55,27 @@ def test_a_level_sums_the_smaller_sisters_only(spark, monkeypatch):
     monkeypatch.setattr(boost, "_summed", lambda rows, parts, *task: seen.append(task[3]) or real(rows, parts, *task))
     MD.fit_gbt(_frame(spark, 2000, 2), 3.0, 4, trees=2)
     assert seen.count(1) >= 3 and max(seen) <= 4            # slots: one for a root, at most half of the eight nodes below three cuts
+
+
+def test_features_of_few_bins_share_a_column(spark):
+    cuts = [np.arange(63.0), np.arange(1.0), np.arange(23.0), np.arange(3.0), np.arange(0.0)]
+    layout = boost.shared_columns(cuts)
+    assert len(layout["widths"]) == 2 and max(layout["widths"]) <= boost.CELLS
+    rng = np.random.default_rng(3)
+    X, y = np.stack([rng.uniform(-1, len(c) + 1, 3000) for c in cuts], axis=1), rng.integers(0, 2, 3000).astype(np.int8)
+    [stored] = boost._binned(cuts, layout)(iter([pa.RecordBatch.from_arrays(
+        [pa.array(y), pa.FixedSizeListArray.from_arrays(pa.array(X.ravel()), 5)], ["y", "x"])]))
+    [(S, N, _)] = boost._sums(None, 0, None, 1, layout, 2.0, True)([boost._unpacked(layout)(stored.to_pylist()[0])])
+    bins = [np.searchsorted(c, X[:, f]) for f, c in enumerate(cuts)]
+    s = np.where(y == 1, 2.0, -1.0)
+    assert np.allclose(S[0], np.concatenate([np.bincount(b, s, len(c) + 1) for b, c in zip(bins, cuts)]))
+    assert (N[0, 0] == np.concatenate([np.bincount(b, minlength=len(c) + 1) for b, c in zip(bins, cuts)])).all()
+    assert (N[1, 0] == np.concatenate([np.bincount(b[y == 1], minlength=len(c) + 1) for b, c in zip(bins, cuts)])).all()
+
+
+def test_a_few_rows_are_not_cut_for_every_core(spark):
+    df = _frame(spark, 1000, 3)
+    cores = spark.sparkContext.defaultParallelism
+    assert MD.spread(df, 1000).rdd.getNumPartitions() == 1
+    assert MD.spread(df, 2 * MD.FEWEST_PER_TASK).rdd.getNumPartitions() == min(2, cores)
+    assert MD.spread(df, 10 ** 9).rdd.getNumPartitions() % cores == 0
